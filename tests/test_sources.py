@@ -1,0 +1,88 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.functions.core import SENTINEL
+from lectern.operators.references import number_references
+from lectern.operators.report import report_lines, review_sections
+from lectern.sources.records import (
+    RECORD_SCHEMA, decode_pages, read_records, require_non_empty, scan_documents, to_display, validate_columns,
+    write_records, write_report,
+)
+from lectern.streaming.ingest import incremental_ingest
+from lectern.operators.text import assemble_pages
+
+
+def test_scan_documents_glob_not_recursive(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "sub"))
+    for name, data in [("a.pdf", b"p1\fp2"), ("b.pdf", b"q"), ("c.txt", b"no"), ("sub/d.pdf", b"deep")]:
+        with open(os.path.join(tmp_dir, name), "wb") as f:
+            f.write(data)
+    files = scan_documents(spark, tmp_dir, "*.pdf")
+    assert sorted(r.filename for r in files.collect()) == ["a.pdf", "b.pdf"]
+    pages = decode_pages(files, lambda b: b.decode().split("\f"))
+    docs = {r.filename: r.text for r in assemble_pages(pages, "filename", "page_no", "text").collect()}
+    assert docs == {"a.pdf": "p1p2", "b.pdf": "q"}
+    none = scan_documents(spark, tmp_dir, "*.docx")
+    assert none.count() == 0
+
+
+def test_decoder_failure_gives_empty_text(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "x.pdf"), "wb") as f:
+        f.write(b"\xff")
+    pages = decode_pages(scan_documents(spark, tmp_dir), lambda b: b.decode("utf-8").split("\f"))
+    assert [r.text for r in pages.collect()] == [""]
+
+
+def test_csv_roundtrip_quotes_newlines(spark, tmp_dir):
+    rows = [("f1", "success", 'Title, with "quotes"', "A, B", "NA", "line1\nline2", "")]
+    cols = ["filename", "extraction_status", "title", "authors", "year", "summary", "citation"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    path = os.path.join(tmp_dir, "out")
+    write_records(df, path, sentinel_cols=["citation"])
+    back = read_records(spark, path)
+    r = back.first()
+    assert r["Paper Title"] == 'Title, with "quotes"'
+    assert r["Simple Summary"] == "line1\nline2"
+    assert r["Year of Publication"] == "NA"          # NA stays a string
+    assert r["IEEE Citation"] == SENTINEL
+
+
+def test_validate_and_non_empty(spark):
+    df = spark.createDataFrame([], "title string")
+    with pytest.raises(ValueError, match="Missing required columns"):
+        validate_columns(df, ["title", "authors"])
+    with pytest.raises(ValueError):
+        require_non_empty(df)
+    assert len(RECORD_SCHEMA.fields) == 18
+    assert "Paper Title" in to_display(spark.createDataFrame([("t",)], "title string")).columns
+
+
+def test_write_report_in_order(spark, tmp_dir):
+    recs = spark.createDataFrame([(1, 2, "c1"), (2, 0, None), (3, 2, "c3"), (4, 1, "c4")],
+                                 "row_id long, cluster int, citation string")
+    bodies = spark.createDataFrame([(2, "B2"), (0, "B0"), (1, "B1")], "cluster int, body string")
+    sections = review_sections(recs, "cluster", "row_id", bodies, "INTRO", "END")
+    assert [r.section_id for r in sections.orderBy("section_order").collect()] == [
+        "introduction", "cluster_2", "cluster_0", "cluster_1", "conclusion"]
+    refs = number_references(recs, "row_id").select("ref_no", "reference")
+    path = os.path.join(tmp_dir, "report")
+    write_report(report_lines(sections, refs), path, partitions=3)
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    text = "".join(open(os.path.join(path, p)).read() for p in parts)
+    assert text.index("INTRO") < text.index("B2") < text.index("B0") < text.index("B1") < text.index("END")
+    assert text.index("[1] c1") < text.index("[2] c3") < text.index("[3] c4")
+
+
+def test_incremental_ingest_only_new_files(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "sink", "ckpt"))
+    schema = "conv_id long, turn long, text string"
+    spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], schema).coalesce(1).write.parquet(os.path.join(src, "f1"))
+    fn = lambda b: assemble_pages(b, "conv_id", "turn", "text")
+    st = spark.createDataFrame([], schema).schema
+    incremental_ingest(spark, os.path.join(src, "*"), st, sink, ckpt, fn)
+    spark.createDataFrame([(2, 0, "c")], schema).coalesce(1).write.parquet(os.path.join(src, "f2"))
+    incremental_ingest(spark, os.path.join(src, "*"), st, sink, ckpt, fn)
+    out = spark.read.parquet(sink)
+    assert sorted((r.conv_id, r.text, r.batch_id) for r in out.collect()) == [(1, "ab", 0), (2, "c", 1)]
