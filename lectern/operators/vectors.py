@@ -128,25 +128,25 @@ def embed(
 
 
 def embed_tfidf(
-    df: DataFrame, text_col: str, id_cols: Sequence[str], num_features: int = 1 << 12, min_doc_freq: int = 1,
+    df: DataFrame, text_col: str, id_cols: Sequence[str], num_features: int = 1 << 10, min_doc_freq: int = 1,
     out: str = "embedding",
 ) -> DataFrame:
     """Offline embedding: tokens -> hashed term counts -> IDF -> unit L2 rows.
 
-    All stages are Spark ML (JVM); IDF needs one pass for document frequencies.
+    All stages are Spark ML (JVM).  Term counts are computed once and kept
+    (sparse vectors, MEMORY_AND_DISK) for the IDF pass and the weighting pass,
+    so the text is tokenised only once.
     """
-    from pyspark.ml import Pipeline
+    from pyspark import StorageLevel
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
-    stages = [
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq),
-        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
-    ]
     src = df.select(*id_cols, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
-    model = Pipeline(stages=stages).fit(src)
-    return model.transform(src).select(*id_cols, vector_to_array("_vec").alias(out))
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", toLowercase=True)
+    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
+    counts = tf.transform(tok.transform(src)).select(*id_cols, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
+    idf = IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq).fit(counts)
+    unit = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0).transform(idf.transform(counts))
+    return unit.select(*id_cols, vector_to_array("_vec").alias(out))
 
 
 def project_2d(df: DataFrame, vec: str, keep: Sequence[str]) -> DataFrame:

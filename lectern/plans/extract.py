@@ -59,9 +59,14 @@ def extract_records(
     multiplier: float = TABLE_BACKOFF,
     cap: float = TABLE_BACKOFF_CAP,
     pause: float = CALL_PAUSE,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Records with every field NULL when missing (use ``fill_sentinel`` at sinks)."""
-    kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause)
+    """Records with every field NULL when missing (use ``fill_sentinel`` at sinks).
+
+    ``partitions`` spreads each model stage over that many tasks (the number
+    of concurrent calls); by default the input's own split layout is kept.
+    """
+    kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause, partitions=partitions)
     docs = drop_empty(docs.select(key, text), text)
 
     basic_prompts = docs.select(key, fill_template(BASIC_PROMPT, head_slice(text)).alias("prompt"))

@@ -179,7 +179,8 @@ def q_lead_summary(spark, sf):
 
 def q_infer_stub(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", head_slice("text", ECHO_HEAD).alias("prompt"))
-    out = infer(d, "prompt", EchoModel(), ["doc_id"], retries=3, multiplier=0.0, cap=0.0, pause=0.0)
+    out = infer(d, "prompt", EchoModel(), ["doc_id"], retries=3, multiplier=0.0, cap=0.0, pause=0.0,
+                partitions=spark.sparkContext.defaultParallelism)
     return out.select("doc_id", "response", "error")
 
 
@@ -187,7 +188,8 @@ def q_extract_records(spark, sf):
     from lectern.plans.extract import extract_records
 
     docs = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), "text")
-    return extract_records(docs, RecordModel(), "filename", multiplier=0.0, cap=0.0, pause=0.0)
+    return extract_records(docs, RecordModel(), "filename", multiplier=0.0, cap=0.0, pause=0.0,
+                           partitions=spark.sparkContext.defaultParallelism)
 
 
 # ------------------------------------------------------------ vectors
