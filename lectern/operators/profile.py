@@ -98,19 +98,22 @@ def attach_description(
 
 
 def group_records(
-    df: DataFrame, cluster: str, order: str, cols: Sequence[str], cap: int, rank_col: str | None = None
+    df: DataFrame, cluster: str, order: str, cols: Sequence[str], cap: int | None, rank_col: str | None = None
 ) -> DataFrame:
-    """Per cluster: its size and at most ``cap`` full records, in ``order``.
+    """Per cluster: its size and its full records, in ``order``.
 
-    Records are chosen by ``rank_col`` (e.g. the representative rank) or by
-    ``order``; the cap is applied before collecting, so a hot cluster never
-    gathers more than ``cap`` records in one task.
+    ``cap`` bounds the records gathered per cluster (chosen by ``rank_col``,
+    e.g. the representative rank, or by ``order``); it is applied before
+    collecting, so a hot cluster never gathers more than ``cap`` records in
+    one task.  ``cap=None`` keeps every record, for inputs whose clusters are
+    known to be small.
     """
-    key = F.col(rank_col).asc() if rank_col else F.col(order).asc()
-    w = Window.partitionBy(cluster).orderBy(key, F.col(order).asc())
-    capped = df.select(cluster, order, *cols, *( [rank_col] if rank_col else [])) \
-        .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    lists = capped.groupBy(cluster).agg(
+    keep = df.select(cluster, order, *cols, *([rank_col] if rank_col else []))
+    if cap is not None:
+        key = F.col(rank_col).asc() if rank_col else F.col(order).asc()
+        w = Window.partitionBy(cluster).orderBy(key, F.col(order).asc())
+        keep = keep.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
+    lists = keep.groupBy(cluster).agg(
         F.array_sort(F.collect_list(F.struct(order, *cols))).alias("records")
     )
     return cluster_size(df, cluster).join(lists, cluster, "left")

@@ -65,7 +65,8 @@ _COS = "list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})),
 _PAPERS = f"""
 {_EMB},
 p AS (
-  SELECT e.vec_id AS doc_id, e.label, e.v, d.source, d.lang, substring(d.text, 1, 30) AS title
+  SELECT e.vec_id AS doc_id, e.label, e.v, d.source, d.lang, substring(d.text, 1, 30) AS title,
+    CAST(CAST(1990 + least(floor(d.n_chars / 1000.0), 35) AS BIGINT) AS VARCHAR) AS year
   FROM e JOIN documents d ON d.doc_id = e.vec_id
 ),
 {_CENTROIDS.format(src='p')},
@@ -234,4 +235,23 @@ sec AS (
   UNION ALL SELECT 1, first, 'cluster_' || CAST(label AS VARCHAR), 'Cluster ' || CAST(label AS VARCHAR) FROM f
 )
 SELECT CAST(row_number() OVER (ORDER BY g, o) - 1 AS INTEGER) AS section_order, section_id, title FROM sec""",
+    "cluster_profile": f"""WITH {_PAPERS},
+reps AS (SELECT label, string_agg(title, ' | ' ORDER BY rk) AS representative_papers FROM rr WHERE rk <= 3 GROUP BY label),
+vm AS (
+  SELECT label, source AS value, count(*) AS cnt,
+    row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, source) AS k
+  FROM p WHERE source IS NOT NULL GROUP BY label, source
+),
+vd AS (
+  SELECT label, lang AS value, count(*) AS cnt,
+    row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, lang) AS k
+  FROM p WHERE lang IS NOT NULL GROUP BY label, lang
+),
+vy AS (SELECT label, year AS value, count(*) AS cnt FROM p WHERE year IS NOT NULL GROUP BY label, year),
+fm AS (SELECT label, string_agg(value || '=' || CAST(cnt AS VARCHAR), ', ' ORDER BY k) AS common_methods FROM vm WHERE k <= 3 GROUP BY label),
+fd AS (SELECT label, string_agg(value || '=' || CAST(cnt AS VARCHAR), ', ' ORDER BY k) AS common_datasets FROM vd WHERE k <= 3 GROUP BY label),
+fy AS (SELECT label, string_agg(value || '=' || CAST(cnt AS VARCHAR), ', ' ORDER BY value) AS publication_years FROM vy GROUP BY label)
+SELECT descr.label, descr.description, descr.size, reps.representative_papers, fm.common_methods,
+  fd.common_datasets, fy.publication_years
+FROM descr LEFT JOIN reps USING (label) LEFT JOIN fm USING (label) LEFT JOIN fd USING (label) LEFT JOIN fy USING (label)""",
 }

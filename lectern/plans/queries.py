@@ -266,8 +266,9 @@ def q_embed_tfidf(spark, sf):
 def _papers(spark, sf) -> DataFrame:
     """Vectors joined to documents (vec_id = doc_id): label as cluster, source as method."""
     e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "label", "embedding")
-    d = _t(spark, sf, "documents").select("doc_id", "source", "lang",
-                                         F.substring("text", 1, TITLE_CHARS).alias("title"))
+    d = _t(spark, sf, "documents").select(
+        "doc_id", "source", "lang", F.substring("text", 1, TITLE_CHARS).alias("title"),
+        (F.lit(1990) + F.least(F.floor(F.col("n_chars") / 1000), F.lit(35))).cast("string").alias("year"))
     return e.join(d, "doc_id")
 
 
@@ -329,10 +330,28 @@ def q_cluster_narrative(spark, sf):
 def q_cluster_profile_json(spark, sf):
     p, desc = _descriptions(spark, sf)
     reps = vectors.representatives(p, "label", "embedding", "doc_id", REP_N)
-    prof = profile.cluster_profile(p, "label", desc, reps, "source", "lang", "lang")
+    prof = profile.cluster_profile(p, "label", desc, reps, "source", "lang", "year")
     return prof.select("label", F.to_json(F.struct(*[c for c in prof.columns if c != "label"])).alias("analysis"))
 
 
+def _flat_map(col: str) -> F.Column:
+    return F.array_join(F.transform(F.map_entries(col), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ", ")
+
+
+def q_cluster_profile(spark, sf):
+    """The per-cluster profile with its maps flattened to ordered ``key=count`` text."""
+    p, desc = _descriptions(spark, sf)
+    reps = vectors.representatives(p, "label", "embedding", "doc_id", REP_N)
+    prof = profile.cluster_profile(p, "label", desc, reps, "source", "lang", "year")
+    return prof.select(
+        "label", "description", "size",
+        F.array_join("representative_papers", " | ").alias("representative_papers"),
+        _flat_map("common_methods").alias("common_methods"),
+        _flat_map("common_datasets").alias("common_datasets"),
+        _flat_map("publication_years").alias("publication_years"),
+    )
+
+
 def q_incremental_ingest(spark, sf):
     from lectern.streaming.ingest import incremental_assemble
 
@@ -378,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "report_sections": q_report_sections,
     "cluster_narrative": q_cluster_narrative,
     "cluster_profile_json": q_cluster_profile_json,
+    "cluster_profile": q_cluster_profile,
     "incremental_ingest": q_incremental_ingest,
 }
 
