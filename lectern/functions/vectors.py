@@ -26,10 +26,19 @@ def norm(a: Column | str) -> Column:
 
 
 def l2_normalize(a: Column | str, eps: float = 1e-12) -> Column:
-    """Divide by the L2 norm (norms below ``eps`` are clamped to ``eps``)."""
+    """Divide by the L2 norm (norms below ``eps`` are clamped to ``eps``).
+
+    The norm is computed once per row, in ``aggregate``'s finish step, and the
+    division reads it as a bound variable: a norm written inside the
+    ``transform`` lambda would be recomputed for every component (O(dim^2)).
+    """
     arr = as_double_array(a)
-    n = F.greatest(norm(arr), F.lit(eps))
-    return F.transform(arr, lambda x: x / n)
+    return F.aggregate(
+        arr,
+        F.lit(0.0).cast("double"),
+        lambda acc, x: acc + x * x,
+        lambda ss: F.transform(arr, lambda x: x / F.greatest(F.sqrt(ss), F.lit(eps))),
+    )
 
 
 def cosine(a: Column | str, b: Column | str, eps: float = 1e-8) -> Column:

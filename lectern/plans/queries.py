@@ -34,6 +34,8 @@ TOP_K = 3
 REP_N = 3
 ECHO_HEAD = 200
 TITLE_CHARS = 30
+KMEANS_K = 5
+KMEANS_RESTARTS = 3
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -246,7 +248,7 @@ def q_top_neighbors(spark, sf):
 
 
 def q_kmeans_clusters(spark, sf):
-    res = kmeans(_emb(spark, sf), "embedding", "vec_id", k=5, restarts=3)
+    res = kmeans(_emb(spark, sf), "embedding", "vec_id", k=KMEANS_K, restarts=KMEANS_RESTARTS)
     return res.labels
 
 
