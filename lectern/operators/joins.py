@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Default ceiling for a broadcast side (bytes, estimated from row count x width).
@@ -26,7 +26,7 @@ def estimated_bytes(df: DataFrame, rows: int) -> int:
 def join_small(
     big: DataFrame,
     small: DataFrame,
-    on: str | list[str],
+    on: str | list[str] | Column,
     how: str = "inner",
     limit_bytes: int = BROADCAST_LIMIT,
     known_rows: int | None = None,

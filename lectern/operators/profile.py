@@ -97,26 +97,37 @@ def attach_description(
     return join_small(df, small, cluster, "left", known_rows=known_clusters)
 
 
+# Default number of records per batch of a cluster's record list.
+DEFAULT_BATCH_ROWS = 50
+
+
 def group_records(
-    df: DataFrame, cluster: str, order: str, cols: Sequence[str], cap: int | None, rank_col: str | None = None
+    df: DataFrame, cluster: str, order: str, cols: Sequence[str], batch_rows: int = DEFAULT_BATCH_ROWS,
+    known_clusters: int | None = None,
 ) -> DataFrame:
-    """Per cluster: its size and its full records, in ``order``.
-
-    ``cap`` bounds the records gathered per cluster (chosen by ``rank_col``,
-    e.g. the representative rank, or by ``order``); it is applied before
-    collecting, so a hot cluster never gathers more than ``cap`` records in
-    one task.  ``cap=None`` keeps every record, for inputs whose clusters are
-    known to be small.
+    """Every record of every cluster, in ``order``, as consecutive batches.
+
+    One row per (cluster, batch): ``(cluster, batch, size, records)`` where
+    ``batch`` counts from 0, ``records`` holds at most ``batch_rows`` records
+    sorted by ``order`` and ``size`` is the cluster's total.  Nothing is
+    dropped: a hot cluster becomes many bounded batches instead of one huge
+    list, and its positions come from :func:`group_ordinal`, which spreads
+    the cluster over many tasks instead of sorting it in one.
     """
-    keep = df.select(cluster, order, *cols, *([rank_col] if rank_col else []))
-    if cap is not None:
-        key = F.col(rank_col).asc() if rank_col else F.col(order).asc()
-        w = Window.partitionBy(cluster).orderBy(key, F.col(order).asc())
-        keep = keep.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap)
-    lists = keep.groupBy(cluster).agg(
+    from lectern.operators.references import group_ordinal
+
+    if batch_rows < 1:
+        raise ValueError("batch_rows must be at least 1")
+    keep = df.select(cluster, order, *cols)
+    numbered = group_ordinal(keep, [cluster], order, "_pos")
+    batched = numbered.withColumn("batch", F.floor((F.col("_pos") - 1) / F.lit(batch_rows)).cast("int"))
+    lists = batched.groupBy(cluster, "batch").agg(
         F.array_sort(F.collect_list(F.struct(order, *cols))).alias("records")
     )
-    return cluster_size(df, cluster).join(lists, cluster, "left")
+    # ``numbered`` is checkpointed, so sizes come from it without a new scan.
+    sizes = numbered.groupBy(cluster).agg(F.max("_pos").alias("size"))
+    return join_small(lists, sizes, cluster, "inner", known_rows=known_clusters).select(
+        cluster, "batch", "size", "records")
 
 
 def first_appearance(df: DataFrame, cluster: str, order: str) -> DataFrame:

@@ -11,10 +11,13 @@ shared folder first, so ids stay fixed even if executors are lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL, is_present
+from lectern.operators.joins import join_small
 from lectern.session import cut_lineage
 
 _LOW_BITS = (1 << 33) - 1
@@ -43,6 +46,42 @@ def global_ordinal(df: DataFrame, order: str, out: str = "ordinal", partitions:
     return ranged.withColumn(out, pos.cast("long")).drop("_mid")
 
 
+def group_ordinal(
+    df: DataFrame, group: Sequence[str], order: str, out: str = "ordinal", partitions: int | None = None
+) -> DataFrame:
+    """Add ``out`` = 1-based position of each row inside its ``group``, in ``order``.
+
+    ``row_number() OVER (PARTITION BY group ORDER BY order)`` sorts a whole
+    group in one task, so a hot group (a third of all rows) would sit in one
+    task.  Here rows are range-partitioned on ``(group..., order)``, which
+    spreads a hot group over many partitions; inside a partition each group
+    is one contiguous run.  Per run, its start and size are aggregated (one
+    row per run: at most groups + partitions rows), a window over each
+    group's runs (at most one per partition) gives the rows in earlier
+    partitions, and that offset joins back onto the rows.
+    """
+    group = list(group)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(g) for g in group], F.col(order)).sortWithinPartitions(*group, order)
+    ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_p", F.shiftright(F.col("_mid"), 33)).withColumn(
+        "_low", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
+    runs = ranged.groupBy("_p", *group).agg(F.min("_low").alias("_start"), F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        F.col("_p").alias("_rp"), *[F.col(g).alias(f"_r_{g}") for g in group], "_start",
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).cast("long").alias("_before"),
+    )
+    # Null-safe keys: NULL is a group of its own, as in GROUP BY.
+    cond = F.col("_p") == F.col("_rp")
+    for g in group:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_r_{g}"))
+    joined = join_small(ranged, runs, cond, "inner")
+    pos = F.col("_before") + F.col("_low") - F.col("_start") + F.lit(1)
+    drop = ["_mid", "_p", "_low", "_rp", "_start", "_before", *[f"_r_{g}" for g in group]]
+    return joined.withColumn(out, pos.cast("long")).drop(*drop)
+
+
 def number_references(df: DataFrame, order: str, citation: str = "citation") -> DataFrame:
     """Keep rows with a citation, number them from 1 in ``order``: ``[i] text``.
 
@@ -63,4 +102,4 @@ def references_or_message(numbered: DataFrame) -> DataFrame:
     return numbered.select("ref_no", "reference")
 
 
-__all__ = ["NO_CITATIONS", "SENTINEL", "global_ordinal", "number_references", "references_or_message"]
+__all__ = ["NO_CITATIONS", "SENTINEL", "global_ordinal", "group_ordinal", "number_references", "references_or_message"]

@@ -33,27 +33,75 @@ NARRATIVE_PROMPT = (
 )
 
 
+MERGE_PROMPT = (
+    "Combine these partial syntheses of the papers of {} into one cohesive, formal paragraph, "
+    "keeping their themes, findings and citations. Partial syntheses (JSON list, in paper order): {}"
+)
+
+# Default number of partial texts combined by one call at the upper levels.
+DEFAULT_FAN_IN = 8
+
+
 def narrate_clusters(
     grouped: DataFrame,
     cluster: str,
     fn: Callable[[str], str],
     records: str = "records",
+    batch: str = "batch",
+    fan_in: int = DEFAULT_FAN_IN,
     retries: int = REVIEW_RETRIES,
     multiplier: float = TABLE_BACKOFF,
     pause: float = 1.0,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """(cluster, records) -> (cluster, body): one generated text per cluster.
-
-    A failed call becomes the section text instead of aborting the report.
+    """(cluster, batch, records) -> (cluster, body): one generated text per cluster.
+
+    A cluster whose records fit in one batch gets one call over all of them.
+    A larger cluster is narrated as a tree: one call per batch of records,
+    then one call per ``fan_in`` consecutive partial texts, level by level,
+    until one text is left.  Every call sees a bounded input and every level
+    is a distributed stage, so a hot cluster never reaches one task whole.
+    A failed call becomes its text (the error message) instead of aborting.
+    Each level's answers are checkpointed: model calls are expensive and not
+    deterministic, so they must not be recomputed by a later action.
     """
     from lectern.functions.text import fill_template
+    from lectern.operators.joins import join_small
+    from lectern.session import cut_lineage
+
+    if fan_in < 2:
+        raise ValueError("fan_in must be at least 2")
+    kw = dict(retries=retries, multiplier=multiplier, cap=None, pause=pause, partitions=partitions)
+    err_text = F.concat(F.lit("Error analyzing cluster "), cluster_title(cluster), F.lit(": API error - "), F.col("error"))
+
+    def call(prompts: DataFrame) -> DataFrame:
+        out = infer(prompts, "prompt", fn, [cluster, "_b"], **kw)
+        return out.select(cluster, "_b", F.coalesce(F.btrim(F.col("response")), err_text).alias("body"))
 
     prompts = grouped.select(
-        cluster, fill_template(NARRATIVE_PROMPT, cluster_title(cluster), F.to_json(F.col(records))).alias("prompt")
+        cluster, F.col(batch).cast("long").alias("_b"),
+        fill_template(NARRATIVE_PROMPT, cluster_title(cluster), F.to_json(F.col(records))).alias("prompt"),
     )
-    out = infer(prompts, "prompt", fn, [cluster], retries=retries, multiplier=multiplier, cap=None, pause=pause)
-    err_text = F.concat(F.lit("Error analyzing cluster "), cluster_title(cluster), F.lit(": API error - "), F.col("error"))
-    return out.select(cluster, F.coalesce(F.btrim(F.col("response")), err_text).alias("body"))
+    level = cut_lineage(call(prompts))
+    widest = level.agg(F.max("_b")).first()[0]  # one number: the most batches of any cluster, minus 1
+    finals = []
+    while widest is not None and widest > 0:
+        last = level.groupBy(cluster).agg(F.max("_b").alias("_m"))  # one row per cluster
+        level = join_small(level, last, cluster, "inner")
+        finals.append(level.where(F.col("_m") == 0).select(cluster, "body"))
+        groups = level.where(F.col("_m") > 0).groupBy(cluster, F.floor(F.col("_b") / F.lit(fan_in)).alias("_b")).agg(
+            F.transform(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("o"), F.col("body").alias("t")))),
+                        lambda s: s["t"]).alias("_parts"))
+        single = groups.where(F.size("_parts") == 1).select(cluster, "_b", F.col("_parts")[0].alias("body"))
+        merged = call(groups.where(F.size("_parts") > 1).select(
+            cluster, "_b", fill_template(MERGE_PROMPT, cluster_title(cluster), F.to_json(F.col("_parts"))).alias("prompt")))
+        level = cut_lineage(single.unionByName(merged))
+        widest = (widest // fan_in)
+    finals.append(level.select(cluster, "body"))
+    out = finals[0]
+    for f in finals[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def review_sections(

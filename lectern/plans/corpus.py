@@ -17,7 +17,7 @@ from lectern.functions.text import feature_text
 from lectern.operators import profile, vectors
 from lectern.operators.clustering import DEFAULT_K, DEFAULT_RESTARTS, DEFAULT_SEED, kmeans
 from lectern.operators.references import number_references
-from lectern.operators.report import narrate_clusters, report_lines, review_sections
+from lectern.operators.report import DEFAULT_FAN_IN, narrate_clusters, report_lines, review_sections
 from lectern.session import cut_lineage
 from lectern.sources.records import (
     FEATURE_FIELDS, REQUIRED_FIELDS, REQUIRED_FOR_REVIEW, require_non_empty, validate_columns,
@@ -96,21 +96,24 @@ def review(
     fn: Callable[[str], str],
     introduction: str,
     conclusion: str,
-    cap: int = 20,
+    batch_rows: int = profile.DEFAULT_BATCH_ROWS,
+    fan_in: int = DEFAULT_FAN_IN,
     record_cols: Sequence[str] = ("title", "authors", "year", "method", "datasets", "contributions", "summary"),
     id_col: str = "row_id",
     pause: float = 1.0,
 ) -> DataFrame:
     """Clustered records -> ordered report lines ``(k1, k2, line)`` (X3).
 
-    Each cluster's prompt carries at most ``cap`` records (its members in
-    input order), so no task ever gathers a whole hot cluster.
+    Every record reaches the narrative: each cluster's records go to the
+    model in input-order batches of ``batch_rows``, and the partial texts are
+    combined ``fan_in`` at a time, so no call and no task holds a whole hot
+    cluster.
     """
     validate_columns(clustered, REQUIRED_FOR_REVIEW)
     require_non_empty(clustered)
     recs = with_row_id(clustered, id_col)
-    grouped = profile.group_records(recs, "cluster", id_col, list(record_cols), cap)
-    bodies = narrate_clusters(grouped, "cluster", fn, pause=pause)
+    grouped = profile.group_records(recs, "cluster", id_col, list(record_cols), batch_rows)
+    bodies = narrate_clusters(grouped, "cluster", fn, fan_in=fan_in, pause=pause)
     sections = review_sections(recs, "cluster", id_col, bodies, introduction, conclusion)
     refs = number_references(recs, id_col, "citation").select("ref_no", "reference")
     return report_lines(sections, refs)

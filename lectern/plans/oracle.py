@@ -7,7 +7,7 @@ with the same output column names and types.
 from __future__ import annotations
 
 from lectern.functions.core import SENTINEL
-from lectern.plans.extract import BASIC_PROMPT
+from lectern.plans.extract import BASIC_PROMPT, DETAIL_PROMPT
 
 S = "'" + SENTINEL + "'"
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
@@ -65,7 +65,7 @@ _COS = "list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})),
 _PAPERS = f"""
 {_EMB},
 p AS (
-  SELECT e.vec_id AS doc_id, e.label, e.v, d.source, d.lang, substring(d.text, 1, 30) AS title,
+  SELECT e.vec_id AS doc_id, e.label, e.v, d.source, d.lang, split_part(d.text, chr(10), 1) AS title,
     CAST(CAST(1990 + least(floor(d.n_chars / 1000.0), 35) AS BIGINT) AS VARCHAR) AS year
   FROM e JOIN documents d ON d.doc_id = e.vec_id
 ),
@@ -88,6 +88,7 @@ descr AS (
 """
 
 _PROMPT_PREFIX = _lit(BASIC_PROMPT.split("{}")[0])
+_DETAIL_PREFIX = _lit(DETAIL_PROMPT.split("{}")[0])
 
 
 SQL: dict[str, str] = {
@@ -162,11 +163,12 @@ FROM a""",
 FROM (SELECT doc_id,
   array_to_string(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))[1:3], ' ') AS s
   FROM documents)""",
-    "infer_stub": """WITH p AS (SELECT doc_id, substring(text, 1, 200) AS prompt FROM documents)
-SELECT doc_id,
+    "infer_stub": f"""WITH {_CHUNKS},
+p AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx, {_DETAIL_PREFIX} || chunk AS prompt FROM cc)
+SELECT doc_id, chunk_idx,
   CASE WHEN length(prompt) % 11 = 0 THEN NULL
-       ELSE 'Answer: {"n": ' || CAST(length(prompt) AS VARCHAR) || ', "w": "'
-            || replace(replace(split_part(prompt, ' ', 1), '\\', ''), '"', '') || '"} Thanks.' END AS response,
+       ELSE 'Answer: {{"n": ' || CAST(length(prompt) AS VARCHAR) || ', "w": "'
+            || replace(replace(split_part(prompt, ' ', 1), '\\', ''), '"', '') || '"}} Thanks.' END AS response,
   CASE WHEN length(prompt) % 11 = 0 THEN 'RuntimeError: model unavailable' END AS error
 FROM p""",
     "masked_mean_pool": """WITH e AS (
@@ -213,12 +215,13 @@ FROM orders WHERE o_orderdate IS NOT NULL GROUP BY o_orderstatus, year(o_orderda
     "attach_description": f"""WITH {_PAPERS}
 SELECT p.doc_id, p.label, md5(descr.description) AS description_md5 FROM p LEFT JOIN descr USING (label)""",
     "group_records": f"""WITH {_PAPERS},
+q AS (SELECT label, doc_id, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM p),
 g AS (
-  SELECT label, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS record_ids
-  FROM (SELECT label, doc_id, row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM p) WHERE k <= 3
-  GROUP BY label
+  SELECT label, CAST((k - 1) // 20 AS INTEGER) AS batch, count(*) AS n_records,
+    string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS record_ids
+  FROM q GROUP BY label, (k - 1) // 20
 )
-SELECT z.label, z.size, g.record_ids FROM z LEFT JOIN g USING (label)""",
+SELECT g.label, g.batch, z.size, g.n_records, g.record_ids FROM g JOIN z USING (label)""",
     "number_references": f"""WITH c AS (
   SELECT doc_id, CASE WHEN lang <> 'en' THEN 'Document ' || CAST(doc_id AS VARCHAR) || ' (' || source || ')' END AS citation
   FROM documents

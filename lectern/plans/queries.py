@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL, sentinel_or, strip_ws
 from lectern.functions.text import (
-    clean_json_envelope, feature_text, format_citation, head_slice, lead_sentences,
+    clean_json_envelope, feature_text, fill_template, format_citation, head_slice, lead_sentences,
 )
 from lectern.functions.vectors import as_double_array, l2_normalize, norm, vec_sum
 from lectern.operators import parsing, profile, references, similarity, text, vectors
@@ -32,10 +32,10 @@ CHUNK = 15000
 SIM_THRESHOLD = 0.35
 TOP_K = 3
 REP_N = 3
-ECHO_HEAD = 200
-TITLE_CHARS = 30
 KMEANS_K = 5
-KMEANS_RESTARTS = 3
+KMEANS_RESTARTS = 10
+REVIEW_BATCH = 20
+REVIEW_FAN_IN = 2
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -180,10 +180,15 @@ def q_lead_summary(spark, sf):
 # ------------------------------------------------------------ inference
 
 def q_infer_stub(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", head_slice("text", ECHO_HEAD).alias("prompt"))
-    out = infer(d, "prompt", EchoModel(), ["doc_id"], retries=3, multiplier=0.0, cap=0.0, pause=0.0,
+    """One model call per 15,000-character chunk of every document (the whole text)."""
+    from lectern.plans.extract import DETAIL_PROMPT
+
+    ch = text.chunk_text(_t(spark, sf, "documents"), size=CHUNK, keep=["doc_id"])
+    d = ch.select("doc_id", F.col("chunk_idx").cast("int").alias("chunk_idx"),
+                  fill_template(DETAIL_PROMPT, "chunk").alias("prompt"))
+    out = infer(d, "prompt", EchoModel(), ["doc_id", "chunk_idx"], retries=3, multiplier=0.0, cap=0.0, pause=0.0,
                 partitions=spark.sparkContext.defaultParallelism)
-    return out.select("doc_id", "response", "error")
+    return out.select("doc_id", "chunk_idx", "response", "error")
 
 
 def q_extract_records(spark, sf):
@@ -266,10 +271,11 @@ def q_embed_tfidf(spark, sf):
 # ------------------------------------------------------------ profile
 
 def _papers(spark, sf) -> DataFrame:
-    """Vectors joined to documents (vec_id = doc_id): label as cluster, source as method."""
+    """Vectors joined to documents (vec_id = doc_id): label as cluster, source as
+    method, the first line of the text as title."""
     e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "label", "embedding")
     d = _t(spark, sf, "documents").select(
-        "doc_id", "source", "lang", F.substring("text", 1, TITLE_CHARS).alias("title"),
+        "doc_id", "source", "lang", F.substring_index("text", "\n", 1).alias("title"),
         (F.lit(1990) + F.least(F.floor(F.col("n_chars") / 1000), F.lit(35))).cast("string").alias("year"))
     return e.join(d, "doc_id")
 
@@ -305,8 +311,10 @@ def q_attach_description(spark, sf):
 
 def q_group_records(spark, sf):
     p = _papers(spark, sf)
-    g = profile.group_records(p, "label", "doc_id", ["title", "source"], cap=3)
-    return g.select("label", "size", F.array_join(F.transform("records", lambda r: r["doc_id"].cast("string")), ",").alias("record_ids"))
+    g = profile.group_records(p, "label", "doc_id", ["title", "source"], batch_rows=REVIEW_BATCH)
+    return g.select(
+        "label", "batch", "size", F.size("records").cast("long").alias("n_records"),
+        F.array_join(F.transform("records", lambda r: r["doc_id"].cast("string")), ",").alias("record_ids"))
 
 
 def q_number_references(spark, sf):
@@ -325,8 +333,8 @@ def q_report_sections(spark, sf):
 
 def q_cluster_narrative(spark, sf):
     p = _papers(spark, sf)
-    g = profile.group_records(p, "label", "doc_id", ["title", "source"], cap=3)
-    return narrate_clusters(g, "label", EchoModel(), retries=2, multiplier=0.0, pause=0.0)
+    g = profile.group_records(p, "label", "doc_id", ["title", "source"], batch_rows=REVIEW_BATCH)
+    return narrate_clusters(g, "label", EchoModel(), fan_in=REVIEW_FAN_IN, retries=2, multiplier=0.0, pause=0.0)
 
 
 def q_cluster_profile_json(spark, sf):

@@ -48,7 +48,8 @@ def test_cluster_table_and_review(spark, tmp_dir):
     prof = out.profile.collect()
     assert sum(r["size"] for r in prof) == len(rows)
     assert all(len(r.representative_papers) <= 3 for r in prof)
-    lines = review(out.records, lambda p: "Narrative.", "Intro text", "Closing text", cap=5, pause=0.0)
+    lines = review(out.records, lambda p: "Narrative.", "Intro text", "Closing text", batch_rows=5, fan_in=2,
+                   pause=0.0)
     path = os.path.join(tmp_dir, "review")
     write_report(lines, path, partitions=4)
     parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))

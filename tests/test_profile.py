@@ -28,10 +28,58 @@ def test_describe_and_attach(spark):
     assert att.where(F.col("cluster_description").isNull()).count() == 0
 
 
-def test_group_records_capped(spark):
-    df = spark.createDataFrame([(i, i % 2, f"t{i}") for i in range(10)], "id long, c int, title string")
-    got = {r.c: (r.size, [x.id for x in r.records]) for r in profile.group_records(df, "c", "id", ["title"], cap=3).collect()}
-    assert got == {0: (5, [0, 2, 4]), 1: (5, [1, 3, 5])}
+def test_group_records_whole_in_batches(spark):
+    # cluster 0 is hot (most rows); every record must come back, in order, in bounded batches
+    rows = [(i, 0 if i % 10 else 1, f"t{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, c int, title string").repartition(5)
+    out = profile.group_records(df, "c", "id", ["title"], batch_rows=7).collect()
+    by_cluster = {}
+    for r in out:
+        assert len(r.records) <= 7
+        by_cluster.setdefault(r.c, []).append((r.batch, r.size, [x.id for x in r.records]))
+    for c, batches in by_cluster.items():
+        batches.sort()
+        assert [b for b, _, _ in batches] == list(range(len(batches)))
+        ids = [i for _, _, ids in batches for i in ids]
+        assert ids == sorted(i for i, cc, _ in rows if cc == c)
+        assert all(size == len(ids) for _, size, _ in batches)
+    assert sum(len(x.records) for x in out) == len(rows)
+
+
+def test_group_ordinal_matches_row_number(spark):
+    from pyspark.sql import Window
+
+    from lectern.operators.references import group_ordinal
+
+    base = spark.range(0, 3000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") < 2000, F.lit("hot"))
+        .otherwise((F.col("id") % 7).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 3001).alias("o"),
+    ).repartition(9)
+    got = {r.id: r.ordinal for r in group_ordinal(base, ["g"], "o", partitions=6).collect()}
+    w = Window.partitionBy("g").orderBy("o")
+    want = {r.id: r.rn for r in base.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want
+
+
+def test_narrate_tree_sees_every_record(spark):
+    from lectern.operators.report import narrate_clusters
+
+    df = spark.createDataFrame([(i, i % 2, f"t{i}") for i in range(23)], "id long, c int, title string")
+    grouped = profile.group_records(df, "c", "id", ["title"], batch_rows=2)
+
+    def model(prompt: str) -> str:
+        import re
+
+        # first level: the ids of the records in the prompt; upper levels: the ids in the parts
+        pattern = r"id(\d+)" if prompt.startswith("Combine") else r'"id":(\d+)'
+        return " ".join(f"id{m}" for m in re.findall(pattern, prompt))
+
+    bodies = {r.c: r.body for r in narrate_clusters(grouped, "c", model, fan_in=3, pause=0.0).collect()}
+    for c in (0, 1):
+        seen = sorted(int(x[2:]) for x in bodies[c].split())
+        assert seen == [i for i in range(23) if i % 2 == c]
 
 
 def test_global_ordinal_dense(spark):
