@@ -76,13 +76,17 @@ def infer(
     """``(id_cols..., prompt)`` -> ``(id_cols..., response, error, attempts)``.
 
     Only the id columns and the prompt cross into Python (column pruning
-    happens before the opaque stage).  ``partitions`` re-balances prompts
-    across that many tasks; by default the input layout is kept.
+    happens before the opaque stage).  ``partitions`` hash-partitions the
+    prompts by their ids over that many tasks (the number of concurrent
+    calls); Spark cannot know that each row is an expensive call, and AQE
+    would otherwise merge a small post-shuffle input into very few tasks.
+    Hashing (not round-robin) keeps the placement stable when a task is
+    retried.  By default the input layout is kept.
     """
     ids = list(id_cols)
     src = df.select(*ids, prompt_col)
     if partitions:
-        src = src.repartition(partitions)
+        src = src.repartition(partitions, *ids)
     id_fields = [src.schema[c] for c in ids]
     out_schema = T.StructType(
         id_fields

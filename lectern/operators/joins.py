@@ -31,14 +31,18 @@ def join_small(
     limit_bytes: int = BROADCAST_LIMIT,
     known_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``small`` onto ``big``; broadcast it only if its size is proven small.
-
-    ``known_rows`` is a static bound (for example k clusters).  Without one the
-    small side is counted (one cheap job on an already-aggregated frame).  Past
-    the limit this is an ordinary shuffle join that AQE may still re-plan and
-    split when a key is skewed.
+    """Join ``small`` onto ``big``; broadcast it only when its size is proven small.
+
+    ``known_rows`` is a static bound (for example k clusters): within the
+    limit the side is broadcast with a hint, and no job is run to check it.
+    Without a bound this is a plain join, and the proof is left to adaptive
+    execution: AQE materialises the small side's shuffle stage first,
+    measures it, and only then turns the join into a broadcast hash join if
+    the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    past it the join stays a shuffle join (and AQE may split skewed keys).
+    Counting the side beforehand would evaluate it twice, which on a large
+    input means a second pass over the data it is aggregated from.
     """
-    rows = known_rows if known_rows is not None else small.count()
-    if estimated_bytes(small, rows) <= limit_bytes:
+    if known_rows is not None and estimated_bytes(small, known_rows) <= limit_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

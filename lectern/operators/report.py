@@ -64,6 +64,8 @@ def narrate_clusters(
     A failed call becomes its text (the error message) instead of aborting.
     Each level's answers are checkpointed: model calls are expensive and not
     deterministic, so they must not be recomputed by a later action.
+    ``partitions`` (default: the cluster's task slots) is the number of
+    concurrent calls per level.
     """
     from lectern.functions.text import fill_template
     from lectern.operators.joins import join_small
@@ -71,7 +73,8 @@ def narrate_clusters(
 
     if fan_in < 2:
         raise ValueError("fan_in must be at least 2")
-    kw = dict(retries=retries, multiplier=multiplier, cap=None, pause=pause, partitions=partitions)
+    n = partitions or grouped.sparkSession.sparkContext.defaultParallelism
+    kw = dict(retries=retries, multiplier=multiplier, cap=None, pause=pause, partitions=n)
     err_text = F.concat(F.lit("Error analyzing cluster "), cluster_title(cluster), F.lit(": API error - "), F.col("error"))
 
     def call(prompts: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from lectern.operators.parsing import (
     merge_fields, normalize_keys, parse_response, project_fields,
 )
 from lectern.operators.text import chunk_text, drop_empty, record_json
+from lectern.session import spread
 from lectern.sources.records import DETAIL_FIELDS, DISPLAY_NAMES
 
 # Our own wording of the three requests; the JSON keys are the record's
@@ -63,11 +64,15 @@ def extract_records(
 ) -> DataFrame:
     """Records with every field NULL when missing (use ``fill_sentinel`` at sinks).
 
-    ``partitions`` spreads each model stage over that many tasks (the number
-    of concurrent calls); by default the input's own split layout is kept.
+    ``partitions`` (default: the cluster's task slots) is the number of
+    concurrent model calls.  The documents are spread over at least that many
+    tasks only when the scan gives fewer (a no-op on a large, well-split
+    input), so the head and chunk calls run where the text was read; the
+    summary calls follow a join, and are explicitly re-partitioned by key.
     """
-    kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause, partitions=partitions)
-    docs = drop_empty(docs.select(key, text), text)
+    n = partitions or docs.sparkSession.sparkContext.defaultParallelism
+    kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause)
+    docs = spread(drop_empty(docs.select(key, text), text), key, min_partitions=n)
 
     basic_prompts = docs.select(key, fill_template(BASIC_PROMPT, head_slice(text)).alias("prompt"))
     basic = parse_response(infer(basic_prompts, "prompt", fn, [key], **kw))
@@ -83,7 +88,7 @@ def extract_records(
     record = basic.join(merged, key, "left")
     cols = ["title", "authors", "year", *DETAIL_FIELDS]
     summary_prompts = record.withColumn("prompt", fill_template(SUMMARY_PROMPT, record_json(cols)))
-    summarised = infer(summary_prompts, "prompt", fn, [key, *cols, "basic_error"], **kw)
+    summarised = infer(summary_prompts, "prompt", fn, [key, *cols, "basic_error"], partitions=n, **kw)
     out = summarised.select(
         key, *cols,
         F.col("response").alias("summary"),

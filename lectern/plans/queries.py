@@ -23,7 +23,7 @@ from lectern.operators.clustering import kmeans
 from lectern.operators.inference import EchoModel, RecordModel, infer
 from lectern.operators.joins import join_small
 from lectern.operators.report import narrate_clusters, review_sections
-from lectern.session import read_table, scratch_path
+from lectern.session import read_table, scratch_path, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,13 +35,24 @@ REP_N = 3
 KMEANS_K = 5
 KMEANS_RESTARTS = 10
 REVIEW_BATCH = 20
-REVIEW_FAN_IN = 2
+REVIEW_FAN_IN = 4
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, sf, name)
 
 
+# Key of each table with long text or JSON per row.
+_KEYS = {"documents": "doc_id", "events": "event_id", "pages": "page_id"}
+
+
+def _spread_t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for CPU-heavy per-row work (regex, JSON, tokenising, model calls):
+    spread over the task slots when the scan has fewer splits than slots
+    (see ``lectern.session.spread``; a no-op on a large, well-split input)."""
+    return spread(read_table(spark, sf, name), _KEYS[name])
+
+
 def _len(c) -> F.Column:
     return F.length(c).cast("int")
 
@@ -112,7 +123,7 @@ def q_csv_roundtrip(spark, sf):
 
 def _responses(spark, sf) -> DataFrame:
     """Model-like answers built from events.props: prose, fences, and three malformed shapes."""
-    ev = _t(spark, sf, "events").select("event_id", "event_type", "props")
+    ev = _spread_t(spark, sf, "events").select("event_id", "event_type", "props")
     resp = (
         F.when(F.col("event_type") == "click", F.concat(F.lit("Sure! Here is the JSON:\n"), "props", F.lit("\nHope this helps.")))
         .when(F.col("event_type") == "view", F.concat(F.lit("```json\n"), "props", F.lit("\n```")))
@@ -124,7 +135,7 @@ def _responses(spark, sf) -> DataFrame:
 
 
 def q_json_envelope(spark, sf):
-    p = _t(spark, sf, "pages").select("page_id", clean_json_envelope("html").alias("env"))
+    p = _spread_t(spark, sf, "pages").select("page_id", clean_json_envelope("html").alias("env"))
     return p.select("page_id", _len("env").alias("env_len"), F.md5("env").alias("env_md5"))
 
 
@@ -173,7 +184,7 @@ def q_format_citation(spark, sf):
 
 
 def q_lead_summary(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", lead_sentences("text", 3).alias("s"))
+    d = _spread_t(spark, sf, "documents").select("doc_id", lead_sentences("text", 3).alias("s"))
     return d.select("doc_id", _len("s").alias("summary_len"), F.md5("s").alias("summary_md5"))
 
 
@@ -183,11 +194,10 @@ def q_infer_stub(spark, sf):
     """One model call per 15,000-character chunk of every document (the whole text)."""
     from lectern.plans.extract import DETAIL_PROMPT
 
-    ch = text.chunk_text(_t(spark, sf, "documents"), size=CHUNK, keep=["doc_id"])
+    ch = text.chunk_text(_spread_t(spark, sf, "documents"), size=CHUNK, keep=["doc_id"])
     d = ch.select("doc_id", F.col("chunk_idx").cast("int").alias("chunk_idx"),
                   fill_template(DETAIL_PROMPT, "chunk").alias("prompt"))
-    out = infer(d, "prompt", EchoModel(), ["doc_id", "chunk_idx"], retries=3, multiplier=0.0, cap=0.0, pause=0.0,
-                partitions=spark.sparkContext.defaultParallelism)
+    out = infer(d, "prompt", EchoModel(), ["doc_id", "chunk_idx"], retries=3, multiplier=0.0, cap=0.0, pause=0.0)
     return out.select("doc_id", "chunk_idx", "response", "error")
 
 
@@ -195,8 +205,7 @@ def q_extract_records(spark, sf):
     from lectern.plans.extract import extract_records
 
     docs = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), "text")
-    return extract_records(docs, RecordModel(), "filename", multiplier=0.0, cap=0.0, pause=0.0,
-                           partitions=spark.sparkContext.defaultParallelism)
+    return extract_records(docs, RecordModel(), "filename", multiplier=0.0, cap=0.0, pause=0.0)
 
 
 # ------------------------------------------------------------ vectors
@@ -263,7 +272,7 @@ def q_project_2d(spark, sf):
 
 
 def q_embed_tfidf(spark, sf):
-    d = _t(spark, sf, "documents")
+    d = _spread_t(spark, sf, "documents")
     v = vectors.embed_tfidf(d, "text", ["doc_id"])
     return v.select("doc_id", F.round(norm("embedding"), 6).alias("norm"))
 
