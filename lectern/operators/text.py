@@ -44,10 +44,14 @@ def chunk_text(
     Slicing is a generator inside one stage: no shuffle, and a long document
     only multiplies rows by its own chunk count.
     """
-    n_chunks = F.ceil(F.length(F.col(text)) / F.lit(size)).cast("int")
-    starts = F.sequence(F.lit(0), n_chunks - 1)
-    slices = F.transform(starts, lambda i: F.substring(F.col(text), i * size + 1, size))
-    return drop_empty(df, text).select(*keep, F.posexplode(slices).alias(idx, out))
+    return drop_empty(df, text).select(*keep, F.posexplode(chunk_slices(text, size)).alias(idx, out))
+
+
+def chunk_slices(text: Column | str, size: int = CHUNK_CHARS) -> Column:
+    """The array of consecutive ``size``-character slices of non-empty ``text``."""
+    t = F.col(text) if isinstance(text, str) else text
+    n_chunks = F.ceil(F.length(t) / F.lit(size)).cast("int")
+    return F.transform(F.sequence(F.lit(0), n_chunks - 1), lambda i: F.substring(t, i * size + 1, size))
 
 
 def head(df: DataFrame, text: str = "text", n: int = HEAD_CHARS, out: str = "head") -> DataFrame:

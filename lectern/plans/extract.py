@@ -19,8 +19,8 @@ from lectern.operators.inference import CALL_PAUSE, TABLE_BACKOFF, TABLE_BACKOFF
 from lectern.operators.parsing import (
     merge_fields, normalize_keys, parse_response, project_fields,
 )
-from lectern.operators.text import chunk_text, drop_empty, record_json
-from lectern.session import spread
+from lectern.operators.text import chunk_slices, drop_empty, record_json
+from lectern.session import cut_lineage, spread
 from lectern.sources.records import DETAIL_FIELDS, DISPLAY_NAMES
 
 # Our own wording of the three requests; the JSON keys are the record's
@@ -74,14 +74,23 @@ def extract_records(
     kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause)
     docs = spread(drop_empty(docs.select(key, text), text), key, min_partitions=n)
 
-    basic_prompts = docs.select(key, fill_template(BASIC_PROMPT, head_slice(text)).alias("prompt"))
-    basic = parse_response(infer(basic_prompts, "prompt", fn, [key], **kw))
-    basic = basic.select(key, *project_fields("obj", BASIC_KEYS), F.col("error").alias("basic_error"))
+    # One pass over the text: the head request (position 0) and one request
+    # per chunk (position i + 1 for chunk i) come from the same row, go
+    # through one model stage, and the answers are stored once (they are
+    # expensive, not deterministic, and read by two branches below).
+    requests = F.concat(
+        F.array(fill_template(BASIC_PROMPT, head_slice(text))),
+        F.transform(chunk_slices(text), lambda c: fill_template(DETAIL_PROMPT, c)),
+    )
+    prompts = docs.select(key, F.posexplode(requests).alias("_pos", "prompt"))
+    answers = cut_lineage(parse_response(infer(prompts, "prompt", fn, [key, "_pos"], **kw))
+                          .select(key, "_pos", "obj", "error"), "answers")
+
+    basic = answers.where(F.col("_pos") == 0).select(
+        key, *project_fields("obj", BASIC_KEYS), F.col("error").alias("basic_error"))
 
-    chunks = chunk_text(docs, text, keep=[key])
-    chunk_prompts = chunks.select(key, "chunk_idx", fill_template(DETAIL_PROMPT, "chunk").alias("prompt"))
-    answers = parse_response(infer(chunk_prompts, "prompt", fn, [key, "chunk_idx"], **kw))
-    parsed = answers.where(F.col("obj").isNotNull()).select(key, "chunk_idx", "obj")
+    parsed = answers.where((F.col("_pos") > 0) & F.col("obj").isNotNull()).select(
+        key, (F.col("_pos") - 1).cast("int").alias("chunk_idx"), "obj")
     fields = normalize_keys(parsed.select(key, "chunk_idx", F.explode("obj").alias("field", "value")), FIELD_ALIASES)
     merged = merge_fields(fields, key, "chunk_idx", DETAIL_FIELDS)
 
