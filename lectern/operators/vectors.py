@@ -129,13 +129,14 @@ def embed(
 
 def embed_tfidf(
     df: DataFrame, text_col: str, id_cols: Sequence[str], num_features: int = 1 << 10, min_doc_freq: int = 1,
-    out: str = "embedding",
+    out: str = "embedding", terms_out: str | None = None,
 ) -> DataFrame:
     """Offline embedding: tokens -> hashed term counts -> IDF -> unit L2 rows.
 
     All stages are Spark ML (JVM).  Term counts are computed once and kept
     (sparse vectors, MEMORY_AND_DISK) for the IDF pass and the weighting pass,
-    so the text is tokenised only once.
+    so the text is tokenised only once.  ``terms_out`` optionally adds each
+    row's number of tokens (the sum of its term counts).
     """
     from pyspark import StorageLevel
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -146,7 +147,11 @@ def embed_tfidf(
     counts = tf.transform(tok.transform(src)).select(*id_cols, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq).fit(counts)
     unit = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0).transform(idf.transform(counts))
-    return unit.select(*id_cols, vector_to_array("_vec").alias(out))
+    extra = []
+    if terms_out:
+        total = F.aggregate(vector_to_array("_tf"), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+        extra = [total.cast("long").alias(terms_out)]
+    return unit.select(*id_cols, vector_to_array("_vec").alias(out), *extra)
 
 
 def project_2d(df: DataFrame, vec: str, keep: Sequence[str]) -> DataFrame:

@@ -257,4 +257,29 @@ fy AS (SELECT label, string_agg(value || '=' || CAST(cnt AS VARCHAR), ', ' ORDER
 SELECT descr.label, descr.description, descr.size, reps.representative_papers, fm.common_methods,
   fd.common_datasets, fy.publication_years
 FROM descr LEFT JOIN reps USING (label) LEFT JOIN fm USING (label) LEFT JOIN fd USING (label) LEFT JOIN fy USING (label)""",
+    "cluster_profile_json": f"""WITH {_PAPERS},
+rp AS (SELECT label, list(title ORDER BY rk) AS lst FROM rr WHERE rk <= 3 GROUP BY label),
+vm AS (
+  SELECT label, source AS value, count(*) AS cnt,
+    row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, source) AS k
+  FROM p WHERE source IS NOT NULL GROUP BY label, source
+),
+vd AS (
+  SELECT label, lang AS value, count(*) AS cnt,
+    row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, lang) AS k
+  FROM p WHERE lang IS NOT NULL GROUP BY label, lang
+),
+vy AS (SELECT label, year AS value, count(*) AS cnt FROM p WHERE year IS NOT NULL GROUP BY label, year),
+fm AS (SELECT label, map(list(value ORDER BY k), list(cnt ORDER BY k)) AS m FROM vm WHERE k <= 3 GROUP BY label),
+fd AS (SELECT label, map(list(value ORDER BY k), list(cnt ORDER BY k)) AS m FROM vd WHERE k <= 3 GROUP BY label),
+fy AS (SELECT label, map(list(value ORDER BY value), list(cnt ORDER BY value)) AS m FROM vy GROUP BY label)
+SELECT descr.label, CAST(to_json(struct_pack(
+  description := descr.description, size := descr.size, representative_papers := rp.lst,
+  common_methods := fm.m, common_datasets := fd.m, publication_years := fy.m)) AS VARCHAR) AS analysis
+FROM descr LEFT JOIN rp USING (label) LEFT JOIN fm USING (label) LEFT JOIN fd USING (label) LEFT JOIN fy USING (label)""",
+    "embed_tfidf": """WITH t AS (
+  SELECT doc_id, len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\W+'), lambda x: length(x) >= 1)) AS n
+  FROM documents
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_terms, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS norm FROM t""",
 }

@@ -273,8 +273,8 @@ def q_project_2d(spark, sf):
 
 def q_embed_tfidf(spark, sf):
     d = _spread_t(spark, sf, "documents")
-    v = vectors.embed_tfidf(d, "text", ["doc_id"])
-    return v.select("doc_id", F.round(norm("embedding"), 6).alias("norm"))
+    v = vectors.embed_tfidf(d, "text", ["doc_id"], terms_out="n_terms")
+    return v.select("doc_id", "n_terms", F.round(norm("embedding"), 6).alias("norm"))
 
 
 # ------------------------------------------------------------ profile
