@@ -7,6 +7,7 @@ with the same output column names and types.
 from __future__ import annotations
 
 from lectern.functions.core import SENTINEL
+from lectern.operators.report import MERGE_PROMPT, NARRATIVE_PROMPT
 from lectern.plans.extract import BASIC_PROMPT, DETAIL_PROMPT
 
 S = "'" + SENTINEL + "'"
@@ -283,3 +284,46 @@ FROM descr LEFT JOIN rp USING (label) LEFT JOIN fm USING (label) LEFT JOIN fd US
 )
 SELECT doc_id, CAST(n AS BIGINT) AS n_terms, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS norm FROM t""",
 }
+
+
+def _echo(prompt: str, label: str) -> str:
+    """SQL for the offline echo model's text (or the section's error text)."""
+    return f"""CASE WHEN length({prompt}) % 11 = 0
+    THEN 'Error analyzing cluster Cluster ' || CAST({label} AS VARCHAR) || ': API error - RuntimeError: model unavailable'
+    ELSE 'Answer: {{"n": ' || CAST(length({prompt}) AS VARCHAR) || ', "w": "'
+      || replace(replace(split_part({prompt}, ' ', 1), '\\', ''), '"', '') || '"}} Thanks.' END"""
+
+
+def _narrative_sql(batch: int, fan_in: int, levels: int = 8) -> str:
+    """The narrative tree unrolled to ``levels`` combining levels (enough for
+    fan_in ** levels batches per cluster); levels past the deepest cluster are
+    empty.  Level 0: one answer per batch of ``batch`` records; level i + 1:
+    one answer per ``fan_in`` consecutive answers, a lone answer passed on."""
+    head, tail = NARRATIVE_PROMPT.split("{}")[0], NARRATIVE_PROMPT.split("{}")[1]
+    m_head, m_tail = MERGE_PROMPT.split("{}")[0], MERGE_PROMPT.split("{}")[1]
+    ctes = [_PAPERS, f"""q AS (SELECT label, doc_id, title, source,
+  row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM p)""",
+            f"""g0 AS (
+  SELECT label, CAST((k - 1) // {batch} AS BIGINT) AS b,
+    {_lit(head)} || 'Cluster ' || CAST(label AS VARCHAR) || {_lit(tail)}
+    || CAST(to_json(list(struct_pack(doc_id := doc_id, title := title, source := source) ORDER BY doc_id)) AS VARCHAR) AS prompt
+  FROM q GROUP BY label, (k - 1) // {batch}
+)""", f"l0 AS (SELECT label, b, {_echo('prompt', 'label')} AS body FROM g0)"]
+    finals = []
+    for i in range(levels):
+        ctes.append(f"m{i} AS (SELECT label, max(b) AS mb FROM l{i} GROUP BY label)")
+        ctes.append(f"f{i} AS (SELECT l.label, l.body FROM l{i} l JOIN m{i} USING (label) WHERE m{i}.mb = 0)")
+        ctes.append(f"""g{i + 1} AS (
+  SELECT l.label, l.b // {fan_in} AS b, list(l.body ORDER BY l.b) AS parts
+  FROM l{i} l JOIN m{i} USING (label) WHERE m{i}.mb > 0 GROUP BY l.label, l.b // {fan_in}
+)""")
+        mp = (f"({_lit(m_head)} || 'Cluster ' || CAST(label AS VARCHAR) || {_lit(m_tail)}"
+              f" || CAST(to_json(parts) AS VARCHAR))")
+        ctes.append(f"""l{i + 1} AS (
+  SELECT label, b, CASE WHEN len(parts) = 1 THEN parts[1] ELSE {_echo(mp, 'label')} END AS body FROM g{i + 1}
+)""")
+        finals.append(f"SELECT label, body FROM f{i}")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(finals)
+
+
+SQL["cluster_narrative"] = _narrative_sql(20, 4)
