@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from lectern.functions.core import SENTINEL
 from lectern.operators.report import MERGE_PROMPT, NARRATIVE_PROMPT
-from lectern.plans.extract import BASIC_PROMPT, DETAIL_PROMPT
+from lectern.plans.extract import BASIC_PROMPT, DETAIL_PROMPT, SUMMARY_PROMPT
 
 S = "'" + SENTINEL + "'"
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
@@ -327,3 +327,94 @@ def _narrative_sql(batch: int, fan_in: int, levels: int = 8) -> str:
 
 
 SQL["cluster_narrative"] = _narrative_sql(20, 4)
+
+
+# Python's str.split() separators (ASCII and Unicode white space), as an RE2 class.
+_PY_WS = r"'[ \t\n\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'"
+_DETAIL = ["method", "features_chosen", "selection_method", "algorithms", "metrics", "datasets", "performance",
+           "contributions", "feature_generation", "limitations"]
+
+
+def _extract_sql() -> str:
+    """Records extracted by the offline record model, from the documents.
+
+    Head request: title = first five words, authors = the next (words % 6)
+    words, year = 1990 + words % 35.  Chunk request: method = first word,
+    datasets = words 2-3, limitations = last word; merged over chunks in
+    order.  Summary: the length of the summary request.  A request whose
+    length is divisible by 13 fails (head, summary: an error; chunk: skipped).
+    """
+    json_parts = ", ".join(
+        f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END"
+        for c in ["title", "authors", "year", *_DETAIL]
+    )
+    merged = ",\n    ".join(
+        f"max(CASE WHEN field = '{c}' THEN merged END) AS {c}" for c in _DETAIL
+    )
+    return f"""WITH d AS (
+  SELECT CAST(doc_id AS VARCHAR) AS filename, text FROM documents WHERE text IS NOT NULL AND text <> ''
+),
+hp AS (SELECT filename, {_PROMPT_PREFIX} || substring(text, 1, 5000) AS prompt FROM d),
+hw AS (
+  SELECT filename, length(prompt) % 13 = 0 AS failed,
+    list_filter(regexp_split_to_array(substring(prompt, {len(BASIC_PROMPT.split("{}")[0]) + 1}), {_PY_WS}), lambda w: w <> '') AS words
+  FROM hp
+),
+basic AS (
+  SELECT filename,
+    CASE WHEN NOT failed THEN nullif(array_to_string(words[1:5], ' '), '') END AS title,
+    CASE WHEN NOT failed THEN nullif(array_to_string(words[6:5 + len(words) % 6], ', '), '') END AS authors,
+    CASE WHEN NOT failed THEN CAST(1990 + len(words) % 35 AS VARCHAR) END AS year,
+    CASE WHEN failed THEN 'RuntimeError: model unavailable' END AS basic_error
+  FROM hw
+),
+c AS (SELECT filename, text, unnest(range(0, CAST(ceil(length(text) / 15000.0) AS BIGINT))) AS i FROM d),
+cp AS (SELECT filename, i, {_DETAIL_PREFIX} || substring(text, CAST(i * 15000 + 1 AS BIGINT), 15000) AS prompt FROM c),
+cw AS (
+  SELECT filename, i,
+    list_filter(regexp_split_to_array(substring(prompt, {len(DETAIL_PROMPT.split("{}")[0]) + 1}), {_PY_WS}), lambda w: w <> '') AS words
+  FROM cp WHERE length(prompt) % 13 <> 0
+),
+fv AS (
+  SELECT filename, i, 'method' AS field, words[1] AS v FROM cw WHERE len(words) > 0
+  UNION ALL SELECT filename, i, 'datasets', array_to_string(words[2:3], ', ') FROM cw
+  UNION ALL SELECT filename, i, 'limitations', words[-1] FROM cw WHERE len(words) > 0
+),
+pc AS (
+  SELECT filename, i, field, rtrim(v, '; ') AS piece FROM fv
+  WHERE v IS NOT NULL AND v <> '' AND v <> {S}
+),
+mf AS (
+  SELECT filename, field, ltrim(string_agg(piece, '; ' ORDER BY i), '; ') AS merged
+  FROM pc WHERE piece <> '' GROUP BY filename, field
+),
+mw AS (SELECT filename,
+    {merged}
+  FROM mf GROUP BY filename),
+rec AS (SELECT * FROM basic LEFT JOIN mw USING (filename)),
+sp AS (
+  SELECT *, {_lit(SUMMARY_PROMPT.split("{}")[0])} || '{{' || array_to_string(list_filter([{json_parts}], lambda x: x IS NOT NULL), ',') || '}}' AS sprompt
+  FROM rec
+),
+sm AS (
+  SELECT *,
+    CASE WHEN length(sprompt) % 13 <> 0 THEN 'Summary of a record with ' || CAST(length(sprompt) AS VARCHAR) || ' characters.' END AS summary,
+    CASE WHEN length(sprompt) % 13 = 0 THEN 'RuntimeError: model unavailable' END AS summary_error,
+    string_split(authors, ',') AS parts
+  FROM sp
+),
+out AS (
+  SELECT filename, title, authors, year, {", ".join(_DETAIL)}, summary,
+    CASE WHEN title IS NOT NULL AND title <> '' AND title <> {S} AND authors IS NOT NULL AND authors <> ''
+           AND authors <> {S} AND year IS NOT NULL AND year <> '' AND year <> {S}
+      THEN array_to_string(list_transform(parts[1:3], lambda x: trim(x, {WS})), ', ')
+        || CASE WHEN len(parts) > 3 THEN ' et al.' ELSE '' END
+        || ', "' || trim(title, {WS}) || '", in Proc. Meta-Learning Conf., ' || year || '.' END AS citation,
+    coalesce(basic_error, summary_error) AS error_message
+  FROM sm
+)
+SELECT *, CASE WHEN error_message IS NULL THEN 'success' ELSE 'error' END AS extraction_status FROM out"""
+
+
+SQL["extract_records"] = _extract_sql()
+
