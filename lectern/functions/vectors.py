@@ -53,3 +53,30 @@ def sq_dist(a: Column | str, b: Column | str) -> Column:
 
 def vec_sum(a: Column | str) -> Column:
     return F.aggregate(as_double_array(a), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
+def _double_sql(x: float) -> str:
+    """A DOUBLE literal in Spark SQL (shortest round-trip text, ``D`` suffix)."""
+    import math
+
+    x = float(x)
+    if not math.isfinite(x):
+        raise ValueError("vector literals must be finite")
+    return f"{x!r}D"
+
+
+def vectors_literal(vectors, ids=None) -> Column:
+    """A small, fixed set of vectors (k centres, P pivots) as one literal
+    ``ARRAY<STRUCT<id INT, c ARRAY<DOUBLE>>>``.
+
+    Written as one SQL expression string, so the driver builds it in a single
+    call instead of one call per number; the values are exact (round-trip
+    text of each double).
+    """
+    ids = list(ids) if ids is not None else list(range(len(vectors)))
+    items = ", ".join(
+        f"named_struct('id', {int(i)}, 'c', array({', '.join(_double_sql(x) for x in v)}))"
+        for i, v in zip(ids, vectors)
+    )
+    return F.expr(f"array({items})")
+

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.core import _c
-from lectern.functions.vectors import as_double_array, cosine, dot, l2_normalize, norm, sq_dist
+from lectern.functions.vectors import as_double_array, cosine, dot, l2_normalize, norm, sq_dist, vectors_literal
 from lectern.operators.joins import join_small
 
 
@@ -77,11 +77,7 @@ def nearest_center(vec: Column | str, centers: Sequence[Sequence[float]], ids: S
     The centres (k small, collected once) are a literal in the expression, so
     assignment is a narrow map over the vectors: no join, no shuffle.
     """
-    ids = list(ids) if ids is not None else list(range(len(centers)))
-    lits = F.array(*[
-        F.struct(F.lit(int(i)).alias("id"), F.array(*[F.lit(float(x)) for x in c]).alias("c"))
-        for i, c in zip(ids, centers)
-    ])
+    lits = vectors_literal(centers, ids)
     v = as_double_array(vec)
     scored = F.transform(lits, lambda s: F.struct(sq_dist(v, s["c"]).alias("d"), s["id"].alias("id")))
     return F.array_min(scored)["id"]
