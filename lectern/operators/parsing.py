@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import _c, is_present
 from lectern.functions.text import clean_json_envelope
+from lectern.operators.text import ORDER_RUN, ordered_join, position_run
 
 _OBJ_ARRAY = "array<map<string,string>>"
 _JSON_OPTS = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false",
@@ -71,6 +72,7 @@ def merge_fields(
     field: str = "field",
     value: str = "value",
     sep: str = "; ",
+    run: int = ORDER_RUN,
 ) -> DataFrame:
     """Merge each field's present values over a document's chunks, in chunk order.
 
@@ -78,15 +80,20 @@ def merge_fields(
     every value loses trailing ``;``/space, empty pieces vanish, the joined text
     loses leading ``;``/space.  One row per document, one column per field
     (an explicit pivot list, so no extra job to find the values).
-    Partial aggregation runs map-side; the shuffle is keyed by document.
+    Two levels keyed by document: pieces are joined per run of ``run``
+    consecutive chunk positions (partial aggregation map-side), then the runs
+    in order, so no group ever gathers a huge document chunk by chunk.
     """
     strip_set = "".join(sorted(set(sep)))
-    present = _pieces(df, key, order, field, value, strip_set)
-    aggs = []
-    for f in fields:
-        piece = F.when(F.col(field) == F.lit(f), F.struct(F.col(order).alias("o"), F.col("_piece").alias("p")))
-        aggs.append(_join_pieces(F.collect_list(piece), sep, strip_set).alias(f))
-    return present.groupBy(key).agg(*aggs)
+    present = _pieces(df, key, order, field, value, strip_set).withColumn("_run", position_run(order, run))
+    item = F.struct(F.col(order).alias("o"), F.col("_piece").alias("t"))
+    runs = present.groupBy(key, "_run").agg(
+        *[ordered_join(F.when(F.col(field) == F.lit(f), item), sep).alias(f) for f in fields])
+    return runs.groupBy(key).agg(*[
+        F.ltrim(ordered_join(F.when(F.col(f).isNotNull(), F.struct(F.col("_run").alias("o"), F.col(f).alias("t"))), sep),
+                F.lit(strip_set)).alias(f)
+        for f in fields
+    ])
 
 
 def _pieces(df: DataFrame, key: str, order: str, field: str, value: str, strip_set: str) -> DataFrame:
@@ -95,20 +102,17 @@ def _pieces(df: DataFrame, key: str, order: str, field: str, value: str, strip_s
     ).where(F.col("_piece") != "")
 
 
-def _join_pieces(collected: Column, sep: str, strip_set: str) -> Column:
-    pieces = F.array_sort(collected)
-    merged = F.ltrim(F.array_join(F.transform(pieces, lambda s: s["p"]), sep), F.lit(strip_set))
-    return F.when(F.size(pieces) > 0, merged)
-
-
 def merge_fields_grouped(
-    df: DataFrame, key: str, order: str, field: str = "field", value: str = "value", sep: str = "; "
+    df: DataFrame, key: str, order: str, field: str = "field", value: str = "value", sep: str = "; ",
+    run: int = ORDER_RUN,
 ) -> DataFrame:
     """Long form of :func:`merge_fields`: one row per (document, field)."""
     strip_set = "".join(sorted(set(sep)))
-    present = _pieces(df, key, order, field, value, strip_set)
-    collected = F.collect_list(F.struct(F.col(order).alias("o"), F.col("_piece").alias("p")))
-    return present.groupBy(key, field).agg(_join_pieces(collected, sep, strip_set).alias("merged"))
+    present = _pieces(df, key, order, field, value, strip_set).withColumn("_run", position_run(order, run))
+    runs = present.groupBy(key, field, "_run").agg(
+        ordered_join(F.struct(F.col(order).alias("o"), F.col("_piece").alias("t")), sep).alias("_part"))
+    merged = ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), sep)
+    return runs.groupBy(key, field).agg(F.ltrim(merged, F.lit(strip_set)).alias("merged"))
 
 
 def capture_status(

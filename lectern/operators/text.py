@@ -11,18 +11,40 @@ from lectern.functions.core import WHITESPACE, strip_chars
 from lectern.functions.text import CHUNK_CHARS, HEAD_CHARS, fill_template, head_slice
 
 
+# Consecutive positions joined into one partial text in the first level of an
+# ordered concatenation.
+ORDER_RUN = 1024
+
+
+def ordered_join(item: Column, sep: str) -> Column:
+    """Aggregate: the ``t`` fields of ``struct(o, t)`` items joined by ``sep`` in ``o`` order (NULL if none)."""
+    items = F.array_sort(F.collect_list(item))
+    return F.when(F.size(items) > 0, F.array_join(F.transform(items, lambda s: s["t"]), sep))
+
+
+def position_run(order: str, run: int = ORDER_RUN) -> Column:
+    """The run of ``run`` consecutive integer positions that ``order`` falls in."""
+    return F.floor(F.col(order) / F.lit(run))
+
+
 def assemble_pages(
-    df: DataFrame, key: str, order: str, text: str, out: str = "text"
+    df: DataFrame, key: str, order: str, text: str, out: str = "text", run: int = ORDER_RUN
 ) -> DataFrame:
     """Concatenate a document's page texts in page order and strip white space.
 
-    One row per document.  The per-document group holds only that document's
-    pages, which together are exactly the output row, so nothing beyond one
-    document is ever gathered in a task.  NULL pages count as empty.
+    One row per document; NULL pages count as empty.  Two levels, so a
+    document with a huge number of pages is never gathered page by page in
+    one group: pages are first joined per run of ``run`` consecutive page
+    numbers (partially aggregated map-side, so the pages of one document are
+    spread over many tasks), then the runs of each document are joined in
+    order, at most pages / ``run`` pieces per document.
     """
-    pages = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t"))))
-    joined = F.array_join(F.transform(pages, lambda p: p["t"]), "")
-    return df.groupBy(key).agg(strip_chars(joined, WHITESPACE).alias(out))
+    pages = df.select(key, F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("_i"),
+                      position_run(order, run).alias("_run"))
+    runs = pages.groupBy(key, "_run").agg(ordered_join(F.col("_i"), "").alias("_part"))
+    joined = runs.groupBy(key).agg(
+        ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), "").alias("_all"))
+    return joined.select(key, strip_chars(F.col("_all"), WHITESPACE).alias(out))
 
 
 def drop_empty(df: DataFrame, text: str = "text") -> DataFrame:

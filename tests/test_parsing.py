@@ -1,3 +1,4 @@
+import pytest
 import json
 import re
 
@@ -84,14 +85,16 @@ MERGE_CASES = {
 }
 
 
-def test_merge_matches_sequential_fold(spark):
+@pytest.mark.parametrize("run", [1024, 2, 1])
+def test_merge_matches_sequential_fold(spark, run):
+    # run = 1 or 2 makes every document span several first-level runs
     rows = [(d, i, "f", v) for d, vals in MERGE_CASES.items() for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "d int, idx int, field string, value string")
-    got = {r.d: r.f for r in merge_fields(df, "d", "idx", ["f"]).collect()}
+    got = {r.d: r.f for r in merge_fields(df, "d", "idx", ["f"], run=run).collect()}
     for d, vals in MERGE_CASES.items():
         want = py_merge(vals)
         assert got.get(d) == (want or None), (d, vals)
-    long = {(r.d, r.field): r.merged for r in merge_fields_grouped(df, "d", "idx").collect()}
+    long = {(r.d, r.field): r.merged for r in merge_fields_grouped(df, "d", "idx", run=run).collect()}
     for d, vals in MERGE_CASES.items():
         want = py_merge(vals)
         assert long.get((d, "f")) == (want or None)
