@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL, is_present
 from lectern.operators.joins import join_small
+from lectern.operators.text import ordered_join
 
 # Description layout.
 DESCRIPTION_TEMPLATE = ("Cluster with ", " papers focusing on ", ". Key papers: ")
@@ -63,13 +64,22 @@ def describe_clusters(
 
     Methods are the distinct present values, sorted (a deterministic order);
     titles are the representatives in rank order.  Distinct values are found
-    by a (cluster, method) aggregate first, so duplicates never reach one task.
+    by a (cluster, method) aggregate first, so duplicates never reach one task,
+    and a cluster with very many distinct values is sorted and joined across
+    many tasks, not in one.
     """
     sizes = cluster_size(df, cluster)
-    methods = (
-        df.where(is_present(method)).select(cluster, method).distinct()
-        .groupBy(cluster).agg(F.array_join(F.array_sort(F.collect_list(method)), ", ").alias("methods"))
-    )
+    # Distinct values first (partial aggregation map-side), then joined in
+    # value order in two levels: range partitions of (cluster, value) hold
+    # contiguous value ranges, each joined in its own task, and a cluster's
+    # pieces (at most one per partition) are joined in partition order.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = df.where(is_present(method)).select(cluster, F.col(method).alias("_v")).distinct()
+    ranged = distinct.repartitionByRange(n, cluster, "_v")
+    runs = ranged.groupBy(cluster, F.spark_partition_id().alias("_run")).agg(
+        ordered_join(F.struct(F.col("_v").alias("o"), F.col("_v").alias("t")), ", ").alias("_part"))
+    methods = runs.groupBy(cluster).agg(
+        ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), ", ").alias("methods"))
     titles = reps.groupBy(cluster).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", F.coalesce(F.col(title).cast("string"), F.lit(SENTINEL)).alias("t")))), lambda s: s["t"]),

@@ -103,3 +103,16 @@ def test_value_histogram(spark):
     df = spark.createDataFrame([(0, "2020"), (0, "2019"), (0, "2020"), (0, None)], "c int, y string")
     got = Counter({r.value: r.cnt for r in profile.value_histogram(df, "c", "y").collect()})
     assert got == Counter({"2020": 2, "2019": 1})
+
+
+def test_description_methods_sorted_across_partitions(spark):
+    # one hot cluster with many distinct methods: joined across range partitions, still in value order
+    rows = [(i, 0 if i % 5 else 1, f"m{(i * 37) % 701:03d}", f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, c int, method string, title string").repartition(6)
+    reps = spark.createDataFrame([(0, 1, "t1"), (1, 1, "t0")], "c int, rank int, title string")
+    desc = {r.c: r.description for r in profile.describe_clusters(df, "c", "method", reps).collect()}
+    for c in (0, 1):
+        methods = sorted({m for _, cc, m, _ in rows if cc == c})
+        size = sum(1 for r in rows if r[1] == c)
+        key = "t1" if c == 0 else "t0"
+        assert desc[c] == f"Cluster with {size} papers focusing on {', '.join(methods)}. Key papers: {key}"
