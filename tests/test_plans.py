@@ -95,3 +95,20 @@ def test_scans_prune_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,n_chars:bigint>" in plan or "source" not in plan.split("ReadSchema")[1].split("\n")[0]
     plan = entry.queries()["cluster_slice"](spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in plan
+
+
+# Queries whose work is a user function (model, similarity kernel) and may run Python stages.
+PYTHON_STAGES = {"infer_stub", "extract_records", "cosine_pairs", "top_neighbors", "cluster_narrative"}
+# The only query with a single-partition step: ordering k + 2 report sections.
+SINGLE_PARTITION = {"report_sections"}
+
+
+def test_every_registered_plan(spark):
+    for name, fn in entry.queries().items():
+        plan = _plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        assert "BatchEvalPython" not in plan, name  # never a row-at-a-time Python UDF
+        if name not in PYTHON_STAGES:
+            assert "InPandas" not in plan and "ArrowEvalPython" not in plan, name
+        if name not in SINGLE_PARTITION:
+            assert "SinglePartition" not in plan, name
