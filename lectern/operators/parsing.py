@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import _c, is_present
 from lectern.functions.text import clean_json_envelope
-from lectern.operators.text import ORDER_RUN, ordered_join, position_run
+from lectern.operators.text import ORDER_RUN, ordered_join, position_run, sql_name, sql_text
 
 _OBJ_ARRAY = "array<map<string,string>>"
 _JSON_OPTS = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false",
@@ -86,12 +86,12 @@ def merge_fields(
     """
     strip_set = "".join(sorted(set(sep)))
     present = _pieces(df, key, order, field, value, strip_set).withColumn("_run", position_run(order, run))
-    item = F.struct(F.col(order).alias("o"), F.col("_piece").alias("t"))
-    runs = present.groupBy(key, "_run").agg(
-        *[ordered_join(F.when(F.col(field) == F.lit(f), item), sep).alias(f) for f in fields])
+    runs = present.groupBy(key, "_run").agg(*[
+        ordered_join(sql_name(order), "_piece", sep, when=f"{sql_name(field)} = {sql_text(f)}").alias(f)
+        for f in fields
+    ])
     return runs.groupBy(key).agg(*[
-        F.ltrim(ordered_join(F.when(F.col(f).isNotNull(), F.struct(F.col("_run").alias("o"), F.col(f).alias("t"))), sep),
-                F.lit(strip_set)).alias(f)
+        F.ltrim(ordered_join("_run", sql_name(f), sep, when=f"{sql_name(f)} IS NOT NULL"), F.lit(strip_set)).alias(f)
         for f in fields
     ])
 
@@ -109,9 +109,8 @@ def merge_fields_grouped(
     """Long form of :func:`merge_fields`: one row per (document, field)."""
     strip_set = "".join(sorted(set(sep)))
     present = _pieces(df, key, order, field, value, strip_set).withColumn("_run", position_run(order, run))
-    runs = present.groupBy(key, field, "_run").agg(
-        ordered_join(F.struct(F.col(order).alias("o"), F.col("_piece").alias("t")), sep).alias("_part"))
-    merged = ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), sep)
+    runs = present.groupBy(key, field, "_run").agg(ordered_join(sql_name(order), "_piece", sep).alias("_part"))
+    merged = ordered_join("_run", "_part", sep)
     return runs.groupBy(key, field).agg(F.ltrim(merged, F.lit(strip_set)).alias("merged"))
 
 

@@ -77,9 +77,8 @@ def describe_clusters(
     distinct = df.where(is_present(method)).select(cluster, F.col(method).alias("_v")).distinct()
     ranged = distinct.repartitionByRange(n, cluster, "_v")
     runs = ranged.groupBy(cluster, F.spark_partition_id().alias("_run")).agg(
-        ordered_join(F.struct(F.col("_v").alias("o"), F.col("_v").alias("t")), ", ").alias("_part"))
-    methods = runs.groupBy(cluster).agg(
-        ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), ", ").alias("methods"))
+        ordered_join("_v", "_v", ", ").alias("_part"))
+    methods = runs.groupBy(cluster).agg(ordered_join("_run", "_part", ", ").alias("methods"))
     titles = reps.groupBy(cluster).agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", F.coalesce(F.col(title).cast("string"), F.lit(SENTINEL)).alias("t")))), lambda s: s["t"]),

@@ -16,10 +16,28 @@ from lectern.functions.text import CHUNK_CHARS, HEAD_CHARS, fill_template, head_
 ORDER_RUN = 1024
 
 
-def ordered_join(item: Column, sep: str) -> Column:
-    """Aggregate: the ``t`` fields of ``struct(o, t)`` items joined by ``sep`` in ``o`` order (NULL if none)."""
-    items = F.array_sort(F.collect_list(item))
-    return F.when(F.size(items) > 0, F.array_join(F.transform(items, lambda s: s["t"]), sep))
+def sql_name(name: str) -> str:
+    """A column name quoted for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ordered_join(order: str, value: str, sep: str, when: str | None = None) -> Column:
+    """Aggregate: ``value`` texts joined by ``sep`` in ``order`` order; NULL if none.
+
+    ``order``, ``value`` and ``when`` (keep only rows where it holds) are
+    SQL expressions; the aggregate is written as one SQL expression, so the
+    driver builds it in one call.
+    """
+    item = f"struct({order} AS o, {value} AS t)"
+    if when:
+        item = f"CASE WHEN {when} THEN {item} END"
+    items = f"array_sort(collect_list({item}))"
+    return F.expr(f"CASE WHEN size({items}) > 0 THEN array_join(transform({items}, s -> s.t), {sql_text(sep)}) END")
 
 
 def position_run(order: str, run: int = ORDER_RUN) -> Column:
@@ -39,11 +57,10 @@ def assemble_pages(
     spread over many tasks), then the runs of each document are joined in
     order, at most pages / ``run`` pieces per document.
     """
-    pages = df.select(key, F.struct(F.col(order).alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("_i"),
+    pages = df.select(key, F.col(order).alias("_o"), F.coalesce(F.col(text), F.lit("")).alias("_t"),
                       position_run(order, run).alias("_run"))
-    runs = pages.groupBy(key, "_run").agg(ordered_join(F.col("_i"), "").alias("_part"))
-    joined = runs.groupBy(key).agg(
-        ordered_join(F.struct(F.col("_run").alias("o"), F.col("_part").alias("t")), "").alias("_all"))
+    runs = pages.groupBy(key, "_run").agg(ordered_join("_o", "_t", "").alias("_part"))
+    joined = runs.groupBy(key).agg(ordered_join("_run", "_part", "").alias("_all"))
     return joined.select(key, strip_chars(F.col("_all"), WHITESPACE).alias(out))
 
 
