@@ -126,3 +126,37 @@ def test_embed_tfidf_unit_rows(spark):
     v = vectors.embed_tfidf(docs, "text", ["doc_id"], num_features=256)
     norms = [float(np.linalg.norm(r.embedding)) for r in v.collect()]
     assert all(abs(x - 1.0) < 1e-9 or x == 0.0 for x in norms)
+
+
+def test_cosine_pairs_hot_pivot_matches_brute_force(spark):
+    # a third of the rows are near-copies of one vector: one pivot partition is hot and is cut
+    # into many sub-blocks; every qualifying pair must still be found exactly once
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=16)
+    hot = [base + 0.01 * rng.normal(size=16) for _ in range(120)]
+    rest = [rng.normal(size=16) for _ in range(240)]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(hot + rest)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    ids = np.array([r[0] for r in rows])
+    m = np.array([r[1] for r in rows])
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    sims = m @ m.T
+    t = 0.6
+    want = {(int(ids[a]), int(ids[b])) for a in range(len(ids)) for b in range(a + 1, len(ids)) if sims[a, b] >= t}
+    got = [(r.i, r.j) for r in similarity.cosine_pairs(e, "vec_id", "embedding", t, pivots=6, block_rows=16).collect()]
+    assert len(got) == len(set(got))
+    near = {(int(ids[a]), int(ids[b])) for a in range(len(ids)) for b in range(a + 1, len(ids)) if abs(sims[a, b] - t) < 1e-9}
+    assert set(got) - near == want - near
+    assert len(want) >= 120 * 119 // 2  # the hot group's pairs are all there
+
+
+def test_embed_injected_model_batches_and_alignment(spark):
+    def factory():
+        def model(texts):
+            assert len(texts) <= 4  # fed in batches of at most `batch` texts
+            return [[float(len(t)), float(t.count("a"))] for t in texts]
+        return model
+
+    df = spark.createDataFrame([(i, "a" * (i % 5) + "b" * i) for i in range(50)], "id long, text string").repartition(3)
+    got = {r.id: r.embedding for r in vectors.embed(df, "text", factory, ["id"], batch=4).collect()}
+    assert got == {i: [float(i % 5 + i), float(i % 5)] for i in range(50)}
