@@ -40,17 +40,45 @@ def test_cosine_pairs_matches_brute_force(spark, threshold, pivots, block):
     assert set(got) - near == want - near
 
 
-def test_top_neighbors_matches_brute_force(spark):
+def _brute_topk(ids, m, k):
+    sims = np.round(m @ m.T, similarity.SIM_DECIMALS)
+    np.fill_diagonal(sims, -np.inf)
+    out = {}
+    for a, i in enumerate(ids):
+        order = [o for o in np.lexsort((ids, -sims[a])) if o != a][:k]
+        out[int(i)] = [int(ids[o]) for o in order]
+    return out
+
+
+@pytest.mark.parametrize("k,pivots,block", [(3, 16, 41), (1, 3, 2048), (5, 7, 13), (3, 64, 2048)])
+def test_top_neighbors_matches_brute_force(spark, k, pivots, block):
     e = _emb(spark)
     ids, m = _np(e)
-    sims = m @ m.T
-    np.fill_diagonal(sims, -np.inf)
+    want = _brute_topk(ids, m, k)
     got = {}
-    for r in similarity.top_neighbors(e, "vec_id", "embedding", k=3, block_rows=41).collect():
+    for r in similarity.top_neighbors(e, "vec_id", "embedding", k=k, pivots=pivots, block_rows=block).collect():
         got.setdefault(r.id, []).append((r.rank, r.neighbor))
-    for a, i in enumerate(ids):
-        order = np.lexsort((ids, -sims[a]))[:3]
-        assert [n for _, n in sorted(got[int(i)])] == [int(ids[o]) for o in order]
+    assert {i: [n for _, n in sorted(v)] for i, v in got.items()} == want
+
+
+def test_top_neighbors_with_copies(spark):
+    # a third of the rows are exact copies (one home holds them all); ties go to smaller ids
+    rng = np.random.default_rng(3)
+    base = [float(x) for x in rng.normal(size=8)]
+    rows = [(i, base if i % 3 == 0 else [float(x) for x in rng.normal(size=8)]) for i in range(150)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    ids = np.array([r[0] for r in rows])
+    m = np.array([r[1] for r in rows])
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = _brute_topk(ids, m, 4)
+    got = {}
+    for r in similarity.top_neighbors(e, "vec_id", "embedding", k=4, pivots=5, block_rows=16).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbor))
+    got = {i: [n for _, n in sorted(v)] for i, v in got.items()}
+    copies = [i for i in range(150) if i % 3 == 0]
+    for i in copies:
+        assert got[i] == [c for c in copies if c != i][:4]
+    assert got == want
 
 
 def test_representatives_and_assign(spark):
@@ -160,3 +188,49 @@ def test_embed_injected_model_batches_and_alignment(spark):
     df = spark.createDataFrame([(i, "a" * (i % 5) + "b" * i) for i in range(50)], "id long, text string").repartition(3)
     got = {r.id: r.embedding for r in vectors.embed(df, "text", factory, ["id"], batch=4).collect()}
     assert got == {i: [float(i % 5 + i), float(i % 5)] for i in range(50)}
+
+
+def test_top_neighbors_pruned_path_on_clustered_data(spark, monkeypatch):
+    # tight, well separated groups: the pivots prune, so the pruned path must run (no fallback)
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(6, 8)) * 5
+    rows = [(i, [float(x) for x in centers[i % 6] + 0.05 * rng.normal(size=8)]) for i in range(300)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+
+    def no_fallback(*a, **kw):
+        raise AssertionError("pruning should have been effective")
+
+    monkeypatch.setattr(similarity, "_top_neighbors_direct", no_fallback)
+    ids = np.array([r[0] for r in rows])
+    m = np.array([r[1] for r in rows])
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    got = {}
+    for r in similarity.top_neighbors(e, "vec_id", "embedding", k=3, pivots=12, block_rows=20).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbor))
+    assert {i: [n for _, n in sorted(v)] for i, v in got.items()} == _brute_topk(ids, m, 3)
+
+
+def test_cosine_pairs_pruned_path_on_clustered_data(spark, monkeypatch):
+    # tight, well separated groups: each vector reaches few pivots, so the pivot partitions are used
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(8, 8)) * 5
+    rows = [(i, [float(x) for x in centers[i % 8] + 0.05 * rng.normal(size=8)]) for i in range(320)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    seen = []
+    real = similarity._counts
+
+    def recording(df, part):
+        out = real(df, part)
+        seen.append(out)
+        return out
+
+    monkeypatch.setattr(similarity, "_counts", recording)
+    ids = np.array([r[0] for r in rows])
+    m = np.array([r[1] for r in rows])
+    m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    sims = m @ m.T
+    t = 0.95
+    want = {(int(ids[a]), int(ids[b])) for a in range(len(ids)) for b in range(a + 1, len(ids)) if sims[a, b] >= t}
+    got = [(r.i, r.j) for r in similarity.cosine_pairs(e, "vec_id", "embedding", t, pivots=24, block_rows=20).collect()]
+    assert seen and sum(c * c for c in seen[0].values()) < len(rows) ** 2  # the pivots pruned
+    assert len(got) == len(set(got)) and set(got) == want
