@@ -23,7 +23,7 @@ from lectern.operators.clustering import kmeans
 from lectern.operators.inference import EchoModel, RecordModel, infer
 from lectern.operators.joins import join_small
 from lectern.operators.report import narrate_clusters, review_sections
-from lectern.session import read_table, scratch_path, spread
+from lectern.session import cut_lineage, read_table, scratch_path, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,12 +281,16 @@ def q_embed_tfidf(spark, sf):
 
 def _papers(spark, sf) -> DataFrame:
     """Vectors joined to documents (vec_id = doc_id): label as cluster, source as
-    method, the first line of the text as title."""
+    method, the first line of the text as title.
+
+    The joined table feeds many aggregates of one query, so it is written
+    once (``cut_lineage``) rather than recomputed in every branch of the plan.
+    """
     e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "label", "embedding")
     d = _t(spark, sf, "documents").select(
         "doc_id", "source", "lang", F.substring_index("text", "\n", 1).alias("title"),
         (F.lit(1990) + F.least(F.floor(F.col("n_chars") / 1000), F.lit(35))).cast("string").alias("year"))
-    return e.join(d, "doc_id")
+    return cut_lineage(e.join(d, "doc_id"), "papers")
 
 
 def q_top_values(spark, sf):
@@ -301,19 +305,20 @@ def q_year_histogram(spark, sf):
     return h.select("o_orderstatus", F.col("value").alias("year"), "cnt")
 
 
-def _descriptions(spark, sf) -> tuple[DataFrame, DataFrame]:
+def _descriptions(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Papers, their representatives (n per cluster, stored once) and cluster descriptions."""
     p = _papers(spark, sf)
-    reps = vectors.representatives(p, "label", "embedding", "doc_id", REP_N)
-    return p, profile.describe_clusters(p, "label", "source", reps)
+    reps = cut_lineage(vectors.representatives(p, "label", "embedding", "doc_id", REP_N).drop("embedding"), "reps")
+    return p, reps, profile.describe_clusters(p, "label", "source", reps)
 
 
 def q_cluster_description(spark, sf):
-    _, desc = _descriptions(spark, sf)
+    _, _, desc = _descriptions(spark, sf)
     return desc.select("label", "size", "description")
 
 
 def q_attach_description(spark, sf):
-    p, desc = _descriptions(spark, sf)
+    p, _, desc = _descriptions(spark, sf)
     a = profile.attach_description(p.select("doc_id", "label"), desc, "label")
     return a.select("doc_id", "label", F.md5("cluster_description").alias("description_md5"))
 
@@ -335,7 +340,7 @@ def q_number_references(spark, sf):
 
 def q_report_sections(spark, sf):
     p = _papers(spark, sf)
-    bodies = _papers(spark, sf).groupBy("label").agg(F.lit("").alias("body"))
+    bodies = p.groupBy("label").agg(F.lit("").alias("body"))
     s = review_sections(p, "label", "doc_id", bodies, "intro", "end")
     return s.select(F.col("section_order").cast("int").alias("section_order"), "section_id", "title")
 
@@ -347,8 +352,7 @@ def q_cluster_narrative(spark, sf):
 
 
 def q_cluster_profile_json(spark, sf):
-    p, desc = _descriptions(spark, sf)
-    reps = vectors.representatives(p, "label", "embedding", "doc_id", REP_N)
+    p, reps, desc = _descriptions(spark, sf)
     prof = profile.cluster_profile(p, "label", desc, reps, "source", "lang", "year")
     return prof.select("label", F.to_json(F.struct(*[c for c in prof.columns if c != "label"])).alias("analysis"))
 
@@ -359,8 +363,7 @@ def _flat_map(col: str) -> F.Column:
 
 def q_cluster_profile(spark, sf):
     """The per-cluster profile with its maps flattened to ordered ``key=count`` text."""
-    p, desc = _descriptions(spark, sf)
-    reps = vectors.representatives(p, "label", "embedding", "doc_id", REP_N)
+    p, reps, desc = _descriptions(spark, sf)
     prof = profile.cluster_profile(p, "label", desc, reps, "source", "lang", "year")
     return prof.select(
         "label", "description", "size",
