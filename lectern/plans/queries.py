@@ -110,6 +110,14 @@ def q_cluster_slice(spark, sf):
     return profile.cluster_slice(_t(spark, sf, "embeddings"), "label", 3).select("vec_id", "label")
 
 
+def q_scan_documents(spark, sf):
+    """The table files of ``sf`` read as document files (binary file source, not recursive)."""
+    from lectern.sources.records import scan_documents
+
+    files = scan_documents(spark, sf, "*.parquet")
+    return files.select("filename", F.length("content").cast("long").alias("n_bytes"))
+
+
 def q_csv_roundtrip(spark, sf):
     from lectern.sources.records import read_records
 
@@ -389,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "build_prompt": q_build_prompt,
     "fill_sentinel": q_fill_sentinel,
     "cluster_slice": q_cluster_slice,
+    "scan_documents": q_scan_documents,
     "csv_roundtrip": q_csv_roundtrip,
     "json_envelope": q_json_envelope,
     "json_parse": q_json_parse,
