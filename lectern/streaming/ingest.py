@@ -30,8 +30,13 @@ def incremental_ingest(
     fmt: str = "parquet",
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    batch_writer: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
-    """Run ``transform`` over every new file of ``source`` and append results to ``sink``."""
+    """Run ``transform`` over every new file of ``source`` and append results to ``sink``.
+
+    ``batch_writer(batch, batch_id)`` replaces the default writer (which puts
+    ``transform(batch)`` under ``<sink>/batch_id=<n>/``, overwriting it).
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -43,7 +48,7 @@ def incremental_ingest(
         transform(batch).write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
     q = (
-        stream.writeStream.foreachBatch(write_batch)
+        stream.writeStream.foreachBatch(batch_writer or write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -51,15 +56,70 @@ def incremental_ingest(
     q.awaitTermination()
 
 
+# Default number of key buckets of the stored pages (the unit of partition pruning).
+PAGE_BUCKETS = 64
+
+
+def incremental_documents(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    sink: str,
+    checkpoint: str,
+    key: str,
+    order: str,
+    text: str,
+    buckets: int = PAGE_BUCKETS,
+    glob: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> None:
+    """Pages arriving in files -> assembled documents, kept current as pages arrive.
+
+    A document's pages may span files and micro-batches.  Each micro-batch
+    stores its pages under ``<sink>/pages/batch_id=<n>/bucket=<b>/`` (b a
+    hash bucket of the key), then re-assembles only the documents it touched,
+    from all their pages so far, into ``<sink>/docs/batch_id=<n>/``.  The
+    semi-join with the touched (key, bucket) pairs lets dynamic partition
+    pruning skip the buckets no touched document lives in.  Both writes
+    overwrite their batch folder, so a retried batch is idempotent;
+    :func:`latest_documents` reads the newest version of each document.
+    """
+    from pyspark.sql import functions as F
+
+    pages_path, docs_path = os.path.join(sink, "pages"), os.path.join(sink, "docs")
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        new = batch.select(key, order, text).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(pages_path, f"batch_id={batch_id}"))
+        touched = spark.read.parquet(os.path.join(pages_path, f"batch_id={batch_id}")).select(key, "bucket").distinct()
+        history = spark.read.parquet(pages_path).where(F.col("batch_id") <= batch_id)
+        mine = history.join(touched, [key, "bucket"], "left_semi")
+        docs = assemble_pages(mine, key, order, text)
+        docs.write.mode("overwrite").parquet(os.path.join(docs_path, f"batch_id={batch_id}"))
+
+    incremental_ingest(spark, source, schema, sink, checkpoint, lambda b: b, glob=glob,
+                       max_files_per_trigger=max_files_per_trigger, batch_writer=run_batch)
+
+
+def latest_documents(spark: SparkSession, sink: str, key: str) -> DataFrame:
+    """The newest assembled version of every document (one row per key)."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(os.path.join(sink, "docs"))
+    cols = [c for c in docs.columns if c not in (key, "batch_id")]
+    newest = docs.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_d"))
+    return newest.select(key, "_d.*")
+
+
 def incremental_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations streamed from the table's file, assembled per conversation
-    (turn = page) in each micro-batch, then read back from the sink."""
+    """Conversations streamed from the table's file and assembled per
+    conversation (turn = page), kept current across micro-batches, then the
+    newest version of each read back from the sink."""
     conv_schema = spark.read.parquet(os.path.join(sf_dir, "conversations.parquet")).schema
     sink = scratch_path(spark, "ingest-sink")
     ckpt = scratch_path(spark, "ingest-ckpt")
-    incremental_ingest(
-        spark, sf_dir, conv_schema, sink, ckpt,
-        lambda b: assemble_pages(b, "conv_id", "turn", "text"),
-        glob="conversations.parquet",
-    )
-    return spark.read.parquet(sink).drop("batch_id")
+    incremental_documents(spark, sf_dir, conv_schema, sink, ckpt, "conv_id", "turn", "text",
+                          glob="conversations.parquet")
+    return latest_documents(spark, sink, "conv_id")

@@ -86,3 +86,21 @@ def test_incremental_ingest_only_new_files(spark, tmp_dir):
     incremental_ingest(spark, os.path.join(src, "*"), st, sink, ckpt, fn)
     out = spark.read.parquet(sink)
     assert sorted((r.conv_id, r.text, r.batch_id) for r in out.collect()) == [(1, "ab", 0), (2, "c", 1)]
+
+
+def test_incremental_documents_span_batches(spark, tmp_dir):
+    from lectern.streaming.ingest import incremental_documents, latest_documents
+
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("src2", "sink2", "ckpt2"))
+    schema = "conv_id long, turn long, text string"
+    st = spark.createDataFrame([], schema).schema
+    first = [(1, 0, "a"), (1, 1, "b"), (2, 0, "x")]
+    second = [(1, 2, "c"), (3, 0, "z"), (2, 1, " y ")]  # documents 1 and 2 continue in a later file
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(os.path.join(src, "f1"))
+    incremental_documents(spark, os.path.join(src, "*"), st, sink, ckpt, "conv_id", "turn", "text", buckets=4)
+    got = {r.conv_id: r.text for r in latest_documents(spark, sink, "conv_id").collect()}
+    assert got == {1: "ab", 2: "x"}
+    spark.createDataFrame(second, schema).coalesce(1).write.parquet(os.path.join(src, "f2"))
+    incremental_documents(spark, os.path.join(src, "*"), st, sink, ckpt, "conv_id", "turn", "text", buckets=4)
+    got = {r.conv_id: r.text for r in latest_documents(spark, sink, "conv_id").collect()}
+    assert got == {1: "abc", 2: "x y", 3: "z"}
