@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions.core import _c
 from lectern.functions.vectors import as_double_array, cosine, dot, l2_normalize, norm, sq_dist, vectors_literal
 from lectern.operators.joins import join_small
 
