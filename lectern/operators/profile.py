@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lectern.functions.core import SENTINEL, is_present
 from lectern.operators.joins import join_small
 from lectern.operators.text import ordered_join
+from lectern.session import range_partitions
 
 # Description layout.
 DESCRIPTION_TEMPLATE = ("Cluster with ", " papers focusing on ", ". Key papers: ")
@@ -73,9 +74,8 @@ def describe_clusters(
     # value order in two levels: range partitions of (cluster, value) hold
     # contiguous value ranges, each joined in its own task, and a cluster's
     # pieces (at most one per partition) are joined in partition order.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = df.where(is_present(method)).select(cluster, F.col(method).alias("_v")).distinct()
-    ranged = distinct.repartitionByRange(n, cluster, "_v")
+    ranged = distinct.repartitionByRange(range_partitions(distinct), cluster, "_v")
     runs = ranged.groupBy(cluster, F.spark_partition_id().alias("_run")).agg(
         ordered_join("_v", "_v", ", ").alias("_part"))
     methods = runs.groupBy(cluster).agg(ordered_join("_run", "_part", ", ").alias("methods"))

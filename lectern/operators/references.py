@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL, is_present
 from lectern.operators.joins import join_small
-from lectern.session import cut_lineage
+from lectern.session import cut_lineage, range_partitions
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -29,7 +29,7 @@ NO_CITATIONS = "No valid citations found."
 def global_ordinal(df: DataFrame, order: str, out: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ties -> arbitrary but stable)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     ranged = df.repartitionByRange(n, F.col(order)).sortWithinPartitions(order)
     ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), 33)
@@ -61,7 +61,7 @@ def group_ordinal(
     partitions, and that offset joins back onto the rows.
     """
     group = list(group)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     ranged = df.repartitionByRange(n, *[F.col(g) for g in group], F.col(order)).sortWithinPartitions(*group, order)
     ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_p", F.shiftright(F.col("_mid"), 33)).withColumn(

@@ -68,5 +68,30 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
+# Target bytes per range partition (Spark's own default split size).
+RANGE_PARTITION_BYTES = 128 * 1024 * 1024
+# Upper bound on range partitions derived from size estimates.
+MAX_RANGE_PARTITIONS = 100_000
+
+
+def range_partitions(df: DataFrame, target_bytes: int = RANGE_PARTITION_BYTES) -> int:
+    """How many range partitions to sort ``df`` into.
+
+    A range repartition with an explicit count is neither merged nor split by
+    AQE, so the count must follow the data: the optimizer's size estimate of
+    the plan divided by ``target_bytes``, and never fewer than the session's
+    shuffle partitions.  Unknown or absurd estimates fall back to that floor.
+    """
+    floor = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw if isinstance(raw, int) else raw.toString())
+    except Exception:  # no statistics available: keep the session's setting
+        return floor
+    if size <= 0 or size >= (1 << 62):
+        return floor
+    return int(min(MAX_RANGE_PARTITIONS, max(floor, -(-size // target_bytes))))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

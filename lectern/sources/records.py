@@ -172,7 +172,9 @@ def write_report(lines: DataFrame, path: str, partitions: int | None = None) ->
     Part files are numbered in key order, so concatenating them in name order
     gives the report; no single task holds the whole text.
     """
-    n = partitions or max(1, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    from lectern.session import range_partitions
+
+    n = partitions or range_partitions(lines)
     (lines.repartitionByRange(n, "k1", "k2").sortWithinPartitions("k1", "k2")
      .select("line").write.mode("overwrite").text(path))
 

@@ -61,3 +61,13 @@ def test_extraction_calls_each_request_once(spark):
     assert n == n_docs
     # head + chunks once (stored), summaries once per action
     assert acc.value == n_docs + n_chunks + 2 * n_docs
+
+
+def test_range_partitions_follow_the_data(spark):
+    from lectern.session import range_partitions
+
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert range_partitions(docs) == floor  # small input: the session's setting
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    assert range_partitions(docs, target_bytes=max(1, size // (floor * 3))) >= floor * 3  # grows with size
