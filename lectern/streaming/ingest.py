@@ -92,6 +92,9 @@ def incremental_documents(
         if batch.isEmpty():
             return
         new = batch.select(key, order, text).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        # Few files per bucket instead of one per input task and bucket; AQE
+        # splits a hot bucket across tasks, so one hot key is not one task.
+        new = new.hint("rebalance", "bucket")
         new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(pages_path, f"batch_id={batch_id}"))
         touched = spark.read.parquet(os.path.join(pages_path, f"batch_id={batch_id}")).select(key, "bucket").distinct()
         history = spark.read.parquet(pages_path).where(F.col("batch_id") <= batch_id)
