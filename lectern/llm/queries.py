@@ -3,18 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lectern.llm.decontaminate import contaminated
 from lectern.llm.near_dup import near_duplicates
+from lectern.llm.secrets import secret_spans
+from lectern.llm.sharding import shard_rows
+from lectern.llm.substring_dedup import digest, remove_repeats
+from lectern.llm.token_counts import token_counts
 from lectern.session import read_table
 
+SHARDS = 8
+SEED = 20
+TOKEN_LIMIT = 1024
+
+
+def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file, read by the driver; tasks get its text."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+def op2_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
+    out = shard_rows(read_table(spark, sf, "documents"), SHARDS, seed=SEED)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), F.col("row").alias("row_number"))
+
+
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    out = token_counts(read_table(spark, sf, "documents"), tokenizer_json())
+    return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_spans(read_table(spark, sf, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return digest(remove_repeats(read_table(spark, sf, "documents")))
+
 
 def op9_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_feistel_shards": op2_feistel_shards,
+    "op3_token_counts": op3_token_counts,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_near_dup": op9_near_dup,
 }
 
