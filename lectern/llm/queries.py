@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.decontaminate import contaminated
+from lectern.llm.mixing import mix_sources
 from lectern.llm.near_dup import near_duplicates
+from lectern.llm.pseudonyms import pseudonymise
+from lectern.llm.quality_rules import quality_rules
 from lectern.llm.secrets import secret_spans
 from lectern.llm.sharding import shard_rows
 from lectern.llm.substring_dedup import digest, remove_repeats
 from lectern.llm.token_counts import token_counts
+from lectern.llm.url_filter import filter_urls, host_path
 from lectern.session import read_table
 
 SHARDS = 8
 SEED = 20
 TOKEN_LIMIT = 1024
+# A demonstration key: production passes its own.
+SECRET = "demonstration-key"
+# Verdict, host, path.
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
 def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
@@ -28,6 +36,10 @@ def tokenizer_json(name: str = "byte_bpe_50k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+def op1_temperature_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf, "documents"), seed=SEED)
+
+
 def op2_feistel_shards(spark: SparkSession, sf: str) -> DataFrame:
     out = shard_rows(read_table(spark, sf, "documents"), SHARDS, seed=SEED)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -51,17 +63,39 @@ def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return digest(remove_repeats(read_table(spark, sf, "documents")))
 
 
+def op7_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonymise(read_table(spark, sf, "documents"), SECRET)
+
+
+def op8_url_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """A page is labelled by its document, whose number is the first number in the path: bad if of low quality."""
+    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    number = F.regexp_extract(host_path(F.col("url"))[1], "/([0-9]{1,18})(?![0-9])", 1)
+    own = pages.select("page_id", F.when(number != "", number).cast("long").alias("doc_id"))
+    labels = read_table(spark, sf, "labels").select("doc_id", (F.col("quality") == 0).alias("bad"))
+    return filter_urls(pages, own.join(labels, "doc_id").select("page_id", "bad"), URL_RULES)
+
+
 def op9_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"))
 
 
+def op10_host_quality(spark: SparkSession, sf: str) -> DataFrame:
+    out = quality_rules(read_table(spark, sf, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "host")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_temperature_mix": op1_temperature_mix,
     "op2_feistel_shards": op2_feistel_shards,
     "op3_token_counts": op3_token_counts,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_pseudonyms": op7_pseudonyms,
+    "op8_url_templates": op8_url_templates,
     "op9_near_dup": op9_near_dup,
+    "op10_host_quality": op10_host_quality,
 }
 
 SQL: dict[str, str] = {}
