@@ -6,9 +6,10 @@ base ``BASE`` (registers of a union are the larger of each pair, so sketches mer
 frequent as the Jaccard similarity.  Bands of registers give candidates, the joint likelihood of both registers and
 set sizes drops what cannot reach the threshold, and the full sets confirm every link.
 
-Nothing quadratic: documents of equal sets are one class; in a bucket every class is first compared with the
-bucket's smallest; components of the links so found need no further pair inside themselves, so the second step
-only compares the classes outside a bucket's largest component with the classes of other components there.
+Nothing quadratic: documents of equal sets are one class, and in a bucket every class is compared with the bucket's
+smallest only.  Components of the links so found need no further pair inside themselves.  Classes that share a
+bucket with another component are then joined across components by prefixes: with shingles in order of rising
+frequency, two sets that reach the threshold share a shingle so early in both that enough could still follow.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.graph import components
+from lectern.llm.native import text_key
 from lectern.llm.words import mix, shingles, stream, text_blocks
 from lectern.session import cut_lineage
 
@@ -74,14 +76,14 @@ def _set_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, n, fp_a, fp_b, registers."""
+    """doc_id, text_key, text -> doc_id, text_key, n, fp_a, fp_b, registers."""
     for batch in batches:
-        for lo, hi, h, first, fps in _set_blocks(batch.column(1)):
+        for lo, hi, h, first, fps in _set_blocks(batch.column(2)):
             regs = registers(h, first, BANDS * ROWS)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first), pa.int64()), *map(pa.array, fps),
+                *[batch.column(c).slice(lo, hi - lo) for c in (0, 1)], pa.array(np.diff(first), pa.int64()), *map(pa.array, fps),
                 pa.array([r.tobytes() for r in regs], pa.binary()),
-            ], names=["doc_id", "n", "fp_a", "fp_b", "regs"])
+            ], names=["doc_id", "text_key", "n", "fp_a", "fp_b", "regs"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,23 +136,43 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, fp_a, fp_b, regs) of every row; n counts distinct shingles, fp_a and fp_b tell sets apart."""
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(
-        _sketches, "doc_id long, n long, fp_a long, fp_b long, regs binary")
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of class ids whose full sets reach the threshold; pairs are likely ones only, each once."""
+    """(doc_id, text_key, n, fp_a, fp_b, regs) of every row; n counts distinct shingles, fp_a and fp_b tell sets apart."""
+    return docs.select(F.col(key).cast("long"), text_key(text), F.col(text)).mapInArrow(
+        _sketches, "doc_id long, text_key long, n long, fp_a long, fp_b long, regs binary")
+
+
+def _apart(rows: DataFrame, bucket: str) -> DataFrame:
+    """Rows (bucket, cid, part, ...) of buckets with several parts, with ``major``, the part most frequent there."""
+    sizes = rows.groupBy(bucket, "part").agg(F.count(F.lit(1)).alias("k"))
+    major = sizes.groupBy(bucket).agg(F.max(F.struct("k", "part")).alias("top"), F.count(F.lit(1)).alias("parts")).where(
+        "parts > 1").select(bucket, F.col("top.part").alias("major"))
+    return cut_lineage(rows.join(major, bucket), "apart")
+
+
+def _prefix_pairs(sets: DataFrame) -> DataFrame:
+    """(a, b): pairs of different parts that the order of their shingles lets reach the threshold; sets: id, part, grams."""
+    sized = sets.select(F.col("id").alias("cid"), "part", F.size("grams").cast("long").alias("n"), "grams")
+    tokens = sized.select("cid", "part", "n", F.explode("grams").alias("g"))
+    often = cut_lineage(tokens.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
+    ranked = tokens.join(often, "g").groupBy("cid", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("r"))
+    # shingles of one set only come first and meet nothing; of the others, those of the first quarter can be shared
+    alone = F.col("n") - F.size("r")
+    most = F.greatest(F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n")) + 1 - alone, F.lit(0)).cast("int")
+    prefix = ranked.select("cid", "part", "n", alone.alias("alone"), F.posexplode(F.slice("r", F.lit(1), most)).alias("i", "t")).select(
+        F.col("t.g").alias("g"), "cid", "part", (F.col("n") - F.col("alone") - F.col("i")).alias("left"), "n")
+    prefix = _apart(prefix, "g")
+    minor = prefix.where("part <> major").select("g", *[F.col(c).alias(f"x_{c}") for c in ("cid", "part", "left", "n")])
+    pairs = minor.join(prefix, "g").where(
+        "x_part <> part and (part = major or x_cid < cid) and 7 * least(x_left, left) >= 3 * (x_n + n) and 4 * least(x_n, n) >= 3 * greatest(x_n, n)")
+    return pairs.select(F.least("x_cid", "cid").alias("a"), F.greatest("x_cid", "cid").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of class ids, each given once, whose full sets reach the threshold."""
     for side in ("a", "b"):
         one = classes.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), F.col("regs").alias(f"r{side}"))
         pairs = pairs.join(one, side)
     likely = cut_lineage(pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a long, b long"), "likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    known = classes.join(ids, "cid").select(F.col("cid").alias("doc_id"), "fp_a", "fp_b")
-    # rows that repeat a document give its set once
-    sets = docs.join(known, "doc_id").select("doc_id", "fp_a", "fp_b", "text").mapInArrow(
-        _grams, "id long, grams array<long>").dropDuplicates(["id"])
-    sets = cut_lineage(sets, "sets")
     both = likely.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
     shared = F.size(F.array_intersect("ga", "gb")).cast("long")
@@ -159,7 +181,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, text_key, n_shingles, component_id, kept.
 
     Rows are linked where 100 * |intersection| >= 75 * |union| of their sets; ``component_id`` is the smallest
     doc_id reachable, ``kept`` tells whether it is the row's own.  Texts without words (null, empty) are linked with
@@ -179,28 +201,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = bands.groupBy("bucket").agg(F.min("cid").alias("head"), F.max("cid").alias("tail")).where("head < tail")
     members = cut_lineage(bands.join(shared.select("bucket", "head"), "bucket"), "members")
 
+    # the whole sets of all classes that share a bucket; rows that repeat a document give its set once
+    known = classes.join(members.select("cid").distinct(), "cid").select(F.col("cid").alias("doc_id"), "fp_a", "fp_b")
+    sets = cut_lineage(docs.join(known, "doc_id").select("doc_id", "fp_a", "fp_b", "text").mapInArrow(
+        _grams, "id long, grams array<long>").dropDuplicates(["id"]), "sets")
+
     stars = cut_lineage(members.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct(), "stars")
-    links = cut_lineage(_confirmed(stars, classes, docs), "links")
+    links = cut_lineage(_confirmed(stars, classes, sets), "links")
     groups = components(links)
 
-    # What is still apart in a bucket: everything outside its largest component against other components.
     part = members.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "bucket", "cid", F.coalesce("component", "cid").alias("part"))
-    sizes = part.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("k"))
-    major = sizes.groupBy("bucket").agg(F.max(F.struct("k", "part")).alias("top"), F.count(F.lit(1)).alias("parts")).where(
-        "parts > 1").select("bucket", F.col("top.part").alias("major"))
-    mixed = cut_lineage(part.join(major, "bucket"), "mixed")
-    minor = mixed.where("part <> major").select("bucket", F.col("cid").alias("x"), F.col("part").alias("px"))
-    apart = minor.join(mixed, "bucket").where("px <> part and (part = major or x < cid)")
-    rest = apart.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = cut_lineage(rest, "rest")
+    mixed = _apart(part, "bucket").select(F.col("cid").alias("id"), "part").distinct()
+    rest = cut_lineage(_prefix_pairs(sets.join(mixed, "id")).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        links = links.union(cut_lineage(_confirmed(rest, classes, docs), "links"))
+        links = links.union(cut_lineage(_confirmed(rest, classes, sets), "links"))
         groups = components(links)
 
     label = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         *same, F.coalesce("component", "cid").alias("component_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    joined = rows.select("doc_id", *same).join(label, same, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    joined = rows.select("doc_id", "text_key", *same).join(label, same, "left").select(
+        "doc_id", "text_key", F.col("n").alias("n_shingles"), own.alias("component_id"))
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
