@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.llm.native import text_key
 from lectern.llm.words import shingles, stream, text_blocks
 from lectern.session import cut_lineage
 
@@ -129,12 +130,11 @@ class Items:
 
 
 def _search(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, item_id, n_item, n_shared of the verified pairs."""
+    """doc_id, text_key, text -> doc_id, text_key, item_id, n_item, n_shared of the verified pairs."""
     items: Items = shared.value
     for batch in batches:
-        ids = batch.column(0)
         rows, out = [], []
-        for lo, hi, w in text_blocks(batch.column(1), lower=True):
+        for lo, hi, w in text_blocks(batch.column(2), lower=True):
             h, first = shingles(w, K)
             short = np.diff(w.first) < K
             if short.any():  # their one shorter sequence is no shingle of five words
@@ -152,13 +152,13 @@ def _search(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
                         rows.append(lo + d)
                         out.append((items.ids[i], len(g), shared_n))
         yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(rows, pa.int64())), *[pa.array([x[k] for x in out], pa.int64()) for k in range(3)]],
-            names=["doc_id", "item_id", "n_item", "n_shared"])
+            [*[batch.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1)], *[pa.array([x[k] for x in out], pa.int64()) for k in range(3)]],
+            names=["doc_id", "text_key", "item_id", "n_item", "n_shared"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                  item_key: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, item_id, n_item, n_shared, containment): documents that hold three quarters or more of the distinct
+    """(doc_id, text_key, item_id, n_item, n_shared, containment): documents that hold three quarters or more of the distinct
     five-word shingles of a benchmark item, A-Z lower-cased.
 
     Null or empty texts and items of fewer than five words have no shingles and match nothing.  Rows that repeat a
@@ -167,7 +167,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     are ignored.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     items = items.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null").distinct()
     # blocks of hashed items, sized by the table's measured bytes: 16 times as many buckets as blocks of text
     total = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
@@ -179,7 +179,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     sizes = items.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("b"))
     run = F.floor(F.sum("b").over(Window.orderBy("bucket")) / F.lit(block_bytes))
     blocks = [r["blocks"] for r in sizes.withColumn("run", run).groupBy("run").agg(F.collect_list("bucket").alias("blocks")).sort("run").collect()]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "item_id", "n_item", "n_shared")])
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "text_key", "item_id", "n_item", "n_shared")])
     out = spark.createDataFrame([], schema)
     for block in blocks:
         rows = items.where(F.col("bucket").isin(block)).select("item_id", "text").collect()
