@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import hashlib
+
+from lectern.llm.substring_dedup import digest, remove_repeats
+
+from .helpers import SF, awkward, frames, prose, same_rows, words
+
+
+def brute(rows: list[tuple]) -> list[tuple]:
+    first: dict[tuple, int] = {}
+    split = [words(t) for _, t in rows]
+    for (d, _), w in zip(rows, split, strict=True):
+        for k in range(len(w) - 49) if d is not None else ():
+            g = tuple(w[k : k + 50])
+            first[g] = min(first.get(g, d), d)
+    out = []
+    for (d, _), w in zip(rows, split, strict=True):
+        gone = set()
+        for k in range(len(w) - 49) if d is not None else ():
+            if first[tuple(w[k : k + 50])] < d:
+                gone |= set(range(k, k + 50))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def result(docs) -> list[tuple]:
+    return [tuple(r) for r in digest(remove_repeats(docs)).collect()]
+
+
+def test_awkward_rows(spark):
+    docs, clashing, empty = frames(spark)
+    want = brute([(i, t) for i, t, *_ in awkward()])
+    assert same_rows(want, result(docs))
+    assert same_rows(want, result(clashing))
+    assert result(empty) == []
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert same_rows(brute([tuple(r) for r in docs.collect()]), result(docs))
+
+
+def test_branching_and_overlapping_passages(spark):
+    a, b, c = prose(70, 1), prose(55, 2), prose(130, 3)
+    rows = [
+        (1, f"{a} {b}"), (2, f"{b} {a}"), (3, f"x {a} y {b} z"), (4, f"{a} {a} {a}"), (5, " ".join(a.split()[5:60]) + " " + c),
+        (6, " ".join(c.split()[3:53])), (7, " ".join(c.split()[3:52])), (8, " ".join(c.split()[20:125]) + " end"), (9, c), (0, "q " + c + " r"),
+        (10, "same " * 75), (11, "same " * 50), (12, "same " * 49), (13, f"{'same ' * 60}{a}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert same_rows(brute(rows), result(docs))
