@@ -24,13 +24,15 @@ def head_slice(col: Column | str, n: int = HEAD_CHARS) -> Column:
 
 
 def clean_json_envelope(col: Column | str) -> Column:
-    """Drop everything before the first ``{`` and after the last ``}``.
+    """Drop everything before the first ``{`` and after the last ``}`` that follows it.
 
-    ``\\z`` (true end of input) is used for the tail: Java's ``$`` would also
-    stop before a final line break.
+    Two searches for one character, linear in the length of the text.
     """
-    c = F.regexp_replace(_c(col), r"^[^{]*", "")
-    return F.regexp_replace(c, r"[^}]*\z", "")
+    c = _c(col)
+    tail = F.substring(c, F.locate("{", c), F.length(c))
+    rest = F.when(F.locate("{", c) > 0, tail).otherwise(F.when(c.isNotNull(), F.lit("")))
+    back = F.locate("}", F.reverse(rest))
+    return F.when(back > 0, F.substring(rest, F.lit(1), F.length(rest) - back + 1)).otherwise(F.when(rest.isNotNull(), F.lit("")))
 
 
 def feature_text(cols: Sequence[Column | str], sep: str = " ") -> Column:
@@ -70,7 +72,7 @@ SENTENCE_BREAK = r"(?<=[.!?])\s+"
 
 def lead_sentences(col: Column | str, n: int = 3) -> Column:
     """First ``n`` sentences of the text, joined by one space."""
-    return F.array_join(F.slice(F.split(_c(col), SENTENCE_BREAK, -1), 1, n), " ")
+    return F.array_join(F.slice(F.split(_c(col), SENTENCE_BREAK, n + 1), 1, n), " ")
 
 
 def cluster_key(cluster: Column | str) -> Column:
@@ -83,11 +85,6 @@ def cluster_title(cluster: Column | str) -> Column:
     return F.concat(F.lit("Cluster "), _c(cluster).cast("string"))
 
 
-def cluster_from_key(key: Column | str) -> Column:
-    """Inverse of :func:`cluster_key`: the text after the first underscore."""
-    return F.element_at(F.split(_c(key), "_", 2), 2)
-
-
 def fill_template(template: str, *cols: Column | str) -> Column:
     """``template`` with ``{}`` placeholders filled, in order, by ``cols``.
 

@@ -1,48 +1,24 @@
-"""Join helpers: broadcast only behind a size check, shuffle join otherwise."""
+"""Join helper: a side is broadcast only after it was written and measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for a broadcast side (bytes, estimated from row count x width).
-BROADCAST_LIMIT = 64 * 1024 * 1024
+from lectern.session import cut_lineage, measured_bytes
 
+# Default ceiling for a broadcast side, in bytes of its written table.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
-def estimated_bytes(df: DataFrame, rows: int) -> int:
-    """Row count times the schema's default row width (arrays count 64 elements)."""
-    width = 0
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        if t.startswith("array"):
-            width += 8 * 64
-        elif t in ("string", "binary") or t.startswith(("map", "struct")):
-            width += 64
-        else:
-            width += 8
-    return rows * max(width, 8)
 
+def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner", limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
+    """Join ``small`` onto ``big`` without shuffling ``big`` where ``small`` proves to be small.
 
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | list[str] | Column,
-    how: str = "inner",
-    limit_bytes: int = BROADCAST_LIMIT,
-    known_rows: int | None = None,
-) -> DataFrame:
-    """Join ``small`` onto ``big``; broadcast it only when its size is proven small.
-
-    ``known_rows`` is a static bound (for example k clusters): within the
-    limit the side is broadcast with a hint, and no job is run to check it.
-    Without a bound this is a plain join, and the proof is left to adaptive
-    execution: AQE materialises the small side's shuffle stage first,
-    measures it, and only then turns the join into a broadcast hash join if
-    the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-    past it the join stays a shuffle join (and AQE may split skewed keys).
-    Counting the side beforehand would evaluate it twice, which on a large
-    input means a second pass over the data it is aggregated from.
+    ``small`` (an aggregate: one row per cluster, run or partition) is written to the scratch folder and its files
+    are measured.  Within ``limit_bytes`` it is broadcast, so a hot key of ``big`` stays where it is; past it the join
+    is a shuffle join, whose skewed keys adaptive execution may split.
     """
-    if known_rows is not None and estimated_bytes(small, known_rows) <= limit_bytes:
+    small = cut_lineage(small, "small")
+    if measured_bytes(small) <= limit_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from lectern.functions.core import SENTINEL, is_present
 from lectern.operators.joins import join_small
 from lectern.operators.text import ordered_join
-from lectern.session import range_partitions
 
 # Description layout.
 DESCRIPTION_TEMPLATE = ("Cluster with ", " papers focusing on ", ". Key papers: ")
@@ -71,11 +70,12 @@ def describe_clusters(
     """
     sizes = cluster_size(df, cluster)
     # Distinct values first (partial aggregation map-side), then joined in
-    # value order in two levels: range partitions of (cluster, value) hold
+    # value order in two levels: range partitions of (cluster, value), merged by
+    # adaptive execution where there are few values, hold
     # contiguous value ranges, each joined in its own task, and a cluster's
     # pieces (at most one per partition) are joined in partition order.
     distinct = df.where(is_present(method)).select(cluster, F.col(method).alias("_v")).distinct()
-    ranged = distinct.repartitionByRange(range_partitions(distinct), cluster, "_v")
+    ranged = distinct.repartitionByRange(cluster, "_v")
     runs = ranged.groupBy(cluster, F.spark_partition_id().alias("_run")).agg(
         ordered_join("_v", "_v", ", ").alias("_part"))
     methods = runs.groupBy(cluster).agg(ordered_join("_run", "_part", ", ").alias("methods"))
@@ -99,11 +99,11 @@ def describe_clusters(
 
 
 def attach_description(
-    df: DataFrame, desc: DataFrame, cluster: str, known_clusters: int | None = None, out: str = "cluster_description"
+    df: DataFrame, desc: DataFrame, cluster: str, out: str = "cluster_description"
 ) -> DataFrame:
     """Put each cluster's description on its rows (broadcast lookup, size-checked)."""
     small = desc.select(cluster, F.col("description").alias(out))
-    return join_small(df, small, cluster, "left", known_rows=known_clusters)
+    return join_small(df, small, cluster, "left")
 
 
 # Default number of records per batch of a cluster's record list.
@@ -112,7 +112,6 @@ DEFAULT_BATCH_ROWS = 50
 
 def group_records(
     df: DataFrame, cluster: str, order: str, cols: Sequence[str], batch_rows: int = DEFAULT_BATCH_ROWS,
-    known_clusters: int | None = None,
 ) -> DataFrame:
     """Every record of every cluster, in ``order``, as consecutive batches.
 
@@ -135,7 +134,7 @@ def group_records(
     )
     # ``numbered`` is checkpointed, so sizes come from it without a new scan.
     sizes = numbered.groupBy(cluster).agg(F.max("_pos").alias("size"))
-    return join_small(lists, sizes, cluster, "inner", known_rows=known_clusters).select(
+    return join_small(lists, sizes, cluster, "inner").select(
         cluster, "batch", "size", "records")
 
 

@@ -4,8 +4,8 @@
 Instead rows are range-partitioned and sorted, each row's position inside
 its partition comes from ``monotonically_increasing_id`` (partition index in
 the upper bits, position in the lower 33 bits), the partition sizes (one
-number per partition) are summed on the driver into offsets, and the offset
-is added through a literal map.  The ordered frame is checkpointed to the
+row per partition) are summed by a window into offsets, and the offset
+is joined back, broadcast if measured small.  The ordered frame is checkpointed to the
 shared folder first, so ids stay fixed even if executors are lost.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL, is_present
 from lectern.operators.joins import join_small
-from lectern.session import cut_lineage, range_partitions
+from lectern.session import cut_lineage
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -26,24 +26,26 @@ _LOW_BITS = (1 << 33) - 1
 NO_CITATIONS = "No valid citations found."
 
 
+def _ranged(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
+    """``df`` sorted across range partitions and written, with ``_mid``: partition and position in it.
+
+    Without an explicit count the session's shuffle partitions are used, which
+    adaptive execution merges where the data is small.
+    """
+    cols = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return cut_lineage(ranged.sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id()))
+
+
 def global_ordinal(df: DataFrame, order: str, out: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ties -> arbitrary but stable)."""
-    spark = df.sparkSession
-    n = partitions or range_partitions(df)
-    ranged = df.repartitionByRange(n, F.col(order)).sortWithinPartitions(order)
-    ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
-    pid = F.shiftright(F.col("_mid"), 33)
-    sizes = ranged.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()  # O(partitions)
-    offsets: dict[int, int] = {}
-    running = 0
-    for r in sorted(sizes, key=lambda r: r["p"]):
-        offsets[int(r["p"])] = running
-        running += int(r["c"])
-    if not offsets:
-        return ranged.drop("_mid").withColumn(out, F.lit(None).cast("long"))
-    lookup = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("long"))])
-    pos = F.element_at(lookup, pid) + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + F.lit(1)
-    return ranged.withColumn(out, pos.cast("long")).drop("_mid")
+    ranged = _ranged(df, [order], partitions).withColumn("_p", F.shiftright(F.col("_mid"), 33))
+    sizes = ranged.groupBy(F.col("_p").alias("_rp")).agg(F.count(F.lit(1)).alias("_c"))  # one row per partition
+    before = Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_rp", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    joined = join_small(ranged, offsets, F.col("_p") == F.col("_rp"), "inner")
+    pos = F.col("_before") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + F.lit(1)
+    return joined.withColumn(out, pos.cast("long")).drop("_mid", "_p", "_rp", "_before")
 
 
 def group_ordinal(
@@ -61,9 +63,7 @@ def group_ordinal(
     partitions, and that offset joins back onto the rows.
     """
     group = list(group)
-    n = partitions or range_partitions(df)
-    ranged = df.repartitionByRange(n, *[F.col(g) for g in group], F.col(order)).sortWithinPartitions(*group, order)
-    ranged = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = _ranged(df, [*group, order], partitions)
     ranged = ranged.withColumn("_p", F.shiftright(F.col("_mid"), 33)).withColumn(
         "_low", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
     runs = ranged.groupBy("_p", *group).agg(F.min("_low").alias("_start"), F.count(F.lit(1)).alias("_c"))

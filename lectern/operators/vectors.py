@@ -47,25 +47,25 @@ def centroids(df: DataFrame, cluster: str, vec: str, out: str = "centroid") -> D
 
 
 def centroid_similarity(
-    df: DataFrame, cluster: str, vec: str, cents: DataFrame | None = None, known_clusters: int | None = None,
+    df: DataFrame, cluster: str, vec: str, cents: DataFrame | None = None,
     out: str = "sim",
 ) -> DataFrame:
     """Cosine of every member to its own cluster's centroid."""
     cents = cents if cents is not None else centroids(df, cluster, vec)
     cents = cents.select(cluster, "centroid")
-    joined = join_small(df, cents, cluster, "inner", known_rows=known_clusters)
+    joined = join_small(df, cents, cluster, "inner")
     return joined.withColumn(out, cosine(vec, "centroid")).drop("centroid")
 
 
 def representatives(
-    df: DataFrame, cluster: str, vec: str, id_col: str, n: int = 3, known_clusters: int | None = None
+    df: DataFrame, cluster: str, vec: str, id_col: str, n: int = 3
 ) -> DataFrame:
     """The ``n`` members closest to their centroid, by similarity desc then id.
 
     ``row_number <= n`` lets Catalyst put a per-partition group limit before
     the shuffle, so a huge cluster sends at most ``n`` rows per map task.
     """
-    sims = centroid_similarity(df, cluster, vec, known_clusters=known_clusters)
+    sims = centroid_similarity(df, cluster, vec)
     w = Window.partitionBy(cluster).orderBy(F.col("sim").desc(), F.col(id_col).asc())
     return sims.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
@@ -137,7 +137,7 @@ def embed_tfidf(
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     src = df.select(*id_cols, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", toLowercase=True)
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", toLowercase=True)
     tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
     counts = tf.transform(tok.transform(src)).select(*id_cols, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
     idf = IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq).fit(counts)

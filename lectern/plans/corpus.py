@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import feature_text
 from lectern.operators import profile, vectors
 from lectern.operators.clustering import DEFAULT_K, DEFAULT_RESTARTS, DEFAULT_SEED, kmeans
-from lectern.operators.references import number_references
+from lectern.operators.references import global_ordinal, number_references, references_or_message
 from lectern.operators.report import DEFAULT_FAN_IN, narrate_clusters, report_lines, review_sections
 from lectern.session import cut_lineage
 from lectern.sources.records import (
@@ -34,10 +34,17 @@ class Clustered:
     k: int
 
 
-def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """Stable input-order id: file order from the scan, fixed by a checkpoint."""
+def with_row_id(df: DataFrame, id_col: str = "row_id", order: str | None = None) -> DataFrame:
+    """Stable row id, fixed by a written table: the position in ``order`` from 1.
+
+    Without an ``order`` column ids follow the scan's partitions, which is the
+    order of the rows inside one file but not across files; name an order
+    column (or bring ``id_col``) wherever references must follow the input.
+    """
     if id_col in df.columns:
         return df
+    if order is not None:
+        return global_ordinal(df, order, id_col)
     return cut_lineage(df.withColumn(id_col, F.monotonically_increasing_id()))
 
 
@@ -65,19 +72,23 @@ def cluster_table(
         vecs = cut_lineage(embed(feats, "feature_text", [id_col]))
         res = kmeans(vecs, "embedding", id_col, k=k, seed=seed, restarts=restarts)
         labelled = vecs.join(res.labels, id_col)
-        reps = vectors.representatives(labelled, "cluster", "embedding", id_col, 3, known_clusters=res.k)
+        reps = vectors.representatives(labelled, "cluster", "embedding", id_col, 3)
         reps = reps.join(recs.select(id_col, "title"), id_col)
         base = recs.join(res.labels, id_col)
         desc = profile.describe_clusters(base, "cluster", "method", reps)
-        out = profile.attach_description(base, desc, "cluster", known_clusters=res.k)
-        prof = profile.cluster_profile(base, "cluster", desc, reps, "method", "datasets", "year")
+        # written here, so that a failure of any stage is met here
+        out = cut_lineage(profile.attach_description(base, desc, "cluster"), "clustered")
+        prof = cut_lineage(profile.cluster_profile(base, "cluster", desc, reps, "method", "datasets", "year"), "profile")
         return Clustered(out, prof, res.k)
-    except Exception:
+    except Exception as exc:
         if on_error != "label":
             raise
+        text = f"{FAILED_DESCRIPTION}: {exc}"
         out = recs.withColumns({"cluster": F.lit(0), "cluster_description": F.lit(FAILED_DESCRIPTION)})
-        spark = records.sparkSession
-        prof = spark.createDataFrame([(0, FAILED_DESCRIPTION, 0)], "cluster int, description string, size long")
+        none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+        prof = out.agg(F.count(F.lit(1)).alias("size")).select(
+            F.lit(0).alias("cluster"), F.lit(text).alias("description"), "size", F.array().cast("array<string>").alias("representative_papers"),
+            *[none.alias(c) for c in ("common_methods", "common_datasets", "publication_years")])
         return Clustered(out, prof, 1)
 
 
@@ -115,5 +126,5 @@ def review(
     grouped = profile.group_records(recs, "cluster", id_col, list(record_cols), batch_rows)
     bodies = narrate_clusters(grouped, "cluster", fn, fan_in=fan_in, pause=pause)
     sections = review_sections(recs, "cluster", id_col, bodies, introduction, conclusion)
-    refs = number_references(recs, id_col, "citation").select("ref_no", "reference")
+    refs = references_or_message(cut_lineage(number_references(recs, id_col, "citation"), "references"))
     return report_lines(sections, refs)

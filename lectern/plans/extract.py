@@ -1,8 +1,8 @@
 """Documents -> one record per document (basic fields, merged chunk fields,
 summary, citation, status), as a composition of DataFrame operators.
 
-Only small per-document rows are shuffled: the text is read for the head
-prompt and for the chunks, and every join below is keyed by the document id
+Only small per-document rows are shuffled: the text is read once and kept with
+the stored head answers until the chunk requests are made, and every join below is keyed by the document id
 between per-document result rows (no skew: one row per id on each side).
 """
 
@@ -74,37 +74,33 @@ def extract_records(
     kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause)
     docs = spread(drop_empty(docs.select(key, text), text), key, min_partitions=n)
 
-    # One pass over the text: the head request (position 0) and one request
-    # per chunk (position i + 1 for chunk i) come from the same row, go
-    # through one model stage, and the answers are stored once (they are
-    # expensive, not deterministic, and read by two branches below).
-    requests = F.concat(
-        F.array(fill_template(BASIC_PROMPT, head_slice(text))),
-        F.transform(chunk_slices(text), lambda c: fill_template(DETAIL_PROMPT, c)),
-    )
-    prompts = docs.select(key, F.posexplode(requests).alias("_pos", "prompt"))
-    answers = cut_lineage(parse_response(infer(prompts, "prompt", fn, [key, "_pos"], **kw))
-                          .select(key, "_pos", "obj", "error"), "answers")
-
-    basic = answers.where(F.col("_pos") == 0).select(
-        key, *project_fields("obj", BASIC_KEYS), F.col("error").alias("basic_error"))
-
-    parsed = answers.where((F.col("_pos") > 0) & F.col("obj").isNotNull()).select(
-        key, (F.col("_pos") - 1).cast("int").alias("chunk_idx"), "obj")
+    # Answers are stored once: they are expensive, not deterministic, and read
+    # by several branches.  The text travels with the head request, so that the
+    # chunk requests need no second scan and no join.  A document whose head
+    # request fails gets no further request.
+    heads = docs.withColumn("prompt", fill_template(BASIC_PROMPT, head_slice(text)))
+    heads = cut_lineage(parse_response(infer(heads, "prompt", fn, [key, text], **kw)).select(key, text, "obj", "error"), "heads")
+    basic = heads.select(key, *project_fields("obj", BASIC_KEYS), F.col("error").alias("basic_error"))
+
+    chunks = F.transform(chunk_slices(text), lambda c: fill_template(DETAIL_PROMPT, c))
+    prompts = heads.where(F.col("error").isNull()).select(key, F.posexplode(chunks).alias("chunk_idx", "prompt"))
+    parsed = cut_lineage(parse_response(infer(prompts, "prompt", fn, [key, "chunk_idx"], **kw))
+                         .where(F.col("obj").isNotNull()).select(key, "chunk_idx", "obj"), "chunks")
     fields = normalize_keys(parsed.select(key, "chunk_idx", F.explode("obj").alias("field", "value")), FIELD_ALIASES)
     merged = merge_fields(fields, key, "chunk_idx", DETAIL_FIELDS)
 
     record = basic.join(merged, key, "left")
     cols = ["title", "authors", "year", *DETAIL_FIELDS]
-    summary_prompts = record.withColumn("prompt", fill_template(SUMMARY_PROMPT, record_json(cols)))
-    summarised = infer(summary_prompts, "prompt", fn, [key, *cols, "basic_error"], partitions=n, **kw)
-    out = summarised.select(
-        key, *cols,
-        F.col("response").alias("summary"),
-        format_citation("title", "authors", "year").alias("citation"),
-        F.coalesce("basic_error", "error").alias("error_message"),
-    )
-    out = out.withColumn("citation", F.when(F.col("citation") != F.lit(SENTINEL), F.col("citation")))
+    summary_prompts = record.where(F.col("basic_error").isNull()).withColumn("prompt", fill_template(SUMMARY_PROMPT, record_json(cols)))
+    summarised = cut_lineage(infer(summary_prompts, "prompt", fn, [key, *cols], partitions=n, **kw), "summaries").select(
+        key, *cols, F.col("response").alias("summary"), F.col("error").alias("error_message"))
+    failed = record.where(F.col("basic_error").isNotNull()).select(
+        key, *cols, F.lit(None).cast("string").alias("summary"), F.col("basic_error").alias("error_message"))
+    out = summarised.unionByName(failed)
+    # the citation comes after the summary: no record that failed has one
+    citation = format_citation("title", "authors", "year")
+    out = out.withColumn("citation", F.when(F.col("error_message").isNull() & (citation != F.lit(SENTINEL)), citation)).select(
+        key, *cols, "summary", "citation", "error_message")
     return out.withColumn(
         "extraction_status", F.when(F.col("error_message").isNull(), "success").otherwise("error")
     )

@@ -66,9 +66,9 @@ _COS = "list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})),
 _PAPERS = f"""
 {_EMB},
 p AS (
-  SELECT e.vec_id AS doc_id, e.label, e.v, d.source, d.lang, split_part(d.text, chr(10), 1) AS title,
+  SELECT d.doc_id, e.label, e.v, d.source, d.lang, split_part(d.text, chr(10), 1) AS title,
     CAST(CAST(1990 + least(floor(d.n_chars / 1000.0), 35) AS BIGINT) AS VARCHAR) AS year
-  FROM e JOIN documents d ON d.doc_id = e.vec_id
+  FROM documents d JOIN e ON e.vec_id = d.doc_id % (SELECT count(*) FROM embeddings)
 ),
 {_CENTROIDS.format(src='p')},
 s AS (SELECT p.doc_id, p.label, p.title, {_COS.format(a='p.v', b='c.cv')} AS sim FROM p JOIN c USING (label)),
@@ -279,7 +279,7 @@ SELECT descr.label, CAST(to_json(struct_pack(
   common_methods := fm.m, common_datasets := fd.m, publication_years := fy.m)) AS VARCHAR) AS analysis
 FROM descr LEFT JOIN rp USING (label) LEFT JOIN fm USING (label) LEFT JOIN fd USING (label) LEFT JOIN fy USING (label)""",
     "embed_tfidf": """WITH t AS (
-  SELECT doc_id, len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\W+'), lambda x: length(x) >= 1)) AS n
+  SELECT doc_id, len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{M}\\p{N}\\p{Pc}]+'), lambda x: length(x) >= 1)) AS n
   FROM documents
 )
 SELECT doc_id, CAST(n AS BIGINT) AS n_terms, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS norm FROM t""",
@@ -342,7 +342,8 @@ def _extract_sql() -> str:
     words, year = 1990 + words % 35.  Chunk request: method = first word,
     datasets = words 2-3, limitations = last word; merged over chunks in
     order.  Summary: the length of the summary request.  A request whose
-    length is divisible by 13 fails (head, summary: an error; chunk: skipped).
+    length is divisible by 13 fails (chunk: skipped; summary: an error and no
+  citation; head: an error and no further request).
     """
     json_parts = ", ".join(
         f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END"
@@ -368,7 +369,8 @@ basic AS (
     CASE WHEN failed THEN 'RuntimeError: model unavailable' END AS basic_error
   FROM hw
 ),
-c AS (SELECT filename, text, unnest(range(0, CAST(ceil(length(text) / 15000.0) AS BIGINT))) AS i FROM d),
+c AS (SELECT filename, text, unnest(range(0, CAST(ceil(length(text) / 15000.0) AS BIGINT))) AS i
+  FROM d JOIN hw USING (filename) WHERE NOT failed),
 cp AS (SELECT filename, i, {_DETAIL_PREFIX} || substring(text, CAST(i * 15000 + 1 AS BIGINT), 15000) AS prompt FROM c),
 cw AS (
   SELECT filename, i,
@@ -398,14 +400,14 @@ sp AS (
 ),
 sm AS (
   SELECT *,
-    CASE WHEN length(sprompt) % 13 <> 0 THEN 'Summary of a record with ' || CAST(length(sprompt) AS VARCHAR) || ' characters.' END AS summary,
-    CASE WHEN length(sprompt) % 13 = 0 THEN 'RuntimeError: model unavailable' END AS summary_error,
+    CASE WHEN basic_error IS NULL AND length(sprompt) % 13 <> 0 THEN 'Summary of a record with ' || CAST(length(sprompt) AS VARCHAR) || ' characters.' END AS summary,
+    CASE WHEN basic_error IS NULL AND length(sprompt) % 13 = 0 THEN 'RuntimeError: model unavailable' END AS summary_error,
     string_split(authors, ',') AS parts
   FROM sp
 ),
 out AS (
   SELECT filename, title, authors, year, {", ".join(_DETAIL)}, summary,
-    CASE WHEN title IS NOT NULL AND title <> '' AND title <> {S} AND authors IS NOT NULL AND authors <> ''
+    CASE WHEN basic_error IS NULL AND summary_error IS NULL AND title IS NOT NULL AND title <> '' AND title <> {S} AND authors IS NOT NULL AND authors <> ''
            AND authors <> {S} AND year IS NOT NULL AND year <> '' AND year <> {S}
       THEN array_to_string(list_transform(parts[1:3], lambda x: trim(x, {WS})), ', ')
         || CASE WHEN len(parts) > 3 THEN ' et al.' ELSE '' END

@@ -115,15 +115,16 @@ def q_scan_documents(spark, sf):
     from lectern.sources.records import scan_documents
 
     files = scan_documents(spark, sf, "*.parquet")
-    return files.select("filename", F.length("content").cast("long").alias("n_bytes"))
+    return files.select("filename", F.col("length").cast("long").alias("n_bytes"))
 
 
 def q_csv_roundtrip(spark, sf):
-    from lectern.sources.records import read_records
+    """Written with its columns in reverse order, read back by name."""
+    from lectern.sources.records import read_records, write_records
 
     part = _t(spark, sf, "part")
     path = scratch_path(spark, "csv_roundtrip")
-    part.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"').csv(path)
+    write_records(part.select(*reversed(part.columns)), path)
     return read_records(spark, path, part.schema)
 
 
@@ -177,10 +178,7 @@ def q_format_citation(spark, sf):
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
         F.floor(F.col("c_acctbal") / 2000).cast("int").alias("bucket"))
     keys = ["c_nationkey", "c_mktsegment", "bucket"]
-    # Only the first four names decide the citation (three shown, "et al." past three).
-    w = Window.partitionBy(*keys).orderBy("c_custkey")
-    first4 = cust.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 4)
-    authors = first4.groupBy(*keys).agg(
+    authors = cust.groupBy(*keys).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda s: s["c_name"]), ", ").alias("authors"))
     nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     g = join_small(authors, nation, "c_nationkey", "inner")
@@ -288,17 +286,18 @@ def q_embed_tfidf(spark, sf):
 # ------------------------------------------------------------ profile
 
 def _papers(spark, sf) -> DataFrame:
-    """Vectors joined to documents (vec_id = doc_id): label as cluster, source as
-    method, the first line of the text as title.
+    """Every document with a vector (number doc_id modulo their count): label as
+    cluster, source as method, the first line of the text as title.
 
     The joined table feeds many aggregates of one query, so it is written
     once (``cut_lineage``) rather than recomputed in every branch of the plan.
     """
-    e = _emb(spark, sf).select(F.col("vec_id").alias("doc_id"), "label", "embedding")
+    e = _emb(spark, sf).select("vec_id", "label", "embedding")
+    n = e.count()
     d = _t(spark, sf, "documents").select(
         "doc_id", "source", "lang", F.substring_index("text", "\n", 1).alias("title"),
         (F.lit(1990) + F.least(F.floor(F.col("n_chars") / 1000), F.lit(35))).cast("string").alias("year"))
-    return cut_lineage(e.join(d, "doc_id"), "papers")
+    return cut_lineage(d.join(e, F.pmod("doc_id", F.lit(n)) == F.col("vec_id")).drop("vec_id"), "papers")
 
 
 def q_top_values(spark, sf):

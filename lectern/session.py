@@ -1,8 +1,9 @@
 """Session-level helpers: the shared scratch folder, lineage cuts, input spreading.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(a distributed file system path).  Only when the session leaves it unset
-(local tests, the smoke driver) do we pick a local folder ourselves.
+(a distributed file system path).  Only when a local session leaves it unset
+(tests, the smoke driver) do we pick a local folder ourselves; on a cluster
+that is an error.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not configured:
-        # Unset: local runs only (tests, smoke checks).
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {_CKPT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lectern-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,36 +63,21 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     core.  A large input is already split many ways by the scan, so this is a
     no-op there and adds no shuffle.  Hashing on a key (not round-robin) keeps
     the placement deterministic when a task is retried.
+
+    An input that itself comes out of a shuffle is not asked for its
+    partitions, which would run that shuffle once more: it is already spread.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    shuffled = "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    if shuffled or df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-# Target bytes per range partition (Spark's own default split size).
-RANGE_PARTITION_BYTES = 128 * 1024 * 1024
-# Upper bound on range partitions derived from size estimates.
-MAX_RANGE_PARTITIONS = 100_000
-
-
-def range_partitions(df: DataFrame, target_bytes: int = RANGE_PARTITION_BYTES) -> int:
-    """How many range partitions to sort ``df`` into.
-
-    A range repartition with an explicit count is neither merged nor split by
-    AQE, so the count must follow the data: the optimizer's size estimate of
-    the plan divided by ``target_bytes``, and never fewer than the session's
-    shuffle partitions.  Unknown or absurd estimates fall back to that floor.
-    """
-    floor = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw if isinstance(raw, int) else raw.toString())
-    except Exception:  # no statistics available: keep the session's setting
-        return floor
-    if size <= 0 or size >= (1 << 62):
-        return floor
-    return int(min(MAX_RANGE_PARTITIONS, max(floor, -(-size // target_bytes))))
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table as its files tell the optimizer; for tables read from files, such as lineage cuts."""
+    raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(raw if isinstance(raw, int) else raw.toString())
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -81,9 +81,10 @@ def from_display(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- documents
 
 def scan_documents(spark: SparkSession, folder: str, glob: str = "*.pdf") -> DataFrame:
-    """Files of one folder matching ``glob`` (not recursive): (filename, path, content).
+    """Files of one folder matching ``glob`` (not recursive): (filename, path, length, content).
 
     The binary file source splits work by file; the file name is the key.
+    Contents are only read where the ``content`` column is used.
     """
     df = (
         spark.read.format("binaryFile")
@@ -92,7 +93,7 @@ def scan_documents(spark: SparkSession, folder: str, glob: str = "*.pdf") -> Dat
         .load(folder)
     )
     return df.select(
-        F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"), "path", "content"
+        F.element_at(F.split(F.col("path"), "/"), -1).alias("filename"), "path", "length", "content"
     )
 
 
@@ -124,18 +125,40 @@ def decode_pages(
 
 # ---------------------------------------------------------------- records
 
-def read_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header, quoted multi-line cells; fails fast on malformed input.
-
-    With ``schema`` given (display names), no inference pass is made.
+def read_records(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """CSV with header, quoted cells; fails fast on malformed input.
+
+    Columns are matched by the names in the header, display names or internal
+    ones, whatever their order.  With ``schema`` given, its columns must all be
+    there (else a ``ValueError`` lists those that are missing); they are cast
+    to its types and returned in its order.  No inference pass is made.
+    ``multi_line=False`` lets Spark split large files whose cells have no line
+    breaks.  A missing path is a ``FileNotFoundError``, a file without a header
+    a ``ValueError``.
     """
+    from pyspark.errors import AnalysisException
+
     reader = (
-        spark.read.option("header", "true").option("multiLine", "true")
+        spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
         .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
     )
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    try:
+        raw = from_display(reader.csv(path))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            raise FileNotFoundError(f"no records at {path}") from exc
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            raise ValueError(f"no header in {path}") from exc
+        raise
+    if not raw.columns:
+        raise ValueError(f"no header in {path}")
+    if schema is None:
+        return raw
+    back = {v: k for k, v in {**DISPLAY_NAMES, **CLUSTER_DISPLAY}.items()}
+    validate_columns(raw, [back.get(f.name, f.name) for f in schema.fields])
+    return raw.select(*[F.col(f"`{back.get(f.name, f.name)}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def validate_columns(df: DataFrame, required: Iterable[str]) -> None:
@@ -172,10 +195,8 @@ def write_report(lines: DataFrame, path: str, partitions: int | None = None) ->
     Part files are numbered in key order, so concatenating them in name order
     gives the report; no single task holds the whole text.
     """
-    from lectern.session import range_partitions
-
-    n = partitions or range_partitions(lines)
-    (lines.repartitionByRange(n, "k1", "k2").sortWithinPartitions("k1", "k2")
+    ranged = lines.repartitionByRange(partitions, "k1", "k2") if partitions else lines.repartitionByRange("k1", "k2")
+    (ranged.sortWithinPartitions("k1", "k2")
      .select("line").write.mode("overwrite").text(path))
 
 

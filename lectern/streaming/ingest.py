@@ -78,9 +78,9 @@ def incremental_documents(
     A document's pages may span files and micro-batches.  Each micro-batch
     stores its pages under ``<sink>/pages/batch_id=<n>/bucket=<b>/`` (b a
     hash bucket of the key), then re-assembles only the documents it touched,
-    from all their pages so far, into ``<sink>/docs/batch_id=<n>/``.  The
-    semi-join with the touched (key, bucket) pairs lets dynamic partition
-    pruning skip the buckets no touched document lives in.  Both writes
+    from all their pages so far, into ``<sink>/docs/batch_id=<n>/``.  Only
+    the buckets that the batch touches are read: give so many ``buckets`` that
+    a batch touches a small part of them.  Both writes
     overwrite their batch folder, so a retried batch is idempotent;
     :func:`latest_documents` reads the newest version of each document.
     """
@@ -97,7 +97,9 @@ def incremental_documents(
         new = new.hint("rebalance", "bucket")
         new.write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(pages_path, f"batch_id={batch_id}"))
         touched = spark.read.parquet(os.path.join(pages_path, f"batch_id={batch_id}")).select(key, "bucket").distinct()
-        history = spark.read.parquet(pages_path).where(F.col("batch_id") <= batch_id)
+        # at most ``buckets`` numbers: literals, so that other buckets' folders are never read
+        some = [r["bucket"] for r in touched.select("bucket").distinct().collect()]
+        history = spark.read.parquet(pages_path).where((F.col("batch_id") <= batch_id) & F.col("bucket").isin(some))
         mine = history.join(touched, [key, "bucket"], "left_semi")
         docs = assemble_pages(mine, key, order, text)
         docs.write.mode("overwrite").parquet(os.path.join(docs_path, f"batch_id={batch_id}"))

@@ -22,7 +22,7 @@ def test_describe_and_attach(spark):
     assert desc[0] == "Cluster with 4 papers focusing on m1, m2. Key papers: t2, t1"
     assert desc[1] == "Cluster with 1 papers focusing on . Key papers: t4"
     d = profile.describe_clusters(df, "c", "method", reps)
-    att = profile.attach_description(df, d, "c", known_clusters=2)
+    att = profile.attach_description(df, d, "c")
     plan = att._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert att.where(F.col("cluster_description").isNull()).count() == 0

@@ -30,14 +30,55 @@ def test_cut_lineage_is_a_written_table(spark):
     assert sorted((r.id, r.x) for r in cut.collect()) == [(i, 3 * i) for i in range(500)]
 
 
-def test_join_small_broadcasts_only_with_a_bound(spark):
+def test_join_small_broadcasts_only_what_it_measured(spark):
     big = spark.range(0, 1000).withColumn("k", F.col("id") % 5)
     small = spark.range(0, 5).withColumnRenamed("id", "k").withColumn("name", F.concat(F.lit("c"), F.col("k")))
-    hinted = join_small(big, small, "k", known_rows=5)
-    assert "BroadcastHashJoin" in _plan(hinted)
-    assert hinted.count() == 1000
-    too_big = join_small(big, small, "k", known_rows=10 ** 9)
-    assert too_big.count() == 1000  # no hint past the limit; the planner (and AQE) decide
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = join_small(big, small, "k")
+        assert "BroadcastHashJoin" in _plan(hinted) and "hashpartitioning" not in _plan(hinted)
+        assert hinted.count() == 1000
+        too_big = join_small(big, small, "k", limit_bytes=10)
+        assert "SortMergeJoin" in _plan(too_big) and too_big.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_clusters_are_not_shuffled(spark):
+    """With automatic broadcasts off, the rows themselves never move on the cluster key."""
+    from lectern.operators import profile, vectors
+
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning(label" not in _plan(vectors.centroid_similarity(emb, "label", "embedding"))
+        desc = emb.groupBy("label").agg(F.max(F.lit("d")).alias("description"))
+        assert "hashpartitioning(label" not in _plan(profile.attach_description(emb, desc, "label"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_does_not_run_its_input(spark):
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 100).repartition(2, "id").mapInArrow(count, "id long")
+    spread(df, "id")
+    assert acc.value == 0
+
+
+def test_scratch_must_be_shared_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", getConf=lambda: {})
+    import pytest
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_dir(SimpleNamespace(sparkContext=sc, conf={}))
 
 
 def test_extraction_calls_each_request_once(spark):
@@ -59,15 +100,30 @@ def test_extraction_calls_each_request_once(spark):
     n_docs = docs.where(F.length("text") > 0).count()
     n_chunks = docs.select(F.sum(F.ceil(F.length("text") / 15000))).first()[0]
     assert n == n_docs
-    # head + chunks once (stored), summaries once per action
-    assert acc.value == n_docs + n_chunks + 2 * n_docs
+    # head, chunks and summaries are each asked for once
+    assert acc.value == n_docs + n_chunks + n_docs
 
 
-def test_range_partitions_follow_the_data(spark):
-    from lectern.session import range_partitions
+def test_failed_documents_stop_there(spark):
+    """No request follows a failed head; a failed summary leaves no citation."""
+    from lectern.plans.extract import extract_records
 
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    assert range_partitions(docs) == floor  # small input: the session's setting
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    assert range_partitions(docs, target_bytes=max(1, size // (floor * 3))) >= floor * 3  # grows with size
+    asked = spark.sparkContext.accumulator(0)
+
+    def model(prompt):
+        asked.add(1)
+        if "bad head" in prompt or ("summarise" in prompt and "bad summary" in prompt):
+            raise RuntimeError("down")
+        if prompt.startswith("From the start"):
+            return '{"Paper Title": "T", "Authors": "A, B", "Year of Publication": "2001"}'
+        if prompt.startswith("From this part"):
+            return '{"Limitations": "bad summary"}' if "sour" in prompt else '{"Limitations": "few"}'
+        return "S"
+
+    docs = spark.createDataFrame([("a", "bad head"), ("b", "sour"), ("c", "fine")], "filename string, text string")
+    got = {r.filename: r for r in extract_records(docs, model, "filename", retries=1, multiplier=0.0, cap=0.0, pause=0.0).collect()}
+    assert asked.value == 1 + 3 + 3
+    a, b, c = (got[k] for k in "abc")
+    assert (a.title, a.limitations, a.summary, a.citation, a.extraction_status, a.error_message) == (None, None, None, None, "error", "RuntimeError: down")
+    assert (b.title, b.limitations, b.summary, b.citation, b.extraction_status) == ("T", "bad summary", None, None, "error")
+    assert (c.summary, c.extraction_status, c.error_message) == ("S", "success", None) and c.citation.startswith('A, B, "T", ')

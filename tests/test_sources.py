@@ -104,3 +104,40 @@ def test_incremental_documents_span_batches(spark, tmp_dir):
     incremental_documents(spark, os.path.join(src, "*"), st, sink, ckpt, "conv_id", "turn", "text", buckets=4)
     got = {r.conv_id: r.text for r in latest_documents(spark, sink, "conv_id").collect()}
     assert got == {1: "abc", 2: "x y", 3: "z"}
+
+
+def test_records_are_read_by_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "swapped.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("b,Paper Title,a\nB1,T,7\n")
+    schema = "a int, title string, b string"
+    from pyspark.sql.types import StructType
+
+    row = read_records(spark, path, StructType.fromDDL(schema)).first()
+    assert (row.a, row.title, row.b) == (7, "T", "B1")
+    with pytest.raises(ValueError, match="Missing required columns.*'c'"):
+        read_records(spark, path, StructType.fromDDL("a int, c string"))
+    with pytest.raises(FileNotFoundError):
+        read_records(spark, os.path.join(tmp_dir, "nowhere.csv"))
+    empty = os.path.join(tmp_dir, "empty.csv")
+    open(empty, "w").close()
+    with pytest.raises(ValueError, match="no header"):
+        read_records(spark, empty)
+
+
+def test_sinks_round_trip(spark, tmp_dir):
+    from lectern.sources.records import write_analysis, write_records, write_report
+
+    recs = spark.createDataFrame([("f1", None, 3), ("f2", 'a "b", c', None)], "filename string, title string, cluster int")
+    write_records(recs, os.path.join(tmp_dir, "r"), sentinel_cols=["title"])
+    back = {r.filename: r for r in read_records(spark, os.path.join(tmp_dir, "r")).collect()}
+    assert back["f1"].title == "Not explicitly mentioned" and back["f2"].title == 'a "b", c' and back["f1"].cluster == "3"
+    prof = spark.createDataFrame([(0, "d", {"x": 2})], "cluster int, description string, common_methods map<string,bigint>")
+    write_analysis(prof, os.path.join(tmp_dir, "a"))
+    row = spark.read.json(os.path.join(tmp_dir, "a")).first()
+    assert row.cluster == "Cluster 0" and row.description == "d" and row.common_methods.x == 2
+    lines = spark.range(0, 500).select((F.col("id") % 7).alias("k1"), "id", F.concat(F.lit("l"), "id").alias("line")).withColumnRenamed("id", "k2")
+    write_report(lines, os.path.join(tmp_dir, "t"))
+    parts = sorted(x for x in os.listdir(os.path.join(tmp_dir, "t")) if x.startswith("part-"))
+    text = "".join(open(os.path.join(tmp_dir, "t", x), encoding="utf-8").read() for x in parts).split()
+    assert text == [f"l{i}" for i in sorted(range(500), key=lambda i: (i % 7, i))]
