@@ -420,3 +420,54 @@ SELECT *, CASE WHEN error_message IS NULL THEN 'success' ELSE 'error' END AS ext
 
 SQL["extract_records"] = _extract_sql()
 
+
+
+SQL["tfidf_weights"] = """WITH t AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{M}\\p{N}\\p{Pc}]+'), lambda x: x <> '')) AS term
+  FROM documents
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+w AS (
+  SELECT doc_id, tf, tf * ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) OVER (PARTITION BY term) + 1.0)) AS w FROM tf
+),
+n AS (SELECT doc_id, sqrt(sum(w * w)) AS norm, count(*) AS n_terms, sum(tf) AS n_tokens, sum(w) AS s, max(w) AS m FROM w GROUP BY doc_id)
+SELECT doc_id, n_terms, CAST(n_tokens AS BIGINT) AS n_tokens, round(CASE WHEN norm > 0 THEN s / norm ELSE 0.0 END, 6) AS sum_weight,
+  round(CASE WHEN norm > 0 THEN m / norm ELSE 0.0 END, 6) AS max_weight FROM n"""
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """k-means from the vectors of the k smallest ids, unrolled; ties go to the smaller centre, empty centres vanish."""
+    ctes = [_EMB, f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cid, v AS cv FROM e ORDER BY vec_id LIMIT {k})"]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS (
+  SELECT vec_id, arg_min(cid, (d, cid)) AS cid FROM (
+    SELECT e.vec_id, c.cid, list_sum(list_transform(list_zip(e.v, c.cv), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM e CROSS JOIN c{i} c
+  ) GROUP BY vec_id
+)""")
+        if i < rounds:
+            ctes.append(f"x{i} AS (SELECT a.cid, unnest(range(0, len(e.v))) AS dim, unnest(e.v) AS x FROM a{i} a JOIN e USING (vec_id))")
+            ctes.append(f"m{i} AS (SELECT cid, dim, avg(x) AS m FROM x{i} GROUP BY cid, dim)")
+            ctes.append(f"c{i + 1} AS (SELECT row_number() OVER (ORDER BY cid) - 1 AS cid, cv FROM (SELECT cid, list(m ORDER BY dim) AS cv FROM m{i} GROUP BY cid))")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, CAST(cid AS INTEGER) AS cluster FROM a{rounds}"
+
+
+SQL["kmeans_fixed_start"] = _kmeans_sql(5, 3)
+
+_RECORDS = f"records AS ({SQL['extract_records']})"
+
+SQL["build_table"] = f"""WITH {_RECORDS}
+SELECT extraction_status, count(*) AS n, count(nullif(title, {S})) AS n_title, count(nullif(summary, {S})) AS n_summary, count(citation) AS n_citation,
+  count(*) AS n_cluster, count(*) AS n_described FROM records GROUP BY extraction_status"""
+
+SQL["cluster_analysis"] = f"""WITH {_RECORDS}
+SELECT count(*) AS n_records, count(*) AS n_described, CAST(5 AS BIGINT) AS n_clusters FROM records"""
+
+SQL["review_report"] = f"""WITH {_RECORDS},
+r AS (SELECT d.doc_id, d.lang, records.citation FROM records JOIN documents d ON CAST(d.doc_id AS VARCHAR) = records.filename),
+refs AS (SELECT '[' || CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR) || '] ' || citation AS line FROM r WHERE citation IS NOT NULL),
+lines AS (
+  SELECT '## Introduction' AS line UNION ALL SELECT '## Conclusion' UNION ALL SELECT '## References'
+  UNION ALL SELECT DISTINCT '## Cluster ' || lang FROM r
+  UNION ALL SELECT line FROM refs
+)
+SELECT md5(line) AS line_md5, CAST(length(line) AS INTEGER) AS n FROM lines"""

@@ -283,6 +283,74 @@ def q_embed_tfidf(spark, sf):
     return v.select("doc_id", "n_terms", F.round(norm("embedding"), 6).alias("norm"))
 
 
+def q_tfidf_weights(spark, sf):
+    """Exact TF-IDF weights of every document, each as its number of terms, sum and largest weight."""
+    w = vectors.tfidf_weights(_spread_t(spark, sf, "documents"), "text", "doc_id")
+    return w.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.sum("tf").alias("n_tokens"), F.round(F.sum("weight"), 6).alias("sum_weight"),
+        F.round(F.max("weight"), 6).alias("max_weight"))
+
+
+def q_kmeans_fixed(spark, sf):
+    """Three rounds of k-means from fixed first centres (the vectors of the smallest ids): assignment and cost."""
+    e = _emb(spark, sf)
+    start = e.orderBy("vec_id").limit(KMEANS_K).select("embedding").collect()
+    centers = [[float(x) for x in r["embedding"]] for r in start]
+    for _ in range(3):
+        lab = vectors.assign_nearest(e, "embedding", centers)
+        _, centers = vectors.collect_centers(vectors.centroids(lab, "cluster", "embedding"), "cluster")
+    return vectors.assign_nearest(e, "embedding", centers).select("vec_id", "cluster")
+
+
+# ------------------------------------------------------------ end to end
+
+def _records(spark, sf) -> DataFrame:
+    """Every document's record, extracted offline."""
+    return cut_lineage(q_extract_records(spark, sf), "records")
+
+
+def q_build_table(spark, sf):
+    """Documents -> records -> clusters -> CSV, read back by name: rows and present fields by status."""
+    from lectern.plans.corpus import cluster_table
+    from lectern.sources.records import read_records, validate_columns, write_records
+
+    out = cluster_table(_records(spark, sf), k=KMEANS_K, restarts=2).records
+    path = scratch_path(spark, "table")
+    write_records(out.drop("row_id"), path, sentinel_cols=["title", "summary"])
+    back = read_records(spark, path)
+    validate_columns(back, ["title", "cluster", "cluster_description"])
+    has = lambda c: F.count(F.when(F.col(c) != SENTINEL, 1))
+    return back.groupBy("extraction_status").agg(
+        F.count(F.lit(1)).alias("n"), has("title").alias("n_title"), has("summary").alias("n_summary"), F.count("citation").alias("n_citation"),
+        F.count("cluster").alias("n_cluster"), F.count(F.when(F.col("cluster_description").startswith("Cluster with "), 1)).alias("n_described"))
+
+
+def q_cluster_analysis(spark, sf):
+    """The written cluster analysis, read back: all records are in some cluster, and its description says how many."""
+    from lectern.plans.corpus import cluster_table
+    from lectern.sources.records import write_analysis
+
+    path = scratch_path(spark, "analysis")
+    write_analysis(cluster_table(_records(spark, sf), k=KMEANS_K, restarts=2).profile, path)
+    said = F.regexp_extract("description", r"^Cluster with ([0-9]+) papers", 1).cast("long")
+    return spark.read.json(path).agg(
+        F.sum("size").cast("long").alias("n_records"), F.sum(said).cast("long").alias("n_described"),
+        F.count(F.when(F.col("cluster").startswith("Cluster "), 1)).alias("n_clusters"))
+
+
+def q_review_report(spark, sf):
+    """The review of all records (language as cluster), written as Markdown and read back: its headings and references."""
+    from lectern.plans.corpus import review
+    from lectern.sources.records import write_report
+
+    lang = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), F.col("doc_id").alias("row_id"), "lang")
+    recs = _records(spark, sf).join(lang, "filename").withColumn("cluster", F.col("lang")).withColumn("cluster_description", F.lit("by language"))
+    path = scratch_path(spark, "review")
+    write_report(review(recs, EchoModel(), "intro", "end", batch_rows=REVIEW_BATCH, fan_in=REVIEW_FAN_IN, pause=0.0), path)
+    lines = spark.read.text(path)
+    return lines.where(F.col("value").rlike(r"^## |^\[[0-9]+\] ")).select(F.md5("value").alias("line_md5"), F.length("value").alias("n"))
+
+
 # ------------------------------------------------------------ profile
 
 def _papers(spark, sf) -> DataFrame:
@@ -418,6 +486,11 @@ QUERIES: dict[str, Query] = {
     "kmeans_clusters": q_kmeans_clusters,
     "project_2d": q_project_2d,
     "embed_tfidf": q_embed_tfidf,
+    "tfidf_weights": q_tfidf_weights,
+    "kmeans_fixed_start": q_kmeans_fixed,
+    "build_table": q_build_table,
+    "cluster_analysis": q_cluster_analysis,
+    "review_report": q_review_report,
     "top_values": q_top_values,
     "year_histogram": q_year_histogram,
     "cluster_description": q_cluster_description,
