@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm import sql
 from lectern.llm.decontaminate import contaminated
 from lectern.llm.mixing import mix_sources
 from lectern.llm.near_dup import near_duplicates
@@ -77,7 +78,7 @@ def op8_url_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_near_dup(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf, "documents"))
+    return near_duplicates(read_table(spark, sf, "documents")).drop("text_key")
 
 
 def op10_host_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,4 +99,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_host_quality": op10_host_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_feistel_shards": sql.shards(SHARDS, SEED),
+    "op6_substring_dedup": sql.substring(),
+    "op8_url_templates": sql.urls(URL_RULES),
+    "op9_near_dup": sql.near_dup(),
+    "op10_host_quality": sql.quality(),
+}
