@@ -3,6 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from lectern.plans.queries import QUERIES
 from lectern.operators.inference import RecordModel
 from lectern.plans.corpus import cluster_table, review
 from lectern.plans.extract import extract_records
@@ -70,6 +71,10 @@ def test_cluster_table_fallback_label(spark):
     out = cluster_table(recs, embedder=broken, on_error="label")
     vals = out.records.select("cluster", "cluster_description").distinct().collect()
     assert [(r.cluster, r.cluster_description) for r in vals] == [(0, "Clustering failed")]
+    (row,) = out.profile.collect()
+    assert row.size == out.records.count() and row.description == "Clustering failed: no model"
+    good = cluster_table(recs, restarts=1).profile
+    assert out.profile.columns == good.columns
 
 
 def test_entry_and_registry(spark):
@@ -92,19 +97,19 @@ def test_plans_have_no_cartesian_product(spark):
 
 def test_scans_prune_columns(spark):
     plan = entry.queries()["drop_empty"](spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,n_chars:bigint>" in plan or "source" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,n_chars:bigint>" in plan
     plan = entry.queries()["cluster_slice"](spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(label), EqualTo(label,3)]" in plan
 
 
 # Queries whose work is a user function (model, similarity kernel) and may run Python stages.
 PYTHON_STAGES = {"infer_stub", "extract_records", "cosine_pairs", "top_neighbors", "cluster_narrative"}
-# The only query with a single-partition step: ordering k + 2 report sections.
-SINGLE_PARTITION = {"report_sections"}
+# Queries with a single-partition step: ordering k + 2 report sections, totals over one row per cluster.
+SINGLE_PARTITION = {"report_sections", "cluster_analysis"}
 
 
 def test_every_registered_plan(spark):
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         plan = _plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan, name  # never a row-at-a-time Python UDF

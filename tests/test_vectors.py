@@ -107,6 +107,8 @@ def test_kmeans_invariants(spark):
     e = _emb(spark, SF_MID)
     res = kmeans(e, "embedding", "vec_id", k=5, restarts=3)
     assert res.cost == min(res.costs)
+    assert res.converged and len(res.iterations) == 3 and max(res.iterations) < 300
+    assert not kmeans(e, "embedding", "vec_id", k=5, restarts=1, max_iter=2).converged
     labels = res.labels.collect()
     assert len(labels) == e.count()
     assert {r.cluster for r in labels} <= set(range(res.k))
@@ -234,3 +236,21 @@ def test_cosine_pairs_pruned_path_on_clustered_data(spark, monkeypatch):
     got = [(r.i, r.j) for r in similarity.cosine_pairs(e, "vec_id", "embedding", t, pivots=24, block_rows=20).collect()]
     assert seen and sum(c * c for c in seen[0].values()) < len(rows) ** 2  # the pivots pruned
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_tfidf_weights_by_hand(spark):
+    import math
+
+    from lectern.operators.vectors import tfidf_weights
+
+    texts = {1: "Été été plage", 2: "plage, PLAGE; mer", 3: "", 4: None, 5: "mer"}
+    df = spark.createDataFrame(list(texts.items()), "id long, t string")
+    got = {(r.id, r.term): (r.tf, r.weight) for r in tfidf_weights(df, "t", "id").collect()}
+    counts = {1: {"été": 2, "plage": 1}, 2: {"plage": 2, "mer": 1}, 5: {"mer": 1}}
+    df_of = {"été": 1, "plage": 2, "mer": 2}
+    assert set(got) == {(d, t) for d, c in counts.items() for t in c}
+    for d, c in counts.items():
+        w = {t: n * math.log(6 / (df_of[t] + 1)) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        for t, n in c.items():
+            assert got[d, t][0] == n and got[d, t][1] == pytest.approx(w[t] / norm)
