@@ -312,12 +312,12 @@ def _records(spark, sf) -> DataFrame:
 def q_build_table(spark, sf):
     """Documents -> records -> clusters -> CSV, read back by name: rows and present fields by status."""
     from lectern.plans.corpus import cluster_table
-    from lectern.sources.records import read_records, validate_columns, write_records
+    from lectern.sources.records import from_display, read_records, validate_columns, write_records
 
     out = cluster_table(_records(spark, sf), k=KMEANS_K, restarts=2).records
     path = scratch_path(spark, "table")
     write_records(out.drop("row_id"), path, sentinel_cols=["title", "summary"])
-    back = read_records(spark, path)
+    back = from_display(read_records(spark, path))
     validate_columns(back, ["title", "cluster", "cluster_description"])
     has = lambda c: F.count(F.when(F.col(c) != SENTINEL, 1))
     return back.groupBy("extraction_status").agg(

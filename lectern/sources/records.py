@@ -130,10 +130,11 @@ def read_records(
 ) -> DataFrame:
     """CSV with header, quoted cells; fails fast on malformed input.
 
-    Columns are matched by the names in the header, display names or internal
-    ones, whatever their order.  With ``schema`` given, its columns must all be
-    there (else a ``ValueError`` lists those that are missing); they are cast
-    to its types and returned in its order.  No inference pass is made.
+    Columns have the names in the header (:func:`from_display` gives internal
+    ones) and are strings; no inference pass is made.  With ``schema`` given,
+    columns are matched by name, display or internal, whatever their order in
+    the file: all must be there (else a ``ValueError`` lists those that are
+    missing), and they are cast to its types and returned in its order.
     ``multi_line=False`` lets Spark split large files whose cells have no line
     breaks.  A missing path is a ``FileNotFoundError``, a file without a header
     a ``ValueError``.
@@ -145,7 +146,7 @@ def read_records(
         .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
     )
     try:
-        raw = from_display(reader.csv(path))
+        raw = reader.csv(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             raise FileNotFoundError(f"no records at {path}") from exc
@@ -156,6 +157,7 @@ def read_records(
         raise ValueError(f"no header in {path}")
     if schema is None:
         return raw
+    raw = from_display(raw)
     back = {v: k for k, v in {**DISPLAY_NAMES, **CLUSTER_DISPLAY}.items()}
     validate_columns(raw, [back.get(f.name, f.name) for f in schema.fields])
     return raw.select(*[F.col(f"`{back.get(f.name, f.name)}`").cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -7,7 +7,7 @@ from lectern.functions.core import SENTINEL
 from lectern.operators.references import number_references
 from lectern.operators.report import report_lines, review_sections
 from lectern.sources.records import (
-    RECORD_SCHEMA, decode_pages, read_records, require_non_empty, scan_documents, to_display, validate_columns,
+    RECORD_SCHEMA, decode_pages, from_display, read_records, require_non_empty, scan_documents, to_display, validate_columns,
     write_records, write_report,
 )
 from lectern.streaming.ingest import incremental_ingest
@@ -130,7 +130,7 @@ def test_sinks_round_trip(spark, tmp_dir):
 
     recs = spark.createDataFrame([("f1", None, 3), ("f2", 'a "b", c', None)], "filename string, title string, cluster int")
     write_records(recs, os.path.join(tmp_dir, "r"), sentinel_cols=["title"])
-    back = {r.filename: r for r in read_records(spark, os.path.join(tmp_dir, "r")).collect()}
+    back = {r.filename: r for r in from_display(read_records(spark, os.path.join(tmp_dir, "r"))).collect()}
     assert back["f1"].title == "Not explicitly mentioned" and back["f2"].title == 'a "b", c' and back["f1"].cluster == "3"
     prof = spark.createDataFrame([(0, "d", {"x": 2})], "cluster int, description string, common_methods map<string,bigint>")
     write_analysis(prof, os.path.join(tmp_dir, "a"))
