@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries.
 CHUNK = 15000
 SIM_THRESHOLD = 0.35
+SIM_BLOCK_ROWS = 128  # small blocks, so that the test tables make many of them
 TOP_K = 3
 REP_N = 3
 KMEANS_K = 5
@@ -257,12 +258,12 @@ def q_assign_nearest(spark, sf):
 
 
 def q_cosine_pairs(spark, sf):
-    p = similarity.cosine_pairs(_emb(spark, sf), "vec_id", "embedding", SIM_THRESHOLD)
+    p = similarity.cosine_pairs(_emb(spark, sf), "vec_id", "embedding", SIM_THRESHOLD, block_rows=SIM_BLOCK_ROWS)
     return p.select("i", "j", F.round("sim", 6).alias("sim"))
 
 
 def q_top_neighbors(spark, sf):
-    t = similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K)
+    t = similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K, block_rows=SIM_BLOCK_ROWS)
     return t.select(F.col("id").alias("vec_id"), "neighbor", F.col("rank").cast("int").alias("rank"),
                     F.round("sim", 6).alias("sim"))
 

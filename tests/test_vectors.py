@@ -254,3 +254,15 @@ def test_tfidf_weights_by_hand(spark):
         norm = math.sqrt(sum(x * x for x in w.values()))
         for t, n in c.items():
             assert got[d, t][0] == n and got[d, t][1] == pytest.approx(w[t] / norm)
+
+
+def test_similarity_of_string_ids(spark):
+    from lectern.operators.similarity import cosine_pairs, top_neighbors
+
+    e = _emb(spark, SF_SMALL)
+    named = e.withColumn("name", F.concat(F.lit("file-"), F.lpad(F.col("vec_id").cast("string"), 6, "0")))
+    for rows in (4096, 24):  # one block, and many blocks with pivots
+        a = {(f"file-{r.i:06d}", f"file-{r.j:06d}") for r in cosine_pairs(e, "vec_id", "embedding", 0.3, block_rows=rows).collect()}
+        assert a and a == {(r.i, r.j) for r in cosine_pairs(named, "name", "embedding", 0.3, block_rows=rows).collect()}
+        b = {(f"file-{r.id:06d}", f"file-{r.neighbor:06d}", r["rank"]) for r in top_neighbors(e, "vec_id", "embedding", 2, block_rows=rows).collect()}
+        assert b == {(r.id, r.neighbor, r["rank"]) for r in top_neighbors(named, "name", "embedding", 2, block_rows=rows).collect()}
