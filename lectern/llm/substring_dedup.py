@@ -149,8 +149,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     repeated = paths.groupBy("anchor").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
         F.min("content").alias("c0"), F.max("content").alias("c1")).where("source < last")
-    found = paths.select(*doc, "path", "anchor").join(
-        repeated.select("anchor", "source", (F.col("c0") == F.col("c1")).alias("whole")), "anchor").where("not whole or source < doc_id")
+    # written, so that the join deals both sides anew and a hot anchor's rows can be split between tasks
+    repeated = cut_lineage(repeated.select("anchor", "source", (F.col("c0") == F.col("c1")).alias("whole")), "repeated")
+    found = paths.select(*doc, "path", "anchor").join(repeated, "anchor").where("not whole or source < doc_id")
     listed = cut_lineage(found.groupBy(*doc).agg(
         F.collect_set(F.when(F.col("whole"), F.col("path"))).alias("paths"),
         F.collect_set(F.when(~F.col("whole"), F.col("path"))).alias("branching")), "found")
@@ -159,8 +160,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         _edges, "doc_id long, th long, win int, anchor long, content long")
     edges = cut_lineage(edges, "edges")
     shared = edges.groupBy("anchor", "content").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last")
-    wins = edges.join(shared.select("anchor", "content", "source"), ["anchor", "content"]).where("source < doc_id").groupBy(*doc).agg(
-        F.collect_set("win").alias("wins"))
+    shared = cut_lineage(shared.select("anchor", "content", "source"), "shared")
+    wins = edges.join(shared, ["anchor", "content"]).where("source < doc_id").groupBy(*doc).agg(F.collect_set("win").alias("wins"))
 
     goes = listed.select(*doc, "paths").join(wins, doc, "full").where(
         (F.coalesce(F.size("paths"), F.lit(0)) > 0) | (F.coalesce(F.size("wins"), F.lit(0)) > 0))
