@@ -11,7 +11,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +30,9 @@ ASSIGN_LEAST = 12
 SENSITIVE = re.compile(
     r"(?:passw|passphrase|pwd|secret|token|api[ _-]?key|apikey|private[ _-]?key|access[ _-]?key|credential|bearer|authorization)", re.IGNORECASE | re.ASCII)
 LEAST = 16
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 WHOLE = re.compile(r"[A-Za-z0-9+/_=-]+")
+VALUE = re.compile(r"[A-Za-z0-9+/_-]{%d,}=*" % LEAST)  # of a run key=value, what stands between the equals signs
 REACH = 96  # characters after a sensitive word in which a candidate may begin
 AROUND = 1024  # characters of text on either side that the candidate is compared with
 NOVELTY = 0.8  # added bytes for each character
@@ -74,20 +77,55 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def _mixed(word: str) -> bool:
+    return bool(re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word))
+
+
+def _unlike(word: str, text: str) -> str:
+    """``text`` without its other random-looking strings: those that share no four characters with ``word``.
+
+    They repeat nothing of it, but their letters' frequencies make every random string beside them look cheaper.
+    """
+    grams = {word[i : i + 4] for i in range(len(word) - 3)}
+    return VALUE.sub(lambda m: "" if _mixed(m[0]) and not any(m[0][i : i + 4] in grams for i in range(len(m[0]) - 3)) else m[0], text)
+
+
+def _is_novel(text: str, s: int, e: int, identifiers: str) -> bool:
+    word = text[s:e]
+    if not _mixed(word):
+        return False
+    before, after = text[max(0, s - AROUND) : s], text[e : e + AROUND]
+    if novelty(word, before, after, identifiers) >= NOVELTY:
+        return True
+    clean = _unlike(word, before), _unlike(word, after)
+    return clean != (before, after) and novelty(word, *clean, identifiers) >= NOVELTY
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], identifiers: str = IDENTIFIERS) -> list[tuple[int, int, str]]:
     """Incompressible strings in a sensitive context that no base span touches."""
     out: list[tuple[int, int, str]] = []
-    upto = 0
+    taken = sorted(taken)
+    starts, tops = [x[0] for x in taken], list(accumulate((x[1] for x in taken), max))
+    upto = reach = 0
     for m in SENSITIVE.finditer(text):
-        for c in CANDIDATE.finditer(text, max(m.end(), upto), m.end() + REACH + LEAST):
+        upto, reach = max(m.end(), upto), max(m.end() + REACH, reach)
+        while True:
+            c = CANDIDATE.search(text, upto, reach + LEAST)
+            if not c:
+                upto = max(upto, reach + 1)  # nothing begins up to there
+                break
             s = c.start()
             upto = e = WHOLE.match(text, s).end()
-            if any(a < e and s < z for a, z, _ in taken):
+            if text[e : e + 1] == ".":  # the next part of a token in parts
+                reach = max(reach, e + 1)
+            before = bisect_left(starts, e)
+            if before and tops[before - 1] > s:
                 continue
-            word = text[s:e]
-            if re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word) \
-                    and novelty(word, text[max(0, s - AROUND) : s], text[e : e + AROUND], identifiers) >= NOVELTY:
-                out.append((s, e, "novel"))
+            values = [(v.start(), v.end()) for v in VALUE.finditer(text, s, e)]
+            found = [v for v in values if _is_novel(text, *v, identifiers)]
+            if not found and values != [(s, e)] and _is_novel(text, s, e, identifiers):
+                found = [(s, e)]
+            out += [(*v, "novel") for v in found]
     return out
 
 

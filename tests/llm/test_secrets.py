@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import base64
 import hashlib
+import random
 import re
 
 from lectern.llm.secrets import NOVELTY, base_spans, joined, novel_spans, novelty, secret_spans
@@ -48,6 +50,41 @@ def test_novel_spans_need_a_sensitive_context():
     assert novel_spans("bearer " + "a b " * 400 + KEY, []) == []
 
 
+VALUE = "Qz7Lk2VxN9bTfR4mWc8YpJ3hSd6GgA5uEo1iKvXt"
+
+
+def found(text: str) -> list[str]:
+    return [text[a:z] for a, z, _ in novel_spans(text, base_spans(text))]
+
+
+def test_values_straight_behind_their_names():
+    names = ["AWS_SECRET_ACCESS_KEY=", "SECRET_KEY=", "private_key=", "access_key=", "api-key=", "pwd=", "passphrase=", "credential=",
+             "export SECRET_KEY=", "https://example.com/x?id=3&access_key=", "private_key: ", "private_key='", "secret store=", "secret.key.value="]
+    for name in names:
+        assert found(f"{name}{VALUE}\n") == [VALUE], name
+        assert found(f"host=a\n{name}{VALUE}&x=1\n") == [VALUE], name
+    assert found(f"pwd={VALUE}==") == [VALUE + "=="]
+    assert found("SECRET_KEY=your_secret_key_here1\npwd=user_name_user_id1\n" * 20) == []
+
+
+def test_web_tokens_whole():
+    def part(x: bytes) -> str:
+        return base64.urlsafe_b64encode(x).decode().rstrip("=")
+
+    rng = random.Random(5)
+    for size in (32, 256):
+        parts = [part(b'{"alg":"HS256","typ":"JWT"}'), part(rng.randbytes(60)), part(rng.randbytes(size))]
+        assert found(f"Authorization: Bearer {'.'.join(parts)}\n")[-2:] == parts[1:]
+        # a payload that is no random string itself does not end the search for the signature
+        parts[1] = part(b'{"sub":"8841","name":"Jane Roe","iat":1716239022,"scope":"read read read read read read"}')
+        assert found(f"the client sends its header\nAuthorization: Bearer {'.'.join(parts)}\n")[-1] == parts[2]
+
+
+def test_many_contexts_take_linear_time():
+    for text in ("token=abcdefghijkl ", "token=abcdefghijklmnop1 ", "pwd=a1.b2.c3 "):
+        novel_spans(text * 50_000, base_spans(text * 50_000))
+
+
 def test_a_long_text_takes_linear_time():
     assert joined(base_spans("token " * 200_000)) == ""
     assert novel_spans("token " * 50_000, []) == []
