@@ -33,7 +33,7 @@ LEAST = 16
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 WHOLE = re.compile(r"[A-Za-z0-9+/_=-]+")
 VALUE = re.compile(r"[A-Za-z0-9+/_-]{%d,}=*" % LEAST)  # of a run key=value, what stands between the equals signs
-REACH = 96  # characters after a sensitive word in which a candidate may begin
+REACH = 96  # characters after a sensitive word, or a span reported behind one, in which a candidate may begin
 AROUND = 1024  # characters of text on either side that the candidate is compared with
 NOVELTY = 0.8  # added bytes for each character
 
@@ -102,14 +102,21 @@ def _is_novel(text: str, s: int, e: int, identifiers: str) -> bool:
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]], identifiers: str = IDENTIFIERS) -> list[tuple[int, int, str]]:
-    """Incompressible strings in a sensitive context that no base span touches."""
+    """Incompressible strings in a sensitive context that no base span touches.
+
+    A context reaches on from every span reported in it, so the lines of a key or a list are followed to their end.
+    """
     out: list[tuple[int, int, str]] = []
     taken = sorted(taken)
     starts, tops = [x[0] for x in taken], list(accumulate((x[1] for x in taken), max))
-    upto = reach = 0
+    upto = reach = k = 0
     for m in SENSITIVE.finditer(text):
         upto, reach = max(m.end(), upto), max(m.end() + REACH, reach)
         while True:
+            while k < len(taken) and starts[k] <= reach:
+                if taken[k][1] > m.start():
+                    reach = max(reach, taken[k][1] + REACH)
+                k += 1
             c = CANDIDATE.search(text, upto, reach + LEAST)
             if not c:
                 upto = max(upto, reach + 1)  # nothing begins up to there
@@ -125,7 +132,9 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], identifiers: str =
             found = [v for v in values if _is_novel(text, *v, identifiers)]
             if not found and values != [(s, e)] and _is_novel(text, s, e, identifiers):
                 found = [(s, e)]
-            out += [(*v, "novel") for v in found]
+            if found:
+                out += [(*v, "novel") for v in found]
+                reach = max(reach, e + REACH)
     return out
 
 

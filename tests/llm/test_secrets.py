@@ -80,6 +80,21 @@ def test_web_tokens_whole():
         assert found(f"the client sends its header\nAuthorization: Bearer {'.'.join(parts)}\n")[-1] == parts[2]
 
 
+def test_keys_of_many_lines_whole():
+    key = base64.b64encode(random.Random(3).randbytes(1190)).decode()
+    lines = [key[i : i + 64] for i in range(0, len(key), 64)]
+    around = "the client sends its header and the server reads user_name and request_id " * 5
+    for end in ("\n", "\r\n", "\\n"):
+        text = f"{around}\n-----BEGIN PRIVATE KEY-----{end}{end.join(lines)}{end}-----END PRIVATE KEY-----\n{around}"
+        assert [x.removeprefix("n") if end == "\\n" else x for x in found(text)] == lines
+    table = "".join(f"| service{i} | {line[:40]} |\n" for i, line in enumerate(lines))
+    assert found("| name | credential |\n" + table) == [x[:40] for x in lines]
+    # an ordinary text behind it ends the context
+    assert found(f"pwd={VALUE}\n" + "a b " * 400 + KEY) == [VALUE]
+    # a base span carries the context on too
+    assert found("token: " + "ab" * 60 + f"\n{VALUE}") == [VALUE]
+
+
 def test_many_contexts_take_linear_time():
     for text in ("token=abcdefghijkl ", "token=abcdefghijklmnop1 ", "pwd=a1.b2.c3 "):
         novel_spans(text * 50_000, base_spans(text * 50_000))
