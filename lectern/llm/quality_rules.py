@@ -59,7 +59,8 @@ def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
     """(host, n, failures, rate, shrunk): per host its failure rate, raw and shrunk by the empirical beta prior.
 
     With mean m and variance v of the hosts' rates, weighted by documents, the prior is beta(m k, (1 - m) k) with
-    k = m (1 - m) / v - 1; where v is too small for a k, every host gets m.  A null host is no host.
+    k = m (1 - m) / v - 1; where v is too small for a k, every host gets m.  Where all hosts fail wholly or not at
+    all, v is as large as can be, k is 0 and every host keeps its own rate.  A null host is no host.
     """
     hosts = rows.where(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("failures"))
@@ -67,8 +68,11 @@ def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
     one = hosts.agg(F.sum("n").alias("n"), F.sum("failures").alias("f"), F.sum(F.col("n") * F.col("rate") * F.col("rate")).alias("q")).first()
     mean = one["f"] / one["n"] if one["n"] else 0.0
     variance = max(0.0, one["q"] / one["n"] - mean * mean) if one["n"] else 0.0
-    k = mean * (1 - mean) / variance - 1 if variance > 1e-12 else -1.0
-    shrunk = (F.col("failures") + F.lit(mean * k)) / (F.col("n") + F.lit(k)) if k > 0 else F.lit(mean)
+    if variance > 1e-12:
+        k = max(0.0, mean * (1 - mean) / variance - 1)  # below 0 by rounding only
+        shrunk = (F.col("failures") + F.lit(mean * k)) / (F.col("n") + F.lit(k))
+    else:
+        shrunk = F.lit(mean)
     return hosts.withColumn("shrunk", shrunk)
 
 

@@ -55,3 +55,19 @@ def test_a_bad_host_loses_its_documents(spark):
     rows = [(i, f"{good} {i}", "fine") for i in range(200)] + [(1000 + i, "short", "bad") for i in range(90)] + [(2000, good, "bad"), (2001, good, None), (2002, good, "fine")]
     out = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert not out[2000] and out[2001] and out[2002] and out[5] and not out[1000]
+
+
+def test_hosts_that_fail_wholly_or_not_at_all(spark):
+    for bad, good in ((70, 30), (700, 300), (2, 1), (90, 10), (30, 70), (50, 50)):
+        rows = spark.createDataFrame([("bad", True)] * bad + [("good", False)] * good, "host string, failed boolean")
+        got = {r.host: r.shrunk for r in host_rates(rows, "host", "failed").collect()}
+        assert abs(got["bad"] - 1) < 1e-9 and abs(got["good"]) < 1e-9, (bad, good)
+    same = spark.createDataFrame([("a", True), ("a", False), ("b", True), ("b", False)], "host string, failed boolean")
+    assert {r.shrunk for r in host_rates(same, "host", "failed").collect()} == {0.5}
+
+
+def test_a_wholly_bad_host_costs_clean_hosts_nothing(spark):
+    good = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, "short", "bad") for i in range(70)] + [(100 + i, f"{good} {i}", f"fine{i % 3}") for i in range(30)]
+    out = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(out[100 + i] for i in range(30)) and not any(out[i] for i in range(70))
