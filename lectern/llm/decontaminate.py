@@ -1,6 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
-Benchmark items are partitioned by the size of their shingle set into classes of up to 16, 32, 64, ... shingles.
+Benchmark items of fewer than 8 shingles are looked up: one that a document holds three quarters of shares one of its
+rarest shingles with it, one or two of which are the keys of a table.  The others are partitioned by the size of their
+shingle set into classes of up to 16, 32, 64, ... shingles.
 For a class of up to L shingles every document is seen as overlapping windows of 2 L shingles, one every L, so a
 passage that an item could have left behind lies whole in some window and its Jaccard similarity with the item is
 bounded below (at three quarters of the item: 0.17; at the whole item: 0.25).  ``HASHES`` MinHash values, each a band
@@ -13,6 +15,7 @@ documents.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ K = 5
 CONTAINMENT = 0.75
 HASHES = 128
 SMALLEST = 16
+# Items of fewer shingles are looked up by their shingles.
+FEW = 8
 # Bytes of benchmark text searched by one pass over the documents.
 BLOCK_BYTES = 8_000_000
 
@@ -73,7 +78,11 @@ class Items:
                     self.ids.append(ids[lo + i])
                     self.grams.append(np.unique(h[first[i] : first[i + 1]]))
         self.classes: dict[int, list[int]] = {}
+        few = [i for i, g in enumerate(self.grams) if len(g) < FEW]
+        self.few = self._lookup(few) if few else None
         for i, g in enumerate(self.grams):
+            if len(g) < FEW:
+                continue
             size = SMALLEST
             while size < len(g):
                 size *= 2
@@ -82,11 +91,27 @@ class Items:
             size: [Keys(np.array([((self.grams[i] ^ x) * m).min() for i in members]), np.asarray(members)) for x, m in zip(_XOR, _MUL, strict=True)]
             for size, members in self.classes.items()}
 
+    def _lookup(self, few: list[int]) -> Keys:
+        """Keys of the items by so many of their rarest shingles that one is left where a quarter is missing."""
+        grams, n = np.unique(np.concatenate([self.grams[i] for i in few]), return_counts=True)
+        keys, members = [], []
+        for i in few:
+            g = self.grams[i]
+            rare = g[np.argsort(n[np.searchsorted(grams, g)], kind="stable")][: len(g) - math.ceil(CONTAINMENT * len(g)) + 1]
+            keys.append(rare)
+            members += [i] * len(rare)
+        return Keys(np.concatenate(keys), np.asarray(members))
+
     def candidates(self, h: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
-        """(document, item) pairs that agree in a MinHash value of some window; document d has shingles first[d]..."""
+        """(document, item) pairs that agree in a MinHash value of some window, or in a rare shingle of a small item;
+        document d has shingles first[d]..."""
         n = np.diff(first)
         has = np.flatnonzero(n)
         found: set[tuple[int, int]] = set()
+        if len(has) and self.few:
+            at = self.few.seen(h)
+            for d, value in zip(np.searchsorted(first, at, side="right") - 1, h[at], strict=True):
+                found.update((int(d), int(i)) for i in self.few.items(value))
         if not len(has) or not self.classes:
             return found
         # cells of SMALLEST shingles, the last of a document shorter

@@ -1,6 +1,11 @@
 from __future__ import annotations
 
-from lectern.llm.decontaminate import contaminated
+import numpy as np
+import pyarrow as pa
+
+from lectern.llm.decontaminate import Items, contaminated
+from lectern.llm.words import shingles as hashed
+from lectern.llm.words import text_blocks
 
 from .helpers import SF, awkward, frames, prose, shingles, words
 
@@ -53,3 +58,26 @@ def test_awkward_rows(spark):
     want = brute([(i, t) for i, t, *_ in awkward()], [(r.item_id, r.text) for r in items.collect()])
     assert set(result(docs, items)) == want and set(result(clashing, items)) == want
     assert result(empty, items) == [] and result(docs, items.limit(0)) == []
+
+
+def test_items_of_few_shingles(spark):
+    long = prose(4_000, 11, 9000).split()
+    rows = [(0, " ".join(long)), (1, " ".join(long[:2000])), (2, prose(4_000, 12, 9000)), (3, " ".join(long[50:61])), (4, "")]
+    items = [(100 * n + k, " ".join(long[37 * k + n : 37 * k + 2 * n])) for n in range(5, 13) for k in range(40)]
+    # a word cut from either end leaves 3/4 of some of them; a shared beginning makes their first shingle a common one
+    items += [(5000 + n, " ".join(["cut", *long[500 : 500 + n]])) for n in range(4, 12)] + [(6000 + n, " ".join([*long[:7], *long[900 : 900 + n]])) for n in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = result(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert set(got) == brute(rows, items) and len(got) == len(set(got))
+    assert {(0, i) for i, _ in items if i < 2000} <= {x[:2] for x in got}
+
+
+def test_no_item_of_one_shingle_is_missed_in_long_documents():
+    # windows of 32 shingles and 128 bands miss one in about 225
+    texts = [prose(600, 1000 + k, 10**6) for k in range(40)]
+    parts = [(d, " ".join(t.split()[i : i + 5])) for d, t in enumerate(texts) for i in range(7, 590, 12)]
+    items = Items(list(range(len(parts))), [x for _, x in parts])
+    ((_, _, w),) = text_blocks(pa.array(texts, pa.string()), lower=True)
+    found = items.candidates(*hashed(w, 5))
+    assert {(d, i) for i, (d, _) in enumerate(parts)} <= found
+    assert items.candidates(np.zeros(0, dtype=np.uint64), np.zeros(3, dtype=np.int64)) == set()
