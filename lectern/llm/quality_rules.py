@@ -42,14 +42,22 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     repeats = F.size(F.array_distinct("_t")) < F.size("_t")
     packed = F.when(repeats, F.sort_array(F.transform(
         "_t", lambda h, i: h.bitwiseAND(F.bitwise_not("_m")).bitwiseOR(i.cast("long")))))
-    d = c.select(*rest, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", "_m", packed.alias("_s"))
+    d = c.select(*rest, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", "_m", "_t", packed.alias("_s"))
 
     def same(x: Column, y: Column) -> Column:
         return F.coalesce(x.bitwiseXOR(y).bitwiseAND(F.bitwise_not("_m")) == 0, F.lit(False))
 
     found = F.filter("_s", lambda x, i: same(x, F.get("_s", i + 1)) | ((i > 0) & same(x, F.get("_s", i - 1))))
-    e = d.select(*rest, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines",
-                 F.transform(found, lambda x: x.bitwiseAND(F.col("_m"))).alias("_p"))
+    # these few are compared by their whole hashes: a triple that repeats is among them, but so are strangers
+    at = F.transform(found, lambda x: x.bitwiseAND(F.col("_m")))
+    whole = F.sort_array(F.transform(at, lambda p: F.struct(F.get("_t", p.cast("int")).alias("h"), p.alias("p"))))
+    d = d.select(*rest, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", whole.alias("_q"))
+
+    def equal(x: Column, y: Column) -> Column:
+        return F.coalesce(x["h"] == y["h"], F.lit(False))
+
+    pairs = F.filter("_q", lambda x, i: equal(x, F.get("_q", i + 1)) | ((i > 0) & equal(x, F.get("_q", i - 1))))
+    e = d.select(*rest, "n_symbols", "n_words", "word_chars", "n_lines", "n_dup_lines", F.transform(pairs, lambda x: x["p"]).alias("_p"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("_p", lambda p: F.array(p, p + 1, p + 2)))))
     return e.select(*rest, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                     F.when(F.col("_p").isNull(), 0).otherwise(covered).cast("long").alias("n_repeat_words"))

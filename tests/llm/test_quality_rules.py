@@ -71,3 +71,13 @@ def test_a_wholly_bad_host_costs_clean_hosts_nothing(spark):
     rows = [(i, "short", "bad") for i in range(70)] + [(100 + i, f"{good} {i}", f"fine{i % 3}") for i in range(30)]
     out = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert all(out[100 + i] for i in range(30)) and not any(out[i] for i in range(70))
+
+
+def test_triples_that_agree_in_part_of_their_hash_are_no_repeats(spark):
+    # the two triples "a b x..." agree in the 47 bits left beside a position in a text of 70,000 words
+    filler = [f"f{i}" for i in range(70_000)]
+    text = " ".join([*filler[:100], "a b x1716043", *filler[100:200], "r s t", *filler[200:300], "a b x6057582", *filler[300:400], "r s t", *filler[400:]])
+    rows = [(1, text, "h"), (2, text + " a b x1716043", "h")]
+    got = result(quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert same_rows(got, [(i, *brute(t)) for i, t, _ in rows])
+    assert sorted(r[5] for r in got) == [6, 12]
