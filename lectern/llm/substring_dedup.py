@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.words import Rolling, Words, mix, text_blocks
+from lectern.llm.words import RunHash, Words, mix, text_blocks
 from lectern.session import cut_lineage
 
 WINDOW = 50
@@ -47,7 +47,7 @@ class Paths:
         self.window, self.start, self.count, self.doc = window, none, none, none
         self.anchor = self.content = np.zeros(0, dtype=_U)
         if n >= window:
-            self.words = Rolling(w.hash, 21)
+            self.words = RunHash(w.hash, 21)
             i = np.arange(n - anchor + 1)
             at = _leftmost_smallest(self.words.runs(i, i + anchor), window - anchor + 1)
             size = np.diff(w.first)
@@ -61,7 +61,7 @@ class Paths:
                 self.count = np.diff(np.concatenate([head, [len(doc)]]))
                 pos = at[head]
                 self.anchor = self.words.runs(pos, pos + anchor)
-                self.content = mix(Rolling(w.hash, 22).runs(self.start, self.start + self.count + window - 1)
+                self.content = mix(RunHash(w.hash, 22).runs(self.start, self.start + self.count + window - 1)
                                    ^ ((pos - self.start).astype(_U) * _U(0x9E3779B97F4A7C15)))
         self.first = np.searchsorted(self.doc, np.arange(len(w.first)))  # the first path of each document
 
@@ -101,7 +101,7 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(own), part.column(1).take(own), pa.array((start - w.first[p.doc[path]]).astype(np.int32)),
                 pa.array(p.anchor[path].view(np.int64)),
-                pa.array(Rolling(w.hash, 23).runs(start, start + WINDOW).view(np.int64)),
+                pa.array(RunHash(w.hash, 23).runs(start, start + WINDOW).view(np.int64)),
             ], names=["doc_id", "th", "win", "anchor", "content"])
 
 

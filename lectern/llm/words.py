@@ -8,7 +8,6 @@ its words, never a multiple of its bytes.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,48 +35,69 @@ def stream(n: int, seed: int) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTES = stream(256, 1)
-_BYTES_LOWER = _BYTES.copy()
-_BYTES_LOWER[65:91] = _BYTES[97:123]
-_BASE = int(stream(1, 2)[0]) | 1
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        p = np.full(n, _U(b), dtype=_U)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+def _join(a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The fingerprints of runs whose halves have fingerprints a and b; not linear, so no two structured runs cancel out."""
+    x = a * key[0] + b
+    x ^= x >> _U(32)
+    x *= key[1]
+    x ^= x >> _U(29)
+    return x
 
 
-def _power_arrays(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << 16
-    while size < n:
-        size *= 2
-    return _powers(size, base)
-
-
-def _sums(x: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(x) + 1, dtype=_U)
-    np.cumsum(x, out=out[1:])
-    return out
+class RunHash:
+    """Fingerprints of any run of a sequence of 64-bit values: level k holds those of all runs of 2**k values."""
 
+    def __init__(self, values: np.ndarray, seed: int) -> None:
+        self.key = stream(4, seed) | _U(1)
+        self.levels = [mix(values ^ self.key[2])]
 
-class Rolling:
-    """Fingerprints of any run of a sequence of values, by prefix sums of a polynomial."""
+    def level(self, k: int) -> np.ndarray:
+        while len(self.levels) <= k:
+            x, step = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(_join(x[:-step], x[step:], self.key) if len(x) > step else x[:0])
+        return self.levels[k]
 
-    def __init__(self, values: np.ndarray, seed: int) -> None:
-        self.base = int(stream(1, seed)[0]) | 1
-        up, self.down = _power_arrays(len(values) + 1, self.base)
-        self.sums = _sums(values * up[: len(values)])
+    def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the values start..end-1, one or more of them; runs of different length differ too."""
+        n = end - start
+        out = np.zeros(len(n), dtype=_U)
+        size = np.frexp(n.astype(np.float64))[1] - 1
+        for k in np.unique(size):
+            if k < 0:
+                continue
+            at = np.flatnonzero(size == k)
+            x, width = self.level(int(k)), 1 << int(k)
+            out[at] = _join(x[start[at]], x[end[at] - width], self.key[[1, 3]])
+        return mix(out + n.astype(_U) * self.key[3])
+
+
+class ByteHash(RunHash):
+    """Fingerprints of runs of bytes; runs of up to eight bytes are their own value, mixed."""
+
+    def __init__(self, data: np.ndarray, seed: int) -> None:
+        self.key = stream(4, seed) | _U(1)
+        n = len(data)
+        padded = np.zeros((n + 15) // 8 * 8 + 8, dtype=np.uint8)
+        padded[:n] = data
+        self.eight = np.empty(n, dtype=_U)
+        for r in range(min(8, n)):
+            view = padded[r : r + (len(padded) - r) // 8 * 8].view("<u8")
+            self.eight[r::8] = view[: len(self.eight[r::8])]
+        none = self.eight[:0]
+        self.levels = [none, none, none, mix(self.eight[: max(n - 7, 0)] ^ self.key[2])]
 
     def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Of the values start..end-1; runs of different length differ too."""
-        raw = (self.sums[end] - self.sums[start]) * self.down[start]
-        return mix(raw + (end - start).astype(_U) * _U(0x9E3779B97F4A7C15))
+        n = end - start
+        short = n <= 8
+        out = np.empty(len(n), dtype=_U)
+        own = self.eight[start[short]] & (_U(0xFFFFFFFFFFFFFFFF) >> (_U(64) - _U(8) * n[short].astype(_U)))
+        out[short] = mix(mix(own ^ self.key[0]) + n[short].astype(_U) * self.key[3])
+        out[~short] = super().runs(start[~short], end[~short])
+        return out
 
 
 @dataclass
@@ -96,7 +116,6 @@ class Words:
 
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
     """Words of the concatenated documents data[offsets[d]:offsets[d+1]]."""
-    table = _BYTES_LOWER if lower else _BYTES
     starts, ends, hashes = [], [], []
     lo, stop = int(offsets[0]), int(offsets[-1])
     while lo < stop:
@@ -122,9 +141,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
         last = solid.copy()
         last[:-1] &= ~solid[1:] | edge[1:-1]
         s, e = np.flatnonzero(begins), np.flatnonzero(last) + 1
-        up, down = _power_arrays(len(b) + 1, _BASE)
-        sums = _sums(table[b] * up[: len(b)])
-        hashes.append(mix((sums[e] - sums[s]) * down[s] + (e - s).astype(_U)))
+        hashes.append(ByteHash(_LOWER[b] if lower else b, 1).runs(s, e))
         starts.append(s + lo)
         ends.append(e + lo)
         lo = hi
@@ -166,5 +183,4 @@ def shingles(w: Words, k: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum(count)])
     doc = np.repeat(np.arange(len(n)), count)
     start = np.arange(first[-1]) - first[doc] + w.first[doc]
-    roll = Rolling(w.hash, seed)
-    return roll.runs(start, np.minimum(start + k, w.first[doc + 1])), first
+    return RunHash(w.hash, seed).runs(start, np.minimum(start + k, w.first[doc + 1])), first
