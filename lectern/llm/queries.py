@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with their parameters, and their DuckDB SQL."""
+"""The registered queries of the operators, with their parameters, and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -17,6 +17,8 @@ from lectern.llm.quality_rules import quality_rules
 from lectern.llm.secrets import secret_spans
 from lectern.llm.sharding import shard_rows
 from lectern.llm.substring_dedup import digest, remove_repeats
+from lectern.llm.suffix_dedup import digest as bytes_digest
+from lectern.llm.suffix_dedup import remove_repeated_bytes
 from lectern.llm.token_counts import token_counts
 from lectern.llm.url_filter import filter_urls, host_path
 from lectern.session import read_table
@@ -86,6 +88,10 @@ def op10_host_quality(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "host")
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return bytes_digest(remove_repeated_bytes(read_table(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_feistel_shards": op2_feistel_shards,
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_templates": op8_url_templates,
     "op9_near_dup": op9_near_dup,
     "op10_host_quality": op10_host_quality,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -105,4 +112,5 @@ SQL: dict[str, str] = {
     "op8_url_templates": sql.urls(URL_RULES),
     "op9_near_dup": sql.near_dup(),
     "op10_host_quality": sql.quality(),
+    "op11_suffix_array_dedup": sql.repeated_bytes(),
 }

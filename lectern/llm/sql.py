@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lectern.llm import quality_rules, sharding, substring_dedup, url_filter
+from lectern.llm import quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -160,3 +160,18 @@ v AS (
 SELECT page_id, host, path, {rule} AS rule, coalesce({fixed}, CASE WHEN purity < {u.PURITY} THEN 'block' ELSE 'allow' END) AS verdict,
   template, round(purity, 9) AS purity
 FROM t JOIN v USING (host, template)"""
+
+
+def repeated_bytes() -> str:
+    w = suffix_dedup.WINDOW
+    return f"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, {2 * w})) AS m FROM (SELECT doc_id, x, unnest(range(0, greatest(n - {w - 1}, 0))) AS i FROM d)),
+hit AS (SELECT doc_id, i FROM w JOIN (SELECT m FROM w GROUP BY m HAVING count(*) > 1) USING (m)),
+island AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {w} THEN 0 ELSE 1 END AS new FROM hit)),
+span AS (SELECT doc_id, min(i) AS s, max(i) + {w} AS e FROM island GROUP BY doc_id, k),
+stop AS (SELECT doc_id, s, e FROM span UNION ALL SELECT doc_id, n, n FROM d),
+piece AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s, e), 0) AS f FROM stop)
+SELECT doc_id, n AS n_bytes, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans,
+  sha256(unhex(string_agg(substr(x, 2 * f + 1, 2 * (s - f)), '' ORDER BY s, e))) AS kept_sha256
+FROM piece JOIN d USING (doc_id) GROUP BY doc_id, n"""
