@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from lectern.llm import sql
 from lectern.llm.decontaminate import contaminated
 from lectern.llm.mixing import mix_sources
+from lectern.llm.native import words
 from lectern.llm.near_dup import near_duplicates
+from lectern.llm.periodic_runs import digest as runs_digest
+from lectern.llm.periodic_runs import periodic_runs
 from lectern.llm.pseudonyms import pseudonymise
 from lectern.llm.quality_rules import quality_rules
 from lectern.llm.secrets import secret_spans
 from lectern.llm.sharding import shard_rows
+from lectern.llm.spelling import spelling_variants
 from lectern.llm.substring_dedup import digest, remove_repeats
 from lectern.llm.suffix_dedup import digest as bytes_digest
 from lectern.llm.suffix_dedup import remove_repeated_bytes
@@ -92,6 +96,26 @@ def op11_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return bytes_digest(remove_repeated_bytes(read_table(spark, sf, "documents")))
 
 
+def repeated_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth document, by its number's checksum, the words from one on repeat with a period, three
+    times or more; the others, those without words and those without a number stay as they are."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words("text")))
+    rows = rows.withColumn("n", F.size("w")).withColumn("g", F.floor(F.col("h") / 10))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.pmod(F.col("g"), F.col("n")).cast("int")))
+    rows = rows.withColumn("p", (F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1).cast("int"))
+    moved = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return runs_digest(periodic_runs(repeated_words(read_table(spark, sf, "documents"))))
+
+
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_feistel_shards": op2_feistel_shards,
@@ -104,6 +128,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_dup": op9_near_dup,
     "op10_host_quality": op10_host_quality,
     "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 SQL: dict[str, str] = {

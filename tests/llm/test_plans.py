@@ -18,7 +18,7 @@ def plan(df) -> str:
 
 
 def test_one_query_per_operator():
-    assert [re.match(r"op(\d+)_", q)[1] for q in QUERIES] == [str(i) for i in range(1, 12)]
+    assert [re.match(r"op(\d+)_", q)[1] for q in QUERIES] == [str(i) for i in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
 
