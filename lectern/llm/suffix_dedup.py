@@ -3,8 +3,10 @@
 Every suffix of every text, cut off at ``WINDOW`` bytes, is a row of the sort; suffixes that start fewer than ``WINDOW``
 bytes before their text's end have no such string.  Only which rows are equal matters, not the order of unequal ones,
 so the sort's digits may be any function of the cut-off suffix.  The most significant digit is its smallest gram of
-``GRAM`` bytes.  The next ones are that gram's offset in the suffix, ``BITS`` bits a pass, high bits first.  Neighbouring
-suffixes with the same gram so far travel as one row (a run of offsets), so a pass moves one row for about 85 bytes.
+``GRAM`` bytes.  The next ones are that gram's offset in the suffix, ``BITS`` bits a pass, high bits first, together with
+the bytes that this much of the offset leaves in common (the core: it grows around the gram until it is the whole suffix).
+Neighbouring suffixes with the same digits so far travel as one row, a run of offsets, so the first pass moves one row for
+about 85 bytes.
 
 A pass deals rows by their digits so far.  A row alone in its group is unlike all others and goes.  Rows of a group whose
 bytes are equal from the first to the last suffix of their runs are settled: all their suffixes repeat.  Where the bytes of
@@ -12,8 +14,8 @@ a group differ, one row for each different stretch of bytes goes on to the next
 after the last digit a run is one suffix, and equal groups are exactly the repeated strings.  From the second pass
 on only the stretches of text that undecided runs cover are carried along.
 
-Bytes are compared by 64-bit fingerprints beside the 64-bit gram and the offset: two strings are taken for equal
-wrongly with a chance of about 2**-128 for each pair.
+Cores and stretches are compared by 64-bit fingerprints with keys of their own: two strings are taken for equal wrongly
+with a chance of about 2**-128 for each pair.
 """
 
 from __future__ import annotations
@@ -31,14 +33,14 @@ from lectern.session import cut_lineage
 WINDOW = 200
 GRAM, GRAM_LEVEL = 32, 5
 OFFSETS = WINDOW - GRAM + 1
-# Offsets are below 2**9; three bits of them a pass.
-BITS, SHIFTS = 3, (9, 6, 3, 0)
+# Offsets are below 2**9; after the first pass, BITS more of their bits are known in each.
+BITS, SHIFTS = 3, (6, 3, 0)
 # Bytes handled at once; positions in a block fit into POSITION.
 BLOCK = 1 << 19
 POSITION = np.uint64((1 << 20) - 1)
 
 _U = np.uint64
-_ROWS = "ha long, hb long, base int, anchor long, span int, content long, pos array<int>, done boolean"
+_ROWS = "ha long, hb long, base int, core long, span int, content long, pos array<int>, done boolean"
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -73,20 +75,20 @@ def _contents(by: ByteHash, start: np.ndarray, end: np.ndarray, span: np.ndarray
     return mix(by.runs(start, end) ^ ((span + 1).astype(_U) * _U(0x9E3779B97F4A7C15)))
 
 
-def _grouped(row: np.ndarray, anchor: np.ndarray, span: np.ndarray, content: np.ndarray, pos: np.ndarray, done: np.ndarray):
+def _grouped(row: np.ndarray, core: np.ndarray, span: np.ndarray, content: np.ndarray, pos: np.ndarray, done: np.ndarray):
     """Rows of one text that are alike in all but their position become one row with a list of positions."""
-    order = np.lexsort((done, content, span, anchor, row))
-    row, anchor, span, content, pos, done = (x[order] for x in (row, anchor, span, content, pos, done))
+    order = np.lexsort((done, content, span, core, row))
+    row, core, span, content, pos, done = (x[order] for x in (row, core, span, content, pos, done))
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (span[1:] != span[:-1]) | (content[1:] != content[:-1]) | (done[1:] != done[:-1])
+    new[1:] = (row[1:] != row[:-1]) | (core[1:] != core[:-1]) | (span[1:] != span[:-1]) | (content[1:] != content[:-1]) | (done[1:] != done[:-1])
     head = np.flatnonzero(new)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([head, [len(row)]]).astype(np.int32)), pa.array(pos.astype(np.int32)))
-    return row[head], [pa.array(anchor[head].view(np.int64)), pa.array(span[head].astype(np.int32)),
+    return row[head], [pa.array(core[head].view(np.int64)), pa.array(span[head].astype(np.int32)),
                        pa.array(content[head].view(np.int64)), lists, pa.array(done[head])]
 
 
 def _suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(row, anchor, span, content, position of the anchor) of all runs of the texts data[offsets[d]:offsets[d+1]]."""
+    """(row, core, span, content, position of the smallest gram) of all runs of the texts data[offsets[d]:offsets[d+1]]."""
     windows = np.maximum(np.diff(offsets) - WINDOW + 1, 0)
     total = int(windows.sum())
     none = np.zeros(0, dtype=np.int64)
@@ -104,10 +106,10 @@ def _suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _first_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """ha, hb, text -> rows of the first pass."""
-    names = ["ha", "hb", "base", "anchor", "span", "content", "pos", "done"]
+    names = ["ha", "hb", "base", "core", "span", "content", "pos", "done"]
 
-    def rows(batch: pa.RecordBatch, row: np.ndarray, anchor, span, content, pos) -> pa.RecordBatch:
-        row, columns = _grouped(row, anchor, span, content, pos, np.zeros(len(row), dtype=bool))
+    def rows(batch: pa.RecordBatch, row: np.ndarray, core, span, content, pos) -> pa.RecordBatch:
+        row, columns = _grouped(row, core, span, content, pos, np.zeros(len(row), dtype=bool))
         own = batch.select([0, 1]).take(pa.array(row))
         return pa.RecordBatch.from_arrays([*own.columns, pa.array(np.zeros(len(row), dtype=np.int32)), *columns], names=names)
 
@@ -116,15 +118,15 @@ def _first_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in _blocks(offsets):
             a, z = int(offsets[lo]), int(offsets[hi])
             if z - a <= BLOCK:
-                row, anchor, span, content, pos = _suffixes(data[a:z], offsets[lo : hi + 1] - a)
-                yield rows(batch, row + lo, anchor, span, content, pos - (offsets[lo:hi] - a)[row])
+                row, core, span, content, pos = _suffixes(data[a:z], offsets[lo : hi + 1] - a)
+                yield rows(batch, row + lo, core, span, content, pos - (offsets[lo:hi] - a)[row])
                 continue
             for s in range(a, z, BLOCK):  # a run belongs to the part where its anchor is
                 begin = max(a, s - OFFSETS + 1)
                 end = min(z, s + BLOCK + WINDOW - 1)
-                row, anchor, span, content, pos = _suffixes(data[begin:end], np.array([0, end - begin]))
+                row, core, span, content, pos = _suffixes(data[begin:end], np.array([0, end - begin]))
                 keep = (pos >= s - begin) & (pos < s - begin + BLOCK)
-                yield rows(batch, row[keep] + lo, anchor[keep], span[keep], content[keep], pos[keep] + begin - a)
+                yield rows(batch, row[keep] + lo, core[keep], span[keep], content[keep], pos[keep] + begin - a)
 
 
 def _next_digit(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordBatch]:
@@ -149,10 +151,11 @@ def _next_digit(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.Re
             at = there - base[row] + offsets[row] - a
             new = low * 512 + high
             content = _contents(ByteHash(data[a:z], 42), at - high, at + WINDOW - low, new)
-            anchor = ByteHash(data[a:z], 41).level(GRAM_LEVEL)[at]
-            row, columns = _grouped(row, anchor, new, content, there, done[part].astype(bool)[pick])
+            least, most = digit << shift, np.minimum((digit + 1 << shift) - 1, OFFSETS - 1)
+            core = _contents(ByteHash(data[a:z], 41), at - least, at + WINDOW - most, digit)
+            row, columns = _grouped(row, core, new, content, there, done[part].astype(bool)[pick])
             own = batch.select([0, 1, 2]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*own.columns, *columns], names=["ha", "hb", "base", "anchor", "span", "content", "pos", "done"])
+            yield pa.RecordBatch.from_arrays([*own.columns, *columns], names=["ha", "hb", "base", "core", "span", "content", "pos", "done"])
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,26 +221,24 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
-def _settle(rows: DataFrame, shift: int) -> tuple[DataFrame, DataFrame]:
+def _settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One pass over written rows: (marks: ha, hb, span, pos of runs that repeat; the runs that go on to the next digit).
 
     A hot group is never gathered: groups are aggregates with map-side partial sums, joined back to written rows, so
     that a hot group's rows may be dealt to many tasks.
     """
-    group = ["anchor", "digit"]
-    rows = rows.withColumn("digit", F.shiftright(F.shiftright("span", 9), shift))
-    groups = rows.groupBy(*group).agg(
+    groups = rows.groupBy("core").agg(
         F.sum(F.size("pos")).alias("n"), F.min("content").alias("c0"), F.max("content").alias("c1"), F.bool_and("done").alias("settled"))
-    groups = cut_lineage(groups.where("n > 1 and not settled").select(*group, (F.col("c0") == F.col("c1")).alias("whole")), "groups")
-    met = cut_lineage(rows.join(groups, group), "met")
+    groups = cut_lineage(groups.where("n > 1 and not settled").select("core", (F.col("c0") == F.col("c1")).alias("whole")), "groups")
+    met = cut_lineage(rows.join(groups, "core"), "met")
     whole = met.where("whole and not done").select("ha", "hb", "span", "pos")
     rest = met.where("not whole")
     one = F.struct("ha", "hb", "base", "span", F.get("pos", F.lit(0)).alias("pos"))
-    alike = cut_lineage(rest.groupBy(*group, "content").agg(
+    alike = cut_lineage(rest.groupBy("core", "content").agg(
         F.sum(F.size("pos")).alias("n"), F.bool_or("done").alias("done"), F.min(one).alias("one")), "alike")
-    twice = rest.where("not done").join(alike.where("n > 1").select(*group, "content"), [*group, "content"])
-    undecided = cut_lineage(alike.where("n = 1 and not done").select(*group).distinct(), "undecided")
-    onward = alike.join(undecided, group).select("one.*", (F.col("done") | (F.col("n") > 1)).alias("done"))
+    twice = rest.where("not done").join(alike.where("n > 1").select("core", "content"), ["core", "content"])
+    undecided = cut_lineage(alike.where("n = 1 and not done").select("core").distinct(), "undecided")
+    onward = alike.join(undecided, "core").select("one.*", (F.col("done") | (F.col("n") > 1)).alias("done"))
     return whole.unionByName(twice.select("ha", "hb", "span", "pos")), onward
 
 
@@ -259,14 +260,14 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
     long = docs.where(F.octet_length("text") >= WINDOW).select("ha", "hb", "text")
     # the first digit: grams that one suffix run alone has are dropped before anything else is moved
     first = long.mapInArrow(_first_digit, _ROWS)
-    repeated = cut_lineage(first.groupBy("anchor").agg(F.sum(F.size("pos")).alias("n")).where("n > 1").select("anchor"), "repeated")
-    rows = cut_lineage(first.join(repeated, "anchor"), "rows")
+    repeated = cut_lineage(first.groupBy("core").agg(F.sum(F.size("pos")).alias("n")).where("n > 1").select("core"), "repeated")
+    rows = cut_lineage(first.join(repeated, "core"), "rows")
     marks = []
     texts = None
-    for shift, deeper in zip(SHIFTS, [*SHIFTS[1:], None], strict=True):
-        settled, onward = _settle(rows, shift)
+    for shift in (*SHIFTS, None):
+        settled, onward = _settle(rows)
         marks.append(cut_lineage(settled, "marks"))
-        if deeper is None:
+        if shift is None:
             break
         onward = cut_lineage(onward, "onward")
         if onward.isEmpty():
@@ -277,7 +278,7 @@ def remove_repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "tex
             now = texts
         else:
             now = texts.drop("runs").join(_by_text(onward, ["ha", "hb", "base"]), ["ha", "hb", "base"]).select("ha", "hb", "base", "bytes", "runs")
-        rows = cut_lineage(now.mapInArrow(lambda b, s=deeper: _next_digit(b, s), _ROWS), "rows")
+        rows = cut_lineage(now.mapInArrow(lambda b, s=shift: _next_digit(b, s), _ROWS), "rows")
     found = marks[0]
     for more in marks[1:]:
         found = found.unionByName(more)

@@ -68,7 +68,7 @@ def test_long_texts_in_parts(spark, monkeypatch):
     small = [r for x in suffix_dedup._first_digit(iter([batch])) for r in x.to_pylist()]
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 19)
     large = [r for x in suffix_dedup._first_digit(iter([batch])) for r in x.to_pylist()]
-    flat = lambda rs: Counter((r["ha"], r["anchor"], r["span"], r["content"], p) for r in rs for p in r["pos"])
+    flat = lambda rs: Counter((r["ha"], r["core"], r["span"], r["content"], p) for r in rs for p in r["pos"])
     assert flat(small) == flat(large)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert same_rows(brute(rows), result(docs))
