@@ -5,8 +5,10 @@ window's anchor is the leftmost smallest of the ``ANCHOR``-word fingerprints ins
 anchors.  Consecutive windows with one anchor occurrence are a path.  Where all paths of an anchor are equal, the
 path does not branch: one fingerprint stands for all its edges, and one aggregate gives the first document of
 every edge.  Only at anchors whose paths differ (passages begin, end or branch there) are the single edges
-compared.  Paths and edges meet by two independent 64-bit fingerprints, of the anchor and of the words; the source
-coordinates (document and path number) lead back to the words that go.
+compared.  Paths and edges meet by two 64-bit fingerprints, of the anchor and of all words.  Both begin from the bytes of
+the words with keys of their own, so two spans of different words agree in both with a chance of about 2**-128; the
+second one is what verifies a span against its source.  The source coordinates (document and path number) lead back to
+the words that go.
 """
 
 from __future__ import annotations
@@ -61,7 +63,7 @@ class Paths:
                 self.count = np.diff(np.concatenate([head, [len(doc)]]))
                 pos = at[head]
                 self.anchor = self.words.runs(pos, pos + anchor)
-                self.content = mix(RunHash(w.hash, 22).runs(self.start, self.start + self.count + window - 1)
+                self.content = mix(RunHash(w.check, 22).runs(self.start, self.start + self.count + window - 1)
                                    ^ ((pos - self.start).astype(_U) * _U(0x9E3779B97F4A7C15)))
         self.first = np.searchsorted(self.doc, np.arange(len(w.first)))  # the first path of each document
 
@@ -69,7 +71,7 @@ class Paths:
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, th, text -> doc_id, th, path (its number in the document), anchor, content."""
     for batch in batches:
-        for lo, hi, w in text_blocks(batch.column(2)):
+        for lo, hi, w in text_blocks(batch.column(2), check=True):
             p = Paths(w, WINDOW, ANCHOR)
             own = pa.array(p.doc)
             part = batch.slice(lo, hi - lo)
@@ -87,7 +89,7 @@ def _per_row(column: pa.Array, i: int) -> np.ndarray:
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, th, text, branching paths -> doc_id, th, window, anchor, content of every edge of these paths."""
     for batch in batches:
-        for lo, hi, w in text_blocks(batch.column(2)):
+        for lo, hi, w in text_blocks(batch.column(2), check=True):
             p = Paths(w, WINDOW, ANCHOR)
             pick = np.concatenate([np.unique(_per_row(batch.column(3), r)) + p.first[r - lo] for r in range(lo, hi)])
             if not len(pick):
@@ -101,14 +103,14 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(own), part.column(1).take(own), pa.array((start - w.first[p.doc[path]]).astype(np.int32)),
                 pa.array(p.anchor[path].view(np.int64)),
-                pa.array(RunHash(w.hash, 23).runs(start, start + WINDOW).view(np.int64)),
+                pa.array(RunHash(w.check, 23).runs(start, start + WINDOW).view(np.int64)),
             ], names=["doc_id", "th", "win", "anchor", "content"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text, paths that go, windows that go -> doc_id, n_words, n_removed, kept text."""
     for batch in batches:
-        for lo, hi, w in text_blocks(batch.column(1)):
+        for lo, hi, w in text_blocks(batch.column(1), check=True):
             p = None
             size = np.diff(w.first)
             gone, kept = np.zeros(hi - lo, dtype=np.int64), []

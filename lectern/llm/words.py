@@ -102,21 +102,25 @@ class ByteHash(RunHash):
 
 @dataclass
 class Words:
-    """Words of a batch in order; ``first[d]..first[d+1]`` are the words of document d."""
+    """Words of a batch in order; ``first[d]..first[d+1]`` are the words of document d.
+
+    ``hash`` and ``check`` are fingerprints with independent keys; ``check`` is there where it was asked for.
+    """
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray
+    check: np.ndarray | None = None
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool, check: bool = False) -> Words:
     """Words of the concatenated documents data[offsets[d]:offsets[d+1]]."""
-    starts, ends, hashes = [], [], []
+    starts, ends, hashes, checks = [], [], [], []
     lo, stop = int(offsets[0]), int(offsets[-1])
     while lo < stop:
         hi = min(lo + BLOCK, stop)
@@ -141,17 +145,20 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
         last = solid.copy()
         last[:-1] &= ~solid[1:] | edge[1:-1]
         s, e = np.flatnonzero(begins), np.flatnonzero(last) + 1
-        hashes.append(ByteHash(_LOWER[b] if lower else b, 1).runs(s, e))
+        cased = _LOWER[b] if lower else b
+        hashes.append(ByteHash(cased, 1).runs(s, e))
+        if check:
+            checks.append(ByteHash(cased, 2).runs(s, e))
         starts.append(s + lo)
         ends.append(e + lo)
         lo = hi
     cat = lambda xs, t: np.concatenate(xs) if xs else np.zeros(0, dtype=t)
     start = cat(starts, np.int64)
     first = np.searchsorted(start, offsets)
-    return Words(data, start, cat(ends, np.int64), cat(hashes, _U), first)
+    return Words(data, start, cat(ends, np.int64), cat(hashes, _U), first, cat(checks, _U) if check else None)
 
 
-def text_blocks(column: pa.Array | pa.ChunkedArray, lower: bool = False, size: int = BLOCK) -> Iterator[tuple[int, int, Words]]:
+def text_blocks(column: pa.Array | pa.ChunkedArray, lower: bool = False, size: int = BLOCK, check: bool = False) -> Iterator[tuple[int, int, Words]]:
     """(first row, end row, words) over runs of rows of about ``size`` bytes, one long text alone."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -169,7 +176,7 @@ def text_blocks(column: pa.Array | pa.ChunkedArray, lower: bool = False, size: i
     while row < len(column):
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
         end = min(end, len(column))
-        yield row, end, words_of(raw, offsets[row : end + 1], lower)
+        yield row, end, words_of(raw, offsets[row : end + 1], lower, check)
         row = end
 
 

@@ -51,3 +51,17 @@ def test_branching_and_overlapping_passages(spark):
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert same_rows(brute(rows), result(docs))
+
+
+def test_words_and_windows_that_structured_sums_confuse(spark):
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    rows = []
+    for n in (512, 1024, 2048, 4096):
+        for c in (0, 1):  # one long word and its complement before the same 49 words
+            rows.append((10 * n + c, "".join("ab"[b ^ c] for b in bits[:n]) + " " + prose(49, n)))
+        for c in (0, 1):  # the same in words
+            rows.append((10 * n + 2 + c, " ".join(f"{'ab'[b ^ c]}{n}" for b in bits[:n])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = result(docs)
+    assert same_rows(brute(rows), got)
+    assert all(r[2] == 0 for r in got if r[0] % 10 < 2)
