@@ -146,7 +146,8 @@ def _apart(rows: DataFrame, bucket: str) -> DataFrame:
     sizes = rows.groupBy(bucket, "part").agg(F.count(F.lit(1)).alias("k"))
     major = sizes.groupBy(bucket).agg(F.max(F.struct("k", "part")).alias("top"), F.count(F.lit(1)).alias("parts")).where(
         "parts > 1").select(bucket, F.col("top.part").alias("major"))
-    return cut_lineage(rows.join(major, bucket), "apart")
+    # both sides written, so that the join deals them anew and a hot bucket's rows can be split between tasks
+    return cut_lineage(rows.join(cut_lineage(major, "major"), bucket), "apart")
 
 
 def _prefix_pairs(sets: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def _prefix_pairs(sets: DataFrame) -> DataFrame:
     most = F.greatest(F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n")) + 1 - alone, F.lit(0)).cast("int")
     prefix = ranked.select("cid", "part", "n", alone.alias("alone"), F.posexplode(F.slice("r", F.lit(1), most)).alias("i", "t")).select(
         F.col("t.g").alias("g"), "cid", "part", (F.col("n") - F.col("alone") - F.col("i")).alias("left"), "n")
-    prefix = _apart(prefix, "g")
+    prefix = _apart(cut_lineage(prefix, "prefix"), "g")
     minor = prefix.where("part <> major").select("g", *[F.col(c).alias(f"x_{c}") for c in ("cid", "part", "left", "n")])
     pairs = minor.join(prefix, "g").where(
         "x_part <> part and (part = major or x_cid < cid) and 7 * least(x_left, left) >= 3 * (x_n + n) and 4 * least(x_n, n) >= 3 * greatest(x_n, n)")
@@ -191,8 +192,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = cut_lineage(sketch(docs), "sketches")
     same = ["n", "fp_a", "fp_b"]
-    classes = cut_lineage(
-        rows.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("cid"), F.first("regs").alias("regs")), "classes")
+    # a class has an id of its own: documents that repeat a number may have one in several classes
+    classes = rows.where("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("least"), F.first("regs").alias("regs"))
+    classes = cut_lineage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
     width = 2 * ROWS  # bytes of a band
     band = F.explode(F.array(*[
@@ -202,24 +204,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = cut_lineage(bands.join(shared.select("bucket", "head"), "bucket"), "members")
 
     # the whole sets of all classes that share a bucket; rows that repeat a document give its set once
-    known = classes.join(members.select("cid").distinct(), "cid").select(F.col("cid").alias("doc_id"), "fp_a", "fp_b")
-    sets = cut_lineage(docs.join(known, "doc_id").select("doc_id", "fp_a", "fp_b", "text").mapInArrow(
+    known = classes.join(members.select("cid").distinct(), "cid").select(F.col("least").alias("doc_id"), "cid", "fp_a", "fp_b")
+    sets = cut_lineage(docs.join(known, "doc_id").select("cid", "fp_a", "fp_b", "text").mapInArrow(
         _grams, "id long, grams array<long>").dropDuplicates(["id"]), "sets")
 
     stars = cut_lineage(members.where("cid <> head").select(F.col("head").alias("a"), F.col("cid").alias("b")).distinct(), "stars")
     links = cut_lineage(_confirmed(stars, classes, sets), "links")
     groups = components(links)
 
-    part = members.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "bucket", "cid", F.coalesce("component", "cid").alias("part"))
+    part = cut_lineage(members.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "bucket", "cid", F.coalesce("component", "cid").alias("part")), "parts")
     mixed = _apart(part, "bucket").select(F.col("cid").alias("id"), "part").distinct()
     rest = cut_lineage(_prefix_pairs(sets.join(mixed, "id")).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.union(cut_lineage(_confirmed(rest, classes, sets), "links"))
         groups = components(links)
 
-    label = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
-        *same, F.coalesce("component", "cid").alias("component_id"))
+    groups = groups.withColumnRenamed("node", "cid")
+    smallest = cut_lineage(classes.join(groups, "cid").groupBy("component").agg(F.min("least").alias("smallest")), "smallest")
+    groups = cut_lineage(groups.join(smallest, "component").select("cid", "smallest"), "groups")
+    label = classes.join(groups, "cid", "left").select(*same, F.coalesce("smallest", "least").alias("component_id"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     joined = rows.select("doc_id", "text_key", *same).join(label, same, "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"), own.alias("component_id"))

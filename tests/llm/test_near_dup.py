@@ -106,3 +106,11 @@ def test_documents_of_few_words():
     h, first = hashed(w, 5)
     assert list(np.diff(first)) == [1, 1, 2, 0, 0]
     assert h[1] == h[2] and h[0] != h[1]
+
+
+def test_documents_that_repeat_a_number_with_other_texts(spark):
+    a, b = prose(200, 21), prose(200, 22)
+    rows = [(5, a), (5, b), (7, b + " more"), (8, a + " more"), (9, a), (3, prose(80, 23)), (3, b + " and more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert same_rows(brute(rows), result(near_duplicates(docs)))
+    assert {r[0]: r[2] for r in result(near_duplicates(docs)) if r[0] > 6} == {7: 3, 8: 5, 9: 5}
