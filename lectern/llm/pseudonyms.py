@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.sharding import permuted
-
 ROUNDS = 8
-# What is looked for, in order of precedence.
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
+# What is looked for, in order of precedence.  Repeated groups are possessive, so that a value of any length is matched
+# without recursion.
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++"
 IP = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
@@ -24,8 +23,9 @@ PHONE = r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7})(?![0-9A-Za-z])"
 KINDS = {"email": EMAIL, "ip": IP, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD}
 ANY = "|".join(KINDS.values())
-# Dates of 1900 to 2099, as days since 1900-01-01.
+# Dates of 1900 to 2099, as days since 1900-01-01; the network permutes a grid that is a little larger, and days outside walk on.
 FIRST_DAY, DAYS = "1900-01-01", 73_049
+DAY_GRID, MAX_WALK = (271, 270), 16
 LETTERS, BASE26 = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnop"
 LONGEST_HALF = {10: 18, 26: 13}
 
@@ -48,6 +48,26 @@ def feistel(x: Column, mx: Column, y: Column, my: Column, secret: str, tweak: Co
     return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, turn)
 
 
+def _day(day: Column, secret: str) -> Column:
+    """A day below ``DAYS``, permuted: the grid's cells past the last day walk on until they are inside.
+
+    One cell in 604 lies outside; a walk past ``MAX_WALK`` of them, of a chance below 1e-44, is an error.
+    """
+    mx, my = (F.lit(n).cast("long") for n in DAY_GRID)
+
+    def turned(v: Column) -> Column:
+        pair = feistel(F.pmod(v, mx), mx, F.floor(v / mx), my, secret, F.lit("date"))
+        return F.element_at(F.transform(F.array(pair), lambda c: c["y"] * mx + c["x"]), 1)
+
+    def walk(p: Column) -> Column:
+        steps = F.when(p < DAYS, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.lit(MAX_WALK)))
+        return F.aggregate(steps, p, lambda q, _: F.when(q < DAYS, q).otherwise(turned(q)))
+
+    inside = F.element_at(F.transform(F.array(turned(day)), walk), 1)
+    checked = F.transform(F.array(inside), lambda p: F.when(p < DAYS, p).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long")))
+    return F.element_at(checked, 1)
+
+
 def _symbols(s: Column, base: int, secret: str, tweak: str) -> Column:
     """A string of digits, or of letters a-z, permuted among the strings of its length; long strings in pieces."""
     piece = 2 * LONGEST_HALF[base] - 2
@@ -123,8 +143,7 @@ def pseudonym(m: Column, kind: Column, secret: str) -> Column:
     octet = F.transform(F.split(m, r"\."), lambda o: o.cast("long"))
     pair = feistel(F.get(octet, F.lit(0)) * 256 + F.get(octet, F.lit(1)), F.lit(65536), F.get(octet, F.lit(2)) * 256 + F.get(octet, F.lit(3)), F.lit(65536), secret, F.lit("ip"))
     ip = F.element_at(F.transform(F.array(pair), lambda c: F.concat_ws(".", F.floor(c["x"] / 256), c["x"] % 256, F.floor(c["y"] / 256), c["y"] % 256)), 1)
-    seed = int.from_bytes(secret.encode()[:7].ljust(7, b"*"), "big") % 1_000_003
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), permuted(F.datediff(_iso(m), F.lit(FIRST_DAY).cast("date")).cast("long"), F.lit(DAYS).cast("long"), seed).cast("int"))
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), _day(F.datediff(_iso(m), F.lit(FIRST_DAY).cast("date")).cast("long"), secret).cast("int"))
     date = F.when(F.substring(m, 3, 1) == "/", F.date_format(day, "dd/MM/yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd"))
     # social security: 898 areas (001 to 899 without 666), groups 01 to 99, serials 0001 to 9999
     area, tail = digits.substr(1, 3).cast("long"), (digits.substr(4, 2).cast("long") - 1) * 9999 + digits.substr(6, 4).cast("long") - 1
@@ -146,7 +165,8 @@ def pseudonymise(docs: DataFrame, secret: str, key: str = "doc_id", text: str =
     """One row per input row: doc_id, n_email, n_ip, n_date, n_ssn, n_phone, n_card, n_private, text (pseudonymised).
 
     Invalid values (a card number with a wrong check digit, an octet above 255, the 30th of February) stay as they
-    are.  A null text stays null and has no values; an empty one stays empty.  Null and repeated keys are rows like
+    are.  Dates are written year-month-day, or day/month/year with slashes; month/day/year is not a date here.
+    The secret stands in the query's plan, so plans and event logs need its protection.  A null text stays null and has no values; an empty one stays empty.  Null and repeated keys are rows like
     others; other columns are ignored; an empty table gives none.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
