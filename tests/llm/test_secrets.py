@@ -121,3 +121,44 @@ def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.base_sha256 for r in secret_spans(docs).collect()}
     assert got == {r.doc_id: hashlib.sha256(brute(r.text).encode()).hexdigest() for r in docs.select("doc_id", "text").collect()}
+
+
+def test_letters_only_strings():
+    """Novelty decides about them too: against random strings of the same form in the same place.  (Sixteen digits are a base span.)"""
+    rng = random.Random(4)
+    texts = [f"the deployment reads its settings from {w} and writes the results to {v} every night\n" * 6 for w, v in (("disk", "tape"), ("mail", "files"))]
+    kinds = {"lower": "abcdefghijklmnopqrstuvwxyz", "both": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    for letters in kinds.values():
+        hits = 0
+        for k in range(100):
+            key = "".join(rng.choice(letters) for _ in range(32))
+            hits += found(f"{texts[k % 2]}private_key: {key}\n{texts[1 - k % 2]}") == [key]
+        assert hits >= 85
+    words_ = "user account manager service request handler default config value parser stream reader buffer index table column filter builder".split()
+    wrong = 0
+    for k in range(200):
+        name = "_".join(rng.choice(words_) for _ in range(4))
+        wrong += bool(found(f"{texts[k % 2]}private_key: {name}\n{texts[1 - k % 2]}"))
+    assert wrong <= 40  # names of four words of which none stands around or in the dictionary
+
+
+def test_reach_and_surroundings_are_parameters():
+    text = "bearer " + "a b " * 40 + KEY
+    assert novel_spans(text, []) == [] and novel_spans(text, [], reach_on=200) != []
+    far = KEY + " x" * 1000 + f" credential {KEY}"
+    assert len(novel_spans(far, [])) == 1 and novel_spans(far, [], around=4000) == []
+
+
+def test_novel_spans_by_whole_candidates(spark):
+    """The spans of a table against a plain reading of the rule, for texts with one sensitive word and one value each."""
+    rng = random.Random(9)
+    rows, want = [], {}
+    for i in range(120):
+        value = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(30)) if i % 2 else "repeated-words-0-of-the-text"
+        body = "these are repeated-words-0-of-the-text and more " * 5
+        text = f"{body} credential {value} {body}"
+        rows.append((i, text))
+        start = text.index(f"credential {value}") + len("credential ")
+        want[i] = f"novel:{start}:{start + len(value)}" if i % 2 else ""
+    got = {r.doc_id: r.spans for r in secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
