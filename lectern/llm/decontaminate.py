@@ -9,8 +9,8 @@ bounded below (at three quarters of the item: 0.17; at the whole item: 0.25).  `
 of its own, then find the pairs.  The smallest hash values of windows of 32 L shingles come from those of 16 L, so all
 classes cost one pass.  Every candidate pair is verified by the exact share of the item's shingles that the document has.
 
-The benchmark may be of any size: it is searched in blocks of bounded bytes, each broadcast to one pass over the
-documents.
+The benchmark may be of any size: it is searched in blocks whose tables are bounded in bytes, each broadcast to one pass
+over the documents.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm.native import text_key
-from lectern.llm.words import shingles, stream, text_blocks
+from lectern.llm.words import mix, shingles, stream, text_blocks
 from lectern.session import cut_lineage
 
 K = 5
@@ -34,8 +34,10 @@ HASHES = 128
 SMALLEST = 16
 # Items of fewer shingles are looked up by their shingles.
 FEW = 8
-# Bytes of benchmark text searched by one pass over the documents.
-BLOCK_BYTES = 8_000_000
+# Bytes of the table of benchmark items that one pass over the documents searches, in each task's memory.  An item takes
+# at most ITEM_BYTES for its keys and their bits and, of its shingles, four bytes for each byte of text.
+BLOCK_BYTES = 64_000_000
+ITEM_BYTES, TEXT_BYTES = HASHES * 12 + HASHES * 4 + 256, 4
 
 _U = np.uint64
 
@@ -44,27 +46,41 @@ _XOR, _MUL = stream(HASHES, 31), stream(HASHES, 32) | _U(1)
 
 
 class Keys:
-    """The items' smallest values for one hash function, with a bit table that tells most other values apart."""
-
-    def __init__(self, least: np.ndarray, members: np.ndarray) -> None:
-        order = np.argsort(least, kind="stable")
-        self.least, self.members = least[order], members[order]
-        self.mask = _U((1 << min(24, max(12, len(least).bit_length() + 6))) - 1)
-        self.table = np.zeros(int(self.mask) + 1, dtype=bool)
-        self.table[self._slot(least)] = True
-
-    def _slot(self, x: np.ndarray) -> np.ndarray:
-        return ((x >> _U(16)) & self.mask).view(np.int64)
-
-    def seen(self, least: np.ndarray) -> np.ndarray:
-        """Positions of values that some item has too."""
-        at = np.flatnonzero(self.table[self._slot(least)])
-        return at[np.isin(least[at], self.least)] if len(at) else at
-
-    def items(self, value: np.uint64) -> np.ndarray:
-        a, z = np.searchsorted(self.least, value, "left"), np.searchsorted(self.least, value, "right")
+    """(hash number, value) -> items, for all hash functions in one sorted array, with one bit table before it."""
+
+    def __init__(self, number: np.ndarray, value: np.ndarray, members: np.ndarray) -> None:
+        key = self._key(number.astype(_U), value)
+        order = np.argsort(key, kind="stable")
+        self.key, self.members = key[order], members[order].astype(np.int32)
+        # a sixteenth of its bits are set at most
+        self.shift = _U(64 - min(31, max(12, (16 * len(key)).bit_length())))
+        bits = np.zeros(1 << (64 - int(self.shift)), dtype=bool)
+        bits[(key >> self.shift).view(np.int64)] = True
+        self.table = np.packbits(bits, bitorder="little")
+
+    @staticmethod
+    def _key(number: np.ndarray | np.uint64, value: np.ndarray) -> np.ndarray:
+        """Both in one number; values of two hash functions are taken for one another with a chance of 2**-64 only."""
+        return mix(value + number * _U(0x9E3779B97F4A7C15))
+
+    def seen(self, number: int, value: np.ndarray) -> np.ndarray:
+        """Positions of values that some item has for this hash function too."""
+        key = self._key(_U(number), value)
+        slot = key >> self.shift
+        at = np.flatnonzero(self.table[(slot >> _U(3)).view(np.int64)] >> (slot & _U(7)).astype(np.uint8) & 1)
+        if not len(at):
+            return at
+        near = np.minimum(np.searchsorted(self.key, key[at]), len(self.key) - 1)
+        return at[self.key[near] == key[at]]
+
+    def items(self, number: int, value: np.uint64) -> np.ndarray:
+        key = self._key(_U(number), np.array([value], dtype=_U))[0]
+        a, z = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         return self.members[a:z]
 
+    def bytes(self) -> int:
+        return self.key.nbytes + self.members.nbytes + self.table.nbytes
+
 
 class Items:
     """A block of benchmark items, ready to be searched for."""
@@ -87,10 +103,22 @@ class Items:
             while size < len(g):
                 size *= 2
             self.classes.setdefault(size, []).append(i)
+        number = np.arange(HASHES)
         self.keys = {
-            size: [Keys(np.array([((self.grams[i] ^ x) * m).min() for i in members]), np.asarray(members)) for x, m in zip(_XOR, _MUL, strict=True)]
+            size: Keys(np.tile(number, len(members)), np.concatenate([self._least(self.grams[i]) for i in members]), np.repeat(np.asarray(members), HASHES))
             for size, members in self.classes.items()}
 
+    @staticmethod
+    def _least(grams: np.ndarray) -> np.ndarray:
+        """The smallest value under each hash function."""
+        parts = [grams[i : i + 4096, None] for i in range(0, len(grams), 4096)]
+        return np.minimum.reduce([((g ^ _XOR) * _MUL).min(axis=0) for g in parts])
+
+    def bytes(self) -> int:
+        """What a task holds of it."""
+        tables = [*self.keys.values(), *([self.few] if self.few else [])]
+        return sum(k.bytes() for k in tables) + sum(g.nbytes for g in self.grams)
+
     def _lookup(self, few: list[int]) -> Keys:
         """Keys of the items by so many of their rarest shingles that one is left where a quarter is missing."""
         grams, n = np.unique(np.concatenate([self.grams[i] for i in few]), return_counts=True)
@@ -100,7 +128,7 @@ class Items:
             rare = g[np.argsort(n[np.searchsorted(grams, g)], kind="stable")][: len(g) - math.ceil(CONTAINMENT * len(g)) + 1]
             keys.append(rare)
             members += [i] * len(rare)
-        return Keys(np.concatenate(keys), np.asarray(members))
+        return Keys(np.zeros(len(members), dtype=np.int64), np.concatenate(keys), np.asarray(members))
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs that agree in a MinHash value of some window, or in a rare shingle of a small item;
@@ -109,9 +137,9 @@ class Items:
         has = np.flatnonzero(n)
         found: set[tuple[int, int]] = set()
         if len(has) and self.few:
-            at = self.few.seen(h)
+            at = self.few.seen(0, h)
             for d, value in zip(np.searchsorted(first, at, side="right") - 1, h[at], strict=True):
-                found.update((int(d), int(i)) for i in self.few.items(value))
+                found.update((int(d), int(i)) for i in self.few.items(0, value))
         if not len(has) or not self.classes:
             return found
         # cells of SMALLEST shingles, the last of a document shorter
@@ -145,12 +173,12 @@ class Items:
                     continue
                 # a window is a cell and the next one of its document; it agrees with an item where a cell does
                 # and no smaller value stands in the window's other cell
-                keys = self.keys[size][j]
-                for c in keys.seen(least):
+                keys = self.keys[size]
+                for c in keys.seen(j, least):
                     d, value = doc[c], least[c]
                     others = [least[x] for x in (c - 1, c + 1) if f[d] <= x < f[d + 1]]
                     if not others or max(others) >= value:
-                        found.update((int(d), int(i)) for i in keys.items(value))
+                        found.update((int(d), int(i)) for i in keys.items(j, value))
         return found
 
 
@@ -187,28 +215,30 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     five-word shingles of a benchmark item, A-Z lower-cased.
 
     Null or empty texts and items of fewer than five words have no shingles and match nothing.  Rows that repeat a
-    doc_id and text give the pair once; a null doc_id is kept as a null.  Items are searched in blocks of at most
-    ``block_bytes`` bytes of text (one longer item is a block of its own).  Either table may be empty; other columns
+    doc_id and text give the pair once; a null doc_id is kept as a null.  Items are searched in blocks whose
+    tables take at most ``block_bytes`` bytes (an item that alone takes more is a block of its own), one block after another.  Either table may be empty; other columns
     are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     items = items.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null").distinct()
-    # blocks of hashed items, sized by the table's measured bytes: 16 times as many buckets as blocks of text
-    total = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    # blocks of hashed items, sized by what they take in a task: 16 times as many buckets as blocks
+    cost = F.octet_length("text").cast("long") * TEXT_BYTES + ITEM_BYTES
+    total = items.agg(F.sum(cost).alias("b")).first()["b"] or 0
     buckets = max(1, -(-16 * total // block_bytes))
     if buckets > 16:
         items = cut_lineage(items.withColumn("bucket", F.pmod(F.xxhash64("item_id", "text"), F.lit(buckets))).repartitionByRange("bucket"), "items")
     else:
         items = items.withColumn("bucket", F.lit(0))
-    sizes = items.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("b"))
+    sizes = items.groupBy("bucket").agg(F.sum(cost).alias("b"))
     run = F.floor(F.sum("b").over(Window.orderBy("bucket")) / F.lit(block_bytes))
     blocks = [r["blocks"] for r in sizes.withColumn("run", run).groupBy("run").agg(F.collect_list("bucket").alias("blocks")).sort("run").collect()]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "text_key", "item_id", "n_item", "n_shared")])
     out = spark.createDataFrame([], schema)
-    for block in blocks:
+    for block in blocks:  # one after another: a block's pairs are written before the next block is built
         rows = items.where(F.col("bucket").isin(block)).select("item_id", "text").collect()
         shared = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows]))
-        found = docs.mapInArrow(lambda batches, shared=shared: _search(batches, shared), schema)
+        found = cut_lineage(docs.mapInArrow(lambda batches, shared=shared: _search(batches, shared), schema), "leaks")
+        shared.destroy()
         out = out.union(found)
     return out.distinct().withColumn("containment", F.col("n_shared") / F.col("n_item"))

@@ -81,3 +81,15 @@ def test_no_item_of_one_shingle_is_missed_in_long_documents():
     found = items.candidates(*hashed(w, 5))
     assert {(d, i) for i, (d, _) in enumerate(parts)} <= found
     assert items.candidates(np.zeros(0, dtype=np.uint64), np.zeros(3, dtype=np.int64)) == set()
+
+
+def test_a_block_takes_no_more_than_its_bound():
+    import pickle
+
+    from lectern.llm.decontaminate import ITEM_BYTES, TEXT_BYTES
+
+    texts = [prose(30, i, 5000) for i in range(3000)] + [prose(6, i, 5000) for i in range(200)] + [prose(3000, i, 5000) for i in range(20)]
+    items = Items(list(range(len(texts))), texts)
+    bound = sum(ITEM_BYTES + TEXT_BYTES * len(t) for t in texts)
+    assert items.bytes() <= bound and len(pickle.dumps(items)) <= 1.1 * bound
+    assert bound < 25_000_000  # 600 kB of text
