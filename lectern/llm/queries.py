@@ -59,7 +59,7 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    return contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return contaminated(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")).drop("text_key")
 
 
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op2_feistel_shards": sql.shards(SHARDS, SEED),
+    "op4_decontaminate": sql.leaks(),
     "op6_substring_dedup": sql.substring(),
     "op8_url_templates": sql.urls(URL_RULES),
     "op9_near_dup": sql.near_dup(),

@@ -1,7 +1,7 @@
 """Sharding by a Feistel permutation with cycle walking over global row numbers.
 
-Rows are numbered 0 to n-1 in an order that their content alone decides: by a bucket of the key's hash, then by key
-and content.  The numbering needs no sort of the whole table: each bucket is numbered by itself and starts where
+Rows are numbered 0 to n-1 in an order that their content alone decides: by a bucket of the hash of key and content, then
+by key and content; so a key that many rows share is dealt to many buckets.  The numbering needs no sort of the whole table: each bucket is numbered by itself and starts where
 the buckets before it end.  A keyed Feistel network permutes the numbers: over a grid of a by b cells, with
 a * b >= n > a * b - a, each round adds a hash of one coordinate to the other; numbers that land past n walk on
 until they are inside.  Position p of the permutation is slot p div k of shard p mod k, so shard and slot of any
@@ -68,14 +68,16 @@ def permuted(row: Column, n: Column, seed: int = 0, inverse: bool = False) -> Co
     return F.element_at(checked, 1)
 
 
-def row_numbers(rows: DataFrame, key: str, content: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+def row_numbers(rows: DataFrame, key: str, content: Sequence[str], buckets: int = BUCKETS, hashed: Sequence[str] | None = None) -> DataFrame:
     """``rows`` (key and content columns only) with ``row`` from 0, gapless, and ``n`` rows in all.
 
+    ``hashed`` are the content columns that decide the bucket together with the key (default: all).
     Equal rows are counted before they are numbered, so a row repeated very often is one row of the sort.
     """
     columns = [key, *content]
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_m"))
-    spread = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
+    named = F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), *[F.col(c).cast("string") for c in (content if hashed is None else hashed)])
+    spread = F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long")
     counted = counted.withColumn("_b", F.pmod(spread, F.lit(buckets)).cast("int"))
     before = Window.partitionBy("_b").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("_at", F.coalesce(F.sum("_m").over(before), F.lit(0)))
@@ -106,7 +108,7 @@ def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "t
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(F.encode(F.col(text), "UTF-8"), F.encode(F.lit(""), "UTF-8"))).alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"))
-    rows = row_numbers(digest, "doc_id", ["size", "text_crc32", "text_hash"])
+    rows = row_numbers(digest, "doc_id", ["size", "text_crc32", "text_hash"], hashed=["size", "text_crc32"])
     placed = rows.withColumn("position", permuted(F.col("row"), F.col("n"), seed))
     return placed.select(
         "doc_id", "size", "text_crc32", "row", "n", "position",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lectern.llm import quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
+from lectern.llm import decontaminate, quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,8 +65,8 @@ b AS (SELECT *, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.REPEAT_PE
 r AS (SELECT *, base_failed OR 100 * n_symbols > {q.SYMBOL_PERCENT} * n_words OR 100 * n_dup_lines > {q.DUP_LINE_PERCENT} * n_lines AS failed FROM b),
 h AS (SELECT host, count(*) AS n, sum(CAST(failed AS INTEGER)) AS f FROM r WHERE host IS NOT NULL GROUP BY host),
 o AS (SELECT sum(f) / sum(n) AS mean, greatest(0, sum(n * (f / n) * (f / n)) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n))) AS v FROM h),
-k AS (SELECT mean, CASE WHEN v > 1e-12 THEN mean * (1 - mean) / v - 1 ELSE -1 END AS k FROM o),
-s AS (SELECT host, CASE WHEN k > 0 THEN (f + mean * k) / (n + k) ELSE mean END AS shrunk FROM h CROSS JOIN k)
+k AS (SELECT mean, CASE WHEN v > 1e-12 THEN greatest(0, mean * (1 - mean) / v - 1) END AS k FROM o),
+s AS (SELECT host, CASE WHEN k IS NULL THEN mean ELSE (f + mean * k) / (n + k) END AS shrunk FROM h CROSS JOIN k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(shrunk, 0) <= {q.HOST_RATE} AS kept, failed, host
 FROM r LEFT JOIN s USING (host)"""
@@ -91,31 +91,36 @@ def shards(count: int, seed: int) -> str:
     network = "(SELECT *, p % a AS x, p // a AS y FROM walk WHERE steps = 0 OR p >= n)"
     for t in turns:
         network = f"({t} {network})"
-    return f"""WITH RECURSIVE base AS (
-  SELECT doc_id, text, row_number() OVER (ORDER BY CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {s.BUCKETS}, doc_id) - 1 AS row_number,
-    count(*) OVER () AS n
-  FROM documents
-),
+    bucket = f"CAST('0x' || substr(md5(concat_ws('/', coalesce(CAST(doc_id AS VARCHAR), ''), size, crc)), 1, 8) AS BIGINT) % {s.BUCKETS}"
+    return f"""WITH RECURSIVE bits AS (SELECT range AS i, range AS c, 0 AS k FROM range(256) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+t AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+bytes AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS v FROM documents),
+crc AS (SELECT doc_id, len(v) + 1 AS size, xor(list_reduce(list_prepend(4294967295, v), lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])), 4294967295) AS crc FROM bytes CROSS JOIN t),
+base AS (SELECT doc_id, size, crc, row_number() OVER (ORDER BY {bucket}, doc_id) - 1 AS row_number, count(*) OVER () AS n FROM crc),
 grid AS (SELECT doc_id, row_number, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a, CAST(ceil(n / ceil(sqrt(n))) AS BIGINT) AS b FROM base),
 walk AS (
   SELECT doc_id, n, a, b, row_number AS p, 0 AS steps FROM grid
   UNION ALL SELECT doc_id, n, a, b, y * a + x AS p, steps + 1 FROM {network}
 ),
-placed AS (SELECT doc_id, p FROM walk WHERE steps > 0 AND p < n),
-bits AS (SELECT range AS i, range AS c, 0 AS k FROM range(256) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
-t AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
-bytes AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS v FROM base),
-crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295, v), lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])), 4294967295) AS c FROM bytes CROSS JOIN t)
-SELECT base.doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, crc.c AS text_crc32, 'rows' AS law, CAST(p % {count} AS INTEGER) AS shard,
+placed AS (SELECT doc_id, p FROM walk WHERE steps > 0 AND p < n)
+SELECT base.doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(p % {count} AS INTEGER) AS shard,
   p // {count} AS slot, CAST(NULL AS INTEGER) AS grown_shard, row_number
-FROM base JOIN placed USING (doc_id) JOIN crc USING (doc_id)"""
+FROM base JOIN placed USING (doc_id)"""
 
 
 def urls(rules: Sequence[tuple[str, str, str]]) -> str:
     u = url_filter
+    variable = u.VARIABLE.replace("++", "+").replace("}+", "}").replace("*+", "*")  # there are no possessive groups in this dialect
     fits = [(h + p, v, f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')") for v, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2]))]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, _, c in fits) + " END"
     fixed = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for _, v, c in fits) + " END"
+    constant = "list_transform(string_split(branch, '/'), lambda y, j: CASE WHEN y NOT IN ('*', '') THEN j ELSE 0 END)"
+    up = f"array_to_string(list_transform(string_split(branch, '/'), lambda y, j: CASE WHEN j = list_max({constant}) THEN '*' ELSE y END), '/')"
+    levels = "\n".join(f"""s{c} AS (SELECT host, branch, {up} AS parent, sum(n) AS n, sum(b) AS b FROM cur{c}
+  WHERE len(list_filter({constant}, lambda j: j > 0)) = {c} GROUP BY host, branch),
+p{c} AS (SELECT host, parent, CASE WHEN sum(n) > 0 THEN sum(b) / sum(n) ELSE 0 END AS q FROM s{c} GROUP BY host, parent),
+f{c} AS (SELECT host, branch, parent FROM s{c} JOIN p{c} USING (host, parent) WHERE abs(b - n * q) <= {u.SIGMAS} * sqrt(n * q * (1 - q)) + 0.5),
+cur{c - 1} AS (SELECT host, template, n, b, coalesce(parent, branch) AS branch FROM cur{c} LEFT JOIN f{c} USING (host, branch)),""" for c in range(u.DEEPEST, 0, -1))
     return rf"""WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ),
@@ -130,35 +135,28 @@ lab AS (
 s AS (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM p),
 seen AS (SELECT host, unnest(range(1, len(s) + 1)) AS depth, unnest(s) AS v FROM s),
 vary AS (
-  SELECT host, depth FROM seen WHERE NOT regexp_matches(v, '{u.VARIABLE}') GROUP BY host, depth
+  SELECT host, depth FROM seen WHERE NOT regexp_matches(v, '{variable}') GROUP BY host, depth
   HAVING count(DISTINCT v) > {u.MANY} AND 2 * count(DISTINCT v) > count(*)
 ),
 hv AS (SELECT host, list(depth) AS dv FROM vary GROUP BY host),
 w AS (
-  SELECT s.page_id, s.host, s.path, list_transform(s.s, lambda x, i: CASE WHEN regexp_matches(x, '{u.VARIABLE}') OR coalesce(list_contains(dv, i), false) THEN '*' ELSE x END) AS w
+  SELECT s.page_id, s.host, s.path, list_transform(s.s, lambda x, i: CASE WHEN regexp_matches(x, '{variable}') OR coalesce(list_contains(dv, i), false) THEN '*' ELSE x END) AS w
   FROM s LEFT JOIN hv USING (host)
 ),
-t AS (
-  SELECT page_id, host, path, '/' || array_to_string(w, '/') AS template,
-    '/' || array_to_string(list_transform(w, lambda x, i: CASE WHEN i = list_max(list_transform(w, lambda y, j: CASE WHEN y <> '*' THEN j ELSE 0 END)) THEN '*' ELSE x END), '/') AS parent
-  FROM w
-),
+x AS (SELECT *, coalesce(list_filter(list_transform(w, lambda y, j: CASE WHEN y <> '*' THEN j END), lambda j: j IS NOT NULL)[{u.DEEPEST + 1}], len(w) + 1) AS cut FROM w),
+t AS (SELECT page_id, host, path, '/' || array_to_string(list_transform(w, lambda y, j: CASE WHEN j >= cut THEN '*' ELSE y END), '/') AS template FROM x),
 leaf AS (
-  SELECT host, parent, template, count(bad) AS n, coalesce(sum(CAST(bad AS INTEGER)), 0) AS b FROM t LEFT JOIN lab USING (page_id) GROUP BY host, parent, template
+  SELECT host, template, count(bad) AS n, coalesce(sum(CAST(bad AS INTEGER)), 0) AS b FROM t LEFT JOIN lab USING (page_id) GROUP BY host, template
 ),
 good AS (SELECT 1 - sum(b) / sum(n) AS g FROM leaf),
-up AS (SELECT host, parent, sum(n) AS pn, sum(b) AS pb FROM leaf GROUP BY host, parent),
-j AS (
-  SELECT leaf.*, abs(b - n * q) <= {u.SIGMAS} * sqrt(n * q * (1 - q)) + 0.5 AS alike
-  FROM leaf JOIN (SELECT *, CASE WHEN pn > 0 THEN pb / pn ELSE 0 END AS q FROM up) USING (host, parent)
-),
-m AS (SELECT host, parent, sum(n) AS mn, sum(b) AS mb FROM j WHERE alike GROUP BY host, parent),
+cur{u.DEEPEST} AS (SELECT *, template AS branch FROM leaf),
+{levels}
 v AS (
-  SELECT host, template, CASE WHEN alike THEN (mn - mb + {u.PRIOR} * g) / (mn + {u.PRIOR}) ELSE (n - b + {u.PRIOR} * g) / (n + {u.PRIOR}) END AS purity
-  FROM j LEFT JOIN m USING (host, parent) CROSS JOIN good
+  SELECT host, template, branch, (sum(n) OVER w - sum(b) OVER w + {u.PRIOR} * g) / (sum(n) OVER w + {u.PRIOR}) AS purity
+  FROM cur0 CROSS JOIN good WINDOW w AS (PARTITION BY host, branch)
 )
 SELECT page_id, host, path, {rule} AS rule, coalesce({fixed}, CASE WHEN purity < {u.PURITY} THEN 'block' ELSE 'allow' END) AS verdict,
-  template, round(purity, 9) AS purity
+  template, branch, round(purity, 9) AS purity
 FROM t JOIN v USING (host, template)"""
 
 
@@ -175,3 +173,16 @@ piece AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER B
 SELECT doc_id, n AS n_bytes, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans,
   sha256(unhex(string_agg(substr(x, 2 * f + 1, 2 * (s - f)), '' ORDER BY s, e))) AS kept_sha256
 FROM piece JOIN d USING (doc_id) GROUP BY doc_id, n"""
+
+
+def leaks() -> str:
+    """Shingles as strings; a pair is a document and an item that it holds three quarters of."""
+    return rf"""WITH w AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents
+  UNION ALL SELECT 1, item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') FROM benchmark
+),
+g AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+n AS (SELECT id AS item_id, count(*) AS n_item FROM g WHERE kind = 1 GROUP BY id),
+p AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM g d JOIN g i ON d.kind = 0 AND i.kind = 1 AND d.g = i.g GROUP BY d.id, i.id)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM p JOIN n USING (item_id) WHERE n_shared >= {decontaminate.CONTAINMENT} * n_item"""

@@ -52,3 +52,18 @@ def test_computable_shard(spark):
     out = shard_rows(spark.createDataFrame(awkward(), SCHEMA), 8, seed=4)
     again = out.select(F.pmod(permuted(F.col("row"), F.col("n"), 4), F.lit(8)).cast("int").alias("s"), "shard").collect()
     assert all(r.s == r.shard for r in again)
+
+
+def test_one_key_of_many_texts_is_dealt_to_many_buckets(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    out = shard_rows(rows, 8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan
+    digest = rows.select("doc_id", (F.octet_length("text").cast("long") + 1).alias("size"), F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"))
+    named = F.concat_ws("/", F.lit(""), F.col("size").cast("string"), F.col("text_crc32").cast("string"))
+    bucket = F.pmod(F.conv(F.substring(F.md5(named), 1, 8), 16, 10).cast("long"), F.lit(8192))
+    assert digest.groupBy(bucket).count().agg(F.max("count")).first()[0] < 20
+    got = out.collect()
+    assert sorted(r.row for r in got) == list(range(20_000)) and all(sorted(r.slot for r in got if r.shard == s) == list(range(2500)) for s in range(8))

@@ -70,3 +70,66 @@ def test_whole_table(spark):
         name, verdict = rule(*split(urls[r.page_id]))
         assert (r.host, r.path) == split(urls[r.page_id]) and r.rule == name and r.verdict in ("allow", "block")
         assert verdict is None or r.verdict == verdict
+
+
+def tree(rows: list[tuple[str, str, bool | None]]) -> dict[tuple[str, str], str]:
+    """Branches of (host, template, bad), merged level by level in plain Python."""
+    branch = {(h, t): t for h, t, _ in rows}
+    constants = lambda n: sum(s not in ("", "*") for s in n.split("/"))
+
+    def counts(key) -> dict:
+        out: dict = {}
+        for h, t, bad in rows:
+            n, b = out.get((h, key(h, t)), (0, 0))
+            out[h, key(h, t)] = n + (bad is not None), b + bool(bad)
+        return out
+
+    def up(n: str) -> str:
+        s = n.split("/")
+        last = max(i for i, x in enumerate(s) if x not in ("", "*"))
+        return "/".join([*s[:last], "*", *s[last + 1 :]])
+
+    for depth in range(max(map(constants, branch.values()), default=0), 0, -1):
+        nodes = {k: v for k, v in counts(lambda h, t: branch[h, t]).items() if constants(k[1]) == depth}
+        common: dict = {}
+        for (h, n), (k, b) in nodes.items():
+            x, y = common.get((h, up(n)), (0, 0))
+            common[h, up(n)] = x + k, y + b
+        moves = {}
+        for (h, n), (k, b) in nodes.items():
+            x, y = common[h, up(n)]
+            p = y / x if x else 0.0
+            if abs(b - k * p) <= 2 * (k * p * (1 - p)) ** 0.5 + 0.5:
+                moves[h, n] = up(n)
+        branch = {(h, t): moves.get((h, n), n) for (h, t), n in branch.items()}
+    return branch
+
+
+def test_branches_merge_up_the_levels_until_they_differ(spark):
+    rows, pages, labels = [], [], []
+    for a in ("news", "blog", "spam"):
+        for b in ("x", "y", "z"):
+            for c in ("one", "two"):
+                for i in range(8):
+                    bad = a == "spam" or (b == "z" and a == "blog" and i < 4)
+                    pages.append((len(pages), f"http://h.net/{a}/{b}/{c}/{i}"))
+                    rows.append(("h.net", f"/{a}/{b}/{c}/*", bad))
+                    labels.append((len(labels), bad))
+    pages.append((len(pages), "http://h.net/spam/q"))
+    rows.append(("h.net", "/spam/q", None))
+    frame = lambda p, s: spark.createDataFrame(p, s)
+    out = filter_urls(frame(pages, "page_id long, url string"), frame(labels, "page_id long, bad boolean"), ()).collect()
+    want = tree(rows)
+    assert {(r.host, r.template): r.branch for r in out} == want
+    # all of spam is one branch, two levels above its templates
+    assert {want["h.net", f"/spam/{b}/{c}/*"] for b in "xyz" for c in ("one", "two")} == {"/spam/*/*/*"}
+    assert {r.verdict for r in out if "/spam/x" in r.path} == {"block"} and {r.verdict for r in out if r.path.startswith("/news")} == {"allow"}
+
+
+def test_segments_and_paths_of_any_length(spark):
+    long = "1.1" * 100_000
+    urls = [f"http://h.net/{long}/a", f"http://h.net/{'1_ab' * 50_000}", "http://h.net/" + "/".join(f"s{i}" for i in range(3000))]
+    none = spark.createDataFrame([], "page_id long, bad boolean")
+    out = filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), none, ()).sort("page_id").collect()
+    assert out[0].template == "/*/a" and out[1].template == "/*"
+    assert out[2].template == "/" + "/".join([f"s{i}" for i in range(8)] + ["*"] * 2992)
