@@ -52,3 +52,31 @@ def test_awkward_rows(spark):
     assert shards.count() == mixed.count()
     assert all(df.count() == 0 for df in staged(spark, empty, SF))
     assert prose(3, 1)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_equal_rows_of_two_sources(spark):
+    """Each source's rows are told apart in quality rules and mix, and the mix has what its operator chose."""
+    good = [(i, prose(80, i), "en", "a", 1) for i in range(1, 9)]
+    junk = [(100 + i, "x y z " * 30, "en", "bad", 1) for i in range(40)]
+    both = [(1, good[0][1], "en", "bad", 1), (2, good[1][1], "en", None, 1), (2, good[1][1], "de", None, 1)]
+    docs = spark.createDataFrame(good + junk + both, SCHEMA)
+    kept = [(r.doc_id, r.source) for r in corpus_pipeline.quality(spark, docs, SF).collect()]
+    assert Counter(kept) == Counter([(i, "a") for i in range(1, 9)] + [(2, None)] * 2)
+    rows = spark.createDataFrame(good + both, SCHEMA)
+    chosen = corpus_pipeline.mix_sources(rows, seed=corpus_pipeline.SEED).collect()
+    got = corpus_pipeline.mix(spark, rows, SF).collect()
+    want = Counter()
+    for r in chosen:
+        want[r.doc_id, r.source] += r.n_rows
+    assert want and Counter((r.doc_id, r.source) for r in got) == want
+
+
+def test_one_of_equal_rows_stays_by_its_other_columns(spark):
+    text = prose(90, 3)
+    rows = [(1, text, "en", "b", 5), (1, text, "de", "b", 5), (1, text, "en", "a", 7), (None, text, "en", "a", 1), (None, text, "en", "a", 1)]
+    for n in (1, 5):
+        out = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA).repartition(n), SF).collect()
+        assert same_rows([tuple(r) for r in out], [rows[1], *rows[3:]])
