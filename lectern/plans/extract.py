@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.core import SENTINEL
 from lectern.functions.text import fill_template, format_citation, head_slice
+from lectern.operators.answers import WAVE_CALLS, AnswerStore, infer_stored
 from lectern.operators.inference import CALL_PAUSE, TABLE_BACKOFF, TABLE_BACKOFF_CAP, TABLE_RETRIES, infer
 from lectern.operators.parsing import (
     merge_fields, normalize_keys, parse_response, project_fields,
@@ -61,9 +62,14 @@ def extract_records(
     cap: float = TABLE_BACKOFF_CAP,
     pause: float = CALL_PAUSE,
     partitions: int | None = None,
+    store: AnswerStore | None = None,
+    wave_calls: int = WAVE_CALLS,
 ) -> DataFrame:
     """Records with every field NULL when missing (use ``fill_sentinel`` at sinks).
 
+    With a ``store`` the answers are kept there, ``wave_calls`` at a time: a run that died is taken up where it stopped, and
+    nothing is asked twice.
+
     ``partitions`` (default: the cluster's task slots) is the number of
     concurrent model calls.  The documents are spread over at least that many
     tasks only when the scan gives fewer (a no-op on a large, well-split
@@ -72,6 +78,12 @@ def extract_records(
     """
     n = partitions or docs.sparkSession.sparkContext.defaultParallelism
     kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause)
+
+    def ask(prompts: DataFrame, ids: list[str], at_once: int | None = None) -> DataFrame:
+        if store is None:
+            return infer(prompts, "prompt", fn, ids, partitions=at_once, **kw)
+        return infer_stored(prompts, "prompt", fn, ids, store, partitions=n, wave_calls=wave_calls, **kw)
+
     docs = spread(drop_empty(docs.select(key, text), text), key, min_partitions=n)
 
     # Answers are stored once: they are expensive, not deterministic, and read
@@ -79,12 +91,12 @@ def extract_records(
     # chunk requests need no second scan and no join.  A document whose head
     # request fails gets no further request.
     heads = docs.withColumn("prompt", fill_template(BASIC_PROMPT, head_slice(text)))
-    heads = cut_lineage(parse_response(infer(heads, "prompt", fn, [key, text], **kw)).select(key, text, "obj", "error"), "heads")
+    heads = cut_lineage(parse_response(ask(heads, [key, text])).select(key, text, "obj", "error"), "heads")
     basic = heads.select(key, *project_fields("obj", BASIC_KEYS), F.col("error").alias("basic_error"))
 
     chunks = F.transform(chunk_slices(text), lambda c: fill_template(DETAIL_PROMPT, c))
     prompts = heads.where(F.col("error").isNull()).select(key, F.posexplode(chunks).alias("chunk_idx", "prompt"))
-    parsed = cut_lineage(parse_response(infer(prompts, "prompt", fn, [key, "chunk_idx"], **kw))
+    parsed = cut_lineage(parse_response(ask(prompts, [key, "chunk_idx"]))
                          .where(F.col("obj").isNotNull()).select(key, "chunk_idx", "obj"), "chunks")
     fields = normalize_keys(parsed.select(key, "chunk_idx", F.explode("obj").alias("field", "value")), FIELD_ALIASES)
     merged = merge_fields(fields, key, "chunk_idx", DETAIL_FIELDS)
@@ -92,7 +104,7 @@ def extract_records(
     record = basic.join(merged, key, "left")
     cols = ["title", "authors", "year", *DETAIL_FIELDS]
     summary_prompts = record.where(F.col("basic_error").isNull()).withColumn("prompt", fill_template(SUMMARY_PROMPT, record_json(cols)))
-    summarised = cut_lineage(infer(summary_prompts, "prompt", fn, [key, *cols], partitions=n, **kw), "summaries").select(
+    summarised = cut_lineage(ask(summary_prompts, [key, *cols], n), "summaries").select(
         key, *cols, F.col("response").alias("summary"), F.col("error").alias("error_message"))
     failed = record.where(F.col("basic_error").isNotNull()).select(
         key, *cols, F.lit(None).cast("string").alias("summary"), F.col("basic_error").alias("error_message"))
