@@ -112,6 +112,7 @@ DEFAULT_BATCH_ROWS = 50
 
 def group_records(
     df: DataFrame, cluster: str, order: str, cols: Sequence[str], batch_rows: int = DEFAULT_BATCH_ROWS,
+    batch_bytes: int | None = None,
 ) -> DataFrame:
     """Every record of every cluster, in ``order``, as consecutive batches.
 
@@ -121,23 +122,63 @@ def group_records(
     dropped: a hot cluster becomes many bounded batches instead of one huge
     list, and its positions come from :func:`group_ordinal`, which spreads
     the cluster over many tasks instead of sorting it in one.
+
+    With ``batch_bytes`` a batch's records as a JSON list take at most so many
+    bytes (:func:`byte_batches`); only a single longer record exceeds them.
     """
     from lectern.operators.references import group_ordinal
 
     if batch_rows < 1:
         raise ValueError("batch_rows must be at least 1")
     keep = df.select(cluster, order, *cols)
-    numbered = group_ordinal(keep, [cluster], order, "_pos")
-    batched = numbered.withColumn("batch", F.floor((F.col("_pos") - 1) / F.lit(batch_rows)).cast("int"))
-    lists = batched.groupBy(cluster, "batch").agg(
+    if batch_bytes is not None:
+        numbered = byte_batches(keep, cluster, order, batch_rows, batch_bytes)
+    else:
+        numbered = group_ordinal(keep, [cluster], order, "_pos").withColumn(
+            "batch", F.floor((F.col("_pos") - 1) / F.lit(batch_rows)).cast("int"))
+    lists = numbered.groupBy(cluster, "batch").agg(
         F.array_sort(F.collect_list(F.struct(order, *cols))).alias("records")
     )
     # ``numbered`` is checkpointed, so sizes come from it without a new scan.
-    sizes = numbered.groupBy(cluster).agg(F.max("_pos").alias("size"))
-    return join_small(lists, sizes, cluster, "inner").select(
+    sizes = numbered.groupBy(F.col(cluster).alias("_c")).agg(F.count(F.lit(1)).alias("size"))
+    # null-safe: NULL is a cluster of its own, as in GROUP BY
+    return join_small(lists, sizes, F.col(cluster).eqNullSafe(F.col("_c"))).select(
         cluster, "batch", "size", "records")
 
 
+def byte_batches(df: DataFrame, cluster: str, order: str, batch_rows: int, batch_bytes: int) -> DataFrame:
+    """``df`` with ``batch``: consecutive batches of each cluster, by ``order``, bounded in rows and in bytes.
+
+    A record's bytes are those of its JSON object and a separator.  Records of more than half of the bound are batches of their
+    own.  The others are cut by the sum of bytes, and by the number of records, before them: where a sum passes a multiple
+    of half the bound, a new batch begins, so less than a half is in it before its last record and less than a whole behind it.
+    Sums and positions inside a cluster come from :func:`group_running`, batch numbers from :func:`group_ordinal` on one
+    row per batch: a hot cluster is spread over tasks throughout.
+    """
+    from lectern.operators.references import group_ordinal, group_running
+    from lectern.session import cut_lineage
+
+    half = (batch_bytes - 1) // 2  # a list of n objects has n - 1 separators and two brackets
+    if half < 1:
+        raise ValueError("batch_bytes must be at least 3")
+    rows = df.withColumn("_bytes", F.octet_length(F.to_json(F.struct(*[c for c in df.columns if c != cluster]))).cast("long") + 1)
+    rows = rows.withColumn("_long", (F.col("_bytes") > half).cast("long")).withColumn("_one", F.lit(1).cast("long"))
+    rows = rows.withColumn("_short", F.when(F.col("_long") == 0, F.col("_bytes")).otherwise(F.lit(0)))
+    placed = group_running(rows, [cluster], order, {"_sum": "_short", "_longs": "_long", "_rows": "_one"})
+    alone = F.col("_long") == 1
+    cell = F.when(alone, F.lit(0)).otherwise(F.floor(F.col("_sum") / half)).cast("long")
+    run = F.when(alone, F.lit(0)).otherwise(F.floor(F.col("_rows") / batch_rows)).cast("long")
+    placed = placed.withColumns({"_cell": cell, "_run": run})
+    key = ["_longs", "_long", "_cell", "_run"]
+    batches = cut_lineage(placed.groupBy(cluster, *key).agg(F.min("_rows").alias("_first")), "batches")
+    batches = group_ordinal(batches, [cluster], "_first", "_pos").select(
+        F.col(cluster).alias("_c"), *[F.col(c).alias(f"_k{c}") for c in key], (F.col("_pos") - 1).cast("int").alias("batch"))
+    cond = F.col(cluster).eqNullSafe(F.col("_c"))
+    for c in key:
+        cond = cond & (F.col(c) == F.col(f"_k{c}"))
+    return cut_lineage(join_small(placed, batches, cond).select(*df.columns, "batch"), "batched")
+
+
 def first_appearance(df: DataFrame, cluster: str, order: str) -> DataFrame:
     """(cluster, first) with the smallest ``order`` value of each cluster."""
     return df.groupBy(cluster).agg(F.min(order).alias("first"))

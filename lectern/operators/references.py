@@ -82,6 +82,30 @@ def group_ordinal(
     return joined.withColumn(out, pos.cast("long")).drop(*drop)
 
 
+def group_running(df: DataFrame, group: Sequence[str], order: str, sums: dict[str, str], partitions: int | None = None) -> DataFrame:
+    """Add, for each ``out: column`` of ``sums``, the sum of ``column`` over the earlier rows of the row's ``group``, in ``order``.
+
+    The weighted form of :func:`group_ordinal`: rows are range-partitioned on (group, order), so a hot group is spread over many
+    tasks; a window inside one group's part of one partition gives running sums there, and the totals of the parts before
+    it (one row per part) are joined on.  Nulls count as 0.  Ties of ``order`` keep some fixed order.
+    """
+    group = list(group)
+    ranged = _ranged(df, [*group, order], partitions).withColumn("_p", F.shiftright(F.col("_mid"), 33))
+    columns = {o: F.coalesce(F.col(c), F.lit(0)).cast("long") for o, c in sums.items()}
+    part = Window.partitionBy("_p", *group).orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumns({f"_in_{o}": F.coalesce(F.sum(c).over(part), F.lit(0)) for o, c in columns.items()})
+    parts = ranged.groupBy("_p", *group).agg(*[F.sum(c).alias(f"_t_{o}") for o, c in columns.items()])
+    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("_p").alias("_rp"), *[F.col(g).alias(f"_r_{g}") for g in group],
+                         *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_b_{o}") for o in sums])
+    cond = F.col("_p") == F.col("_rp")
+    for g in group:  # NULL is a group of its own, as in GROUP BY
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_r_{g}"))
+    joined = join_small(inside, parts, cond, "inner")
+    joined = joined.withColumns({o: (F.col(f"_in_{o}") + F.col(f"_b_{o}")).cast("long") for o in sums})
+    return joined.drop("_mid", "_p", "_rp", *[f"_r_{g}" for g in group], *[f"_{x}_{o}" for o in sums for x in ("in", "b")])
+
+
 def number_references(df: DataFrame, order: str, citation: str = "citation") -> DataFrame:
     """Keep rows with a citation, number them from 1 in ``order``: ``[i] text``.
 
@@ -102,4 +126,4 @@ def references_or_message(numbered: DataFrame) -> DataFrame:
     return numbered.select("ref_no", "reference")
 
 
-__all__ = ["NO_CITATIONS", "SENTINEL", "global_ordinal", "group_ordinal", "number_references", "references_or_message"]
+__all__ = ["NO_CITATIONS", "SENTINEL", "global_ordinal", "group_ordinal", "group_running", "number_references", "references_or_message"]
