@@ -126,7 +126,7 @@ def decode_pages(
 # ---------------------------------------------------------------- records
 
 def read_records(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """CSV with header, quoted cells; fails fast on malformed input.
 
@@ -136,7 +136,8 @@ def read_records(
     the file: all must be there (else a ``ValueError`` lists those that are
     missing), and they are cast to its types and returned in its order.
     ``multi_line=False`` lets Spark split large files whose cells have no line
-    breaks.  A missing path is a ``FileNotFoundError``, a file without a header
+    breaks; ``split=True`` reads large files by ranges although they have some
+    (:mod:`lectern.sources.csv_split`).  A missing path is a ``FileNotFoundError``, a file without a header
     a ``ValueError``.
     """
     from pyspark.errors import AnalysisException
@@ -155,6 +156,10 @@ def read_records(
         raise
     if not raw.columns:
         raise ValueError(f"no header in {path}")
+    if split:
+        from lectern.sources.csv_split import read_split_csv
+
+        raw = read_split_csv(spark, path, raw.columns)
     if schema is None:
         return raw
     raw = from_display(raw)
@@ -177,11 +182,12 @@ def require_non_empty(df: DataFrame) -> None:
 
 
 def write_records(df: DataFrame, path: str, sentinel_cols: Sequence[str] | None = None) -> None:
-    """CSV directory with header; missing values written as the sentinel."""
+    """CSV directory with header; missing values written as the sentinel, white space around values kept."""
     out = df
     if sentinel_cols:
         out = out.withColumns({c: sentinel_or(c) for c in sentinel_cols})
     (to_display(out).write.mode("overwrite").option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("quote", '"').option("escape", '"').csv(path))
 
 
