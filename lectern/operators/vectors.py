@@ -149,26 +149,46 @@ def embed_tfidf(
     return unit.select(*id_cols, vector_to_array("_vec").alias(out), *extra)
 
 
-def tfidf_weights(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """Exact TF-IDF: (id, term, tf, weight), one row per document and distinct term, each document of length 1.
+def term_counts(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(id, term, tf): lower-cased runs of Unicode word characters, counted; documents without terms have no rows."""
+    terms = F.explode(F.split(F.lower(F.col(text_col)), r"(?U)\W+")).alias("term")
+    return df.select(id_col, terms).where("term <> ''").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
 
-    Terms are lower-cased runs of Unicode word characters.  With N documents and df of them holding a term, its
-    weight is tf * ln((N + 1) / (df + 1)), then divided by the document's norm (a document whose weights are all
-    zero keeps zeros).  The vocabulary is as large as the corpus makes it: nothing is hashed or capped.  Term counts
-    are aggregated before they are shuffled; documents without terms have no rows.
+def document_frequencies(tf: DataFrame) -> DataFrame:
+    """(term, df): in how many documents of ``tf`` (:func:`term_counts`) a term is."""
+    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def weigh_terms(tf: DataFrame, frequencies: DataFrame, n: int, id_col: str) -> DataFrame:
+    """(id, term, tf, weight) by the frequencies (term, df) of ``n`` documents, which need not be those of ``tf``.
+
+    The weight is tf * ln((n + 1) / (df + 1)), divided by the document's norm; a term that is not in ``frequencies`` has df 0.
+    A document whose weights are all zero keeps zeros.
     """
     from lectern.session import cut_lineage
 
-    n = df.count()
-    terms = F.explode(F.split(F.lower(F.col(text_col)), r"(?U)\W+")).alias("term")
-    tf = cut_lineage(df.select(id_col, terms).where("term <> ''").groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
-    idf = tf.groupBy("term").agg(F.log(F.lit(n + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("_idf"))
-    raw = cut_lineage(tf.join(idf, "term").withColumn("_w", F.col("tf") * F.col("_idf")), "tfidf")
+    idf = frequencies.select("term", F.log(F.lit(n + 1.0) / (F.col("df") + 1.0)).alias("_idf"))
+    weight = F.col("tf") * F.coalesce("_idf", F.log(F.lit(n + 1.0)))
+    raw = cut_lineage(tf.join(idf, "term", "left").withColumn("_w", weight).drop("_idf"), "tfidf")
     norms = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_n"))
     unit = F.when(F.col("_n") > 0, F.col("_w") / F.col("_n")).otherwise(F.lit(0.0))
     return raw.join(norms, id_col).select(id_col, "term", "tf", unit.alias("weight"))
 
 
+def tfidf_weights(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """Exact TF-IDF: (id, term, tf, weight), one row per document and distinct term, each document of length 1.
+
+    Terms and weights are those of :func:`term_counts` and :func:`weigh_terms`, by the documents' own frequencies.  The
+    vocabulary is as large as the corpus makes it: nothing is hashed or capped.  Term counts are aggregated before they
+    are shuffled; documents without terms have no rows.
+    """
+    from lectern.session import cut_lineage
+
+    tf = cut_lineage(term_counts(df, text_col, id_col), "tf")
+    return weigh_terms(tf, document_frequencies(tf), df.count(), id_col)
+
+
 def project_2d(df: DataFrame, vec: str, keep: Sequence[str]) -> DataFrame:
     """2-D coordinates via Spark ML PCA (distributed), signs fixed.
 
