@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from lectern.functions.text import cluster_key, cluster_title
 from lectern.operators.inference import REVIEW_RETRIES, TABLE_BACKOFF, infer
 from lectern.operators.profile import first_appearance
-from lectern.operators.text import record_json
 
 # Report title and the section headings.
 REPORT_TITLE = "Meta-Learning Literature Review"
@@ -53,6 +52,7 @@ def narrate_clusters(
     multiplier: float = TABLE_BACKOFF,
     pause: float = 1.0,
     partitions: int | None = None,
+    cap: float | None = None,
 ) -> DataFrame:
     """(cluster, batch, records) -> (cluster, body): one generated text per cluster.
 
@@ -74,7 +74,8 @@ def narrate_clusters(
     if fan_in < 2:
         raise ValueError("fan_in must be at least 2")
     n = partitions or grouped.sparkSession.sparkContext.defaultParallelism
-    kw = dict(retries=retries, multiplier=multiplier, cap=None, pause=pause, partitions=n)
+    kw = dict(retries=retries, multiplier=multiplier, cap=cap, pause=pause, partitions=n)
+    # fixed text
     err_text = F.concat(F.lit("Error analyzing cluster "), cluster_title(cluster), F.lit(": API error - "), F.col("error"))
 
     def call(prompts: DataFrame) -> DataFrame:
@@ -150,7 +151,3 @@ def report_lines(sections: DataFrame, references: DataFrame) -> DataFrame:
         F.concat(F.col("reference"), F.lit("\n")).alias("line"),
     )
     return head.unionByName(sec).unionByName(ref_head).unionByName(refs)
-
-
-def records_for_prompt(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumn("record", record_json(cols))

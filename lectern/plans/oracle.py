@@ -7,7 +7,7 @@ with the same output column names and types.
 from __future__ import annotations
 
 from lectern.functions.core import SENTINEL
-from lectern.operators.report import MERGE_PROMPT, NARRATIVE_PROMPT
+from lectern.operators.report import MERGE_PROMPT, NARRATIVE_PROMPT, REPORT_TITLE
 from lectern.plans.extract import BASIC_PROMPT, DETAIL_PROMPT, SUMMARY_PROMPT
 
 S = "'" + SENTINEL + "'"
@@ -294,21 +294,40 @@ def _echo(prompt: str, label: str) -> str:
       || replace(replace(split_part({prompt}, ' ', 1), '\\', ''), '"', '') || '"}} Thanks.' END"""
 
 
-def _narrative_sql(batch: int, fan_in: int, levels: int = 8) -> str:
-    """The narrative tree unrolled to ``levels`` combining levels (enough for
-    fan_in ** levels batches per cluster); levels past the deepest cluster are
-    empty.  Level 0: one answer per batch of ``batch`` records; level i + 1:
-    one answer per ``fan_in`` consecutive answers, a lone answer passed on."""
-    head, tail = NARRATIVE_PROMPT.split("{}")[0], NARRATIVE_PROMPT.split("{}")[1]
-    m_head, m_tail = MERGE_PROMPT.split("{}")[0], MERGE_PROMPT.split("{}")[1]
-    ctes = [_PAPERS, f"""q AS (SELECT label, doc_id, title, source,
-  row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM p)""",
-            f"""g0 AS (
+def _batch_ctes(src: str, rows: int, max_bytes: int) -> list[str]:
+    """Batches of ``src`` (label, ord, js) bounded in rows and bytes, by window sums: bb (label, b, ord, js)."""
+    half = (max_bytes - 1) // 2
+    return [f"b1 AS (SELECT label, ord, js, octet_length(encode(js)) + 1 AS bytes FROM {src})", f"""b2 AS (
+  SELECT *, bytes > {half} AS alone, coalesce(sum(CASE WHEN bytes > {half} THEN 0 ELSE bytes END) OVER w, 0) AS before,
+    coalesce(sum(CASE WHEN bytes > {half} THEN 1 ELSE 0 END) OVER w, 0) AS longs, count(*) OVER w AS n_before
+  FROM b1 WINDOW w AS (PARTITION BY label ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)""", f"""b3 AS (
+  SELECT *, CASE WHEN alone THEN 0 ELSE CAST(before AS BIGINT) // {half} END AS cell, CASE WHEN alone THEN 0 ELSE n_before // {rows} END AS run FROM b2
+)""", """b4 AS (
+  SELECT label, longs, alone, cell, run, row_number() OVER (PARTITION BY label ORDER BY min(n_before)) - 1 AS b
+  FROM b3 GROUP BY label, longs, alone, cell, run
+)""", "bb AS (SELECT b3.label, b4.b, b3.ord, b3.js FROM b3 JOIN b4 USING (label, longs, alone, cell, run))"]
+
+
+def _narrative_sql(batch: int, fan_in: int) -> str:
+    ctes = [_PAPERS, """q AS (SELECT label, doc_id, title, source,
+  row_number() OVER (PARTITION BY label ORDER BY doc_id) AS k FROM p)""", f"""batched AS (
   SELECT label, CAST((k - 1) // {batch} AS BIGINT) AS b,
-    {_lit(head)} || 'Cluster ' || CAST(label AS VARCHAR) || {_lit(tail)}
-    || CAST(to_json(list(struct_pack(doc_id := doc_id, title := title, source := source) ORDER BY doc_id)) AS VARCHAR) AS prompt
+    CAST(to_json(list(struct_pack(doc_id := doc_id, title := title, source := source) ORDER BY doc_id)) AS VARCHAR) AS js
   FROM q GROUP BY label, (k - 1) // {batch}
-)""", f"l0 AS (SELECT label, b, {_echo('prompt', 'label')} AS body FROM g0)"]
+)"""]
+    tree, out = _tree_ctes("batched", fan_in)
+    return "WITH " + ",\n".join(ctes + tree) + "\n" + out
+
+
+def _tree_ctes(batches: str, fan_in: int, levels: int = 8) -> tuple[list[str], str]:
+    """The narrative tree over ``batches`` (label, b, js: a list of records), unrolled to ``levels`` combining levels
+    (enough for fan_in ** levels batches per cluster); levels past the deepest cluster are empty.  Level 0: one answer per
+    batch; level i + 1: one answer per ``fan_in`` consecutive answers, a lone answer passed on."""
+    head, tail = NARRATIVE_PROMPT.split("{}")[0], NARRATIVE_PROMPT.split("{}")[1]
+    m_head, m_tail = MERGE_PROMPT.split("{}")[0], MERGE_PROMPT.split("{}")[1]
+    ctes = [f"g0 AS (SELECT label, b, {_lit(head)} || 'Cluster ' || CAST(label AS VARCHAR) || {_lit(tail)} || js AS prompt FROM {batches})",
+            f"l0 AS (SELECT label, b, {_echo('prompt', 'label')} AS body FROM g0)"]
     finals = []
     for i in range(levels):
         ctes.append(f"m{i} AS (SELECT label, max(b) AS mb FROM l{i} GROUP BY label)")
@@ -323,7 +342,7 @@ def _narrative_sql(batch: int, fan_in: int, levels: int = 8) -> str:
   SELECT label, b, CASE WHEN len(parts) = 1 THEN parts[1] ELSE {_echo(mp, 'label')} END AS body FROM g{i + 1}
 )""")
         finals.append(f"SELECT label, body FROM f{i}")
-    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(finals)
+    return ctes, "\nUNION ALL ".join(finals)
 
 
 SQL["cluster_narrative"] = _narrative_sql(20, 4)
@@ -436,7 +455,7 @@ SELECT doc_id, n_terms, CAST(n_tokens AS BIGINT) AS n_tokens, round(CASE WHEN no
 
 
 def _kmeans_sql(k: int, rounds: int) -> str:
-    """k-means from the vectors of the k smallest ids, unrolled; ties go to the smaller centre, empty centres vanish."""
+    """k-means from the vectors of the k smallest ids, unrolled; ties go to the smaller centre, empty centres stay."""
     ctes = [_EMB, f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cid, v AS cv FROM e ORDER BY vec_id LIMIT {k})"]
     for i in range(rounds + 1):
         ctes.append(f"""a{i} AS (
@@ -447,27 +466,98 @@ def _kmeans_sql(k: int, rounds: int) -> str:
         if i < rounds:
             ctes.append(f"x{i} AS (SELECT a.cid, unnest(range(0, len(e.v))) AS dim, unnest(e.v) AS x FROM a{i} a JOIN e USING (vec_id))")
             ctes.append(f"m{i} AS (SELECT cid, dim, avg(x) AS m FROM x{i} GROUP BY cid, dim)")
-            ctes.append(f"c{i + 1} AS (SELECT row_number() OVER (ORDER BY cid) - 1 AS cid, cv FROM (SELECT cid, list(m ORDER BY dim) AS cv FROM m{i} GROUP BY cid))")
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, CAST(cid AS INTEGER) AS cluster FROM a{rounds}"
+            ctes.append(f"n{i} AS (SELECT cid, list(m ORDER BY dim) AS nv FROM m{i} GROUP BY cid)")
+            ctes.append(f"c{i + 1} AS (SELECT c.cid, coalesce(n.nv, c.cv) AS cv FROM c{i} c LEFT JOIN n{i} n USING (cid))")
+    ctes.append(f"lab AS (SELECT cid, CAST(row_number() OVER (ORDER BY min(vec_id)) - 1 AS INTEGER) AS cluster FROM a{rounds} GROUP BY cid)")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, cluster FROM a{rounds} JOIN lab USING (cid)"
 
 
 SQL["kmeans_fixed_start"] = _kmeans_sql(5, 3)
 
+SQL["durable_answers"] = SQL["infer_stub"]
+
+SQL["csv_multiline"] = """SELECT doc_id, lang, n_chars, CAST(length(text) AS INTEGER) AS n, md5(text) AS text_md5 FROM documents"""
+
+_PAPER_JSON = "CAST(to_json(struct_pack(doc_id := doc_id, title := title, source := source)) AS VARCHAR)"
+
+SQL["byte_batches"] = "WITH " + ",\n".join([
+    _PAPERS, f"src AS (SELECT label, doc_id AS ord, {_PAPER_JSON} AS js FROM p)", *_batch_ctes("src", 20, 3000)]) + """
+SELECT bb.label, CAST(bb.b AS INTEGER) AS batch, z.size, count(*) AS n_records, CAST(sum(octet_length(encode(js)) + 1) + 1 AS BIGINT) AS n_bytes,
+  string_agg(CAST(ord AS VARCHAR), ',' ORDER BY ord) AS record_ids
+FROM bb JOIN z USING (label) GROUP BY bb.label, bb.b, z.size"""
+
+
+def _tfidf_ctes(docs: str, key: str) -> list[str]:
+    """Exact TF-IDF rows w (key, term, x) of ``docs`` (key, t)."""
+    return [f"""t AS (
+  SELECT {key}, unnest(list_filter(regexp_split_to_array(lower(coalesce(t, '')), '[^\\p{{L}}\\p{{M}}\\p{{N}}\\p{{Pc}}]+'), lambda x: x <> '')) AS term FROM {docs}
+)""", f"tf AS (SELECT {key}, term, count(*) AS tf FROM t GROUP BY {key}, term)", f"""raw AS (
+  SELECT {key}, term, tf * ln(((SELECT count(*) FROM {docs}) + 1.0) / (count(*) OVER (PARTITION BY term) + 1.0)) AS x FROM tf
+)""", f"nrm AS (SELECT {key}, sqrt(sum(x * x)) AS nrm FROM raw GROUP BY {key})",
+            f"w AS (SELECT {key}, term, CASE WHEN nrm > 0 THEN x / nrm ELSE 0.0 END AS x FROM raw JOIN nrm USING ({key}))"]
+
+
+def _centroid_ctes(i: int, labels: str, key: str) -> list[str]:
+    return [f"s{i} AS (SELECT cid, count(*) AS n FROM {labels} GROUP BY cid)",
+            f"c{i} AS (SELECT cid, term, sum(x) / any_value(n) AS c FROM w JOIN {labels} USING ({key}) JOIN s{i} USING (cid) GROUP BY cid, term)"]
+
+
+def _nearest_cte(i: int, docs: str, key: str) -> str:
+    """a_i (key, cid): the nearest of the centres c_i, ties to the smaller."""
+    return f"""a{i} AS (
+  SELECT {key}, arg_min(cid, (norm - 2 * dot, cid)) AS cid FROM (
+    SELECT d.{key}, k.cid, k.norm, coalesce(p.dot, 0) AS dot FROM {docs} d CROSS JOIN (SELECT cid, sum(c * c) AS norm FROM c{i} GROUP BY cid) k
+    LEFT JOIN (SELECT w.{key}, c.cid, sum(w.x * c.c) AS dot FROM w JOIN c{i} c USING (term) GROUP BY w.{key}, c.cid) p ON p.{key} = d.{key} AND p.cid = k.cid
+  ) GROUP BY {key}
+)"""
+
+
+def _sparse_kmeans_ctes(docs: str, key: str, first: str, rounds: int) -> list[str]:
+    """k-means on ``docs`` from the clusters ``first`` (key, cid), unrolled; lab (key, cluster)."""
+    ctes = [*_tfidf_ctes(docs, key), *_centroid_ctes(0, first, key), _nearest_cte(0, docs, key)]
+    for i in range(1, rounds + 1):
+        ctes += [*_centroid_ctes(i, f"a{i - 1}", key), _nearest_cte(i, docs, key)]
+    return [*ctes, f"ord AS (SELECT cid, CAST(row_number() OVER (ORDER BY min({key})) - 1 AS INTEGER) AS cluster FROM a{rounds} GROUP BY cid)",
+            f"lab AS (SELECT {key}, cluster FROM a{rounds} JOIN ord USING (cid))"]
+
+
+_LANGUAGE = "(SELECT doc_id, dense_rank() OVER (ORDER BY lang) - 1 AS cid FROM documents)"
+
+SQL["sparse_kmeans"] = "WITH " + ",\n".join(_sparse_kmeans_ctes("docs", "doc_id", "lang", 3)).join(
+    [f"docs AS (SELECT doc_id, text AS t FROM documents), lang AS {_LANGUAGE},\n", "\nSELECT doc_id, cluster FROM lab"])
+
 _RECORDS = f"records AS ({SQL['extract_records']})"
+_FEATURES = ["title", "method", "features_chosen", "selection_method", "algorithms", "datasets", "contributions", "summary"]
+_FEATURE_TEXT = "array_to_string(list_filter([" + ", ".join(_FEATURES) + f"], lambda x: x IS NOT NULL AND x <> '' AND x <> {S}), ' ')"
 
 SQL["build_table"] = f"""WITH {_RECORDS}
 SELECT extraction_status, count(*) AS n, count(nullif(title, {S})) AS n_title, count(nullif(summary, {S})) AS n_summary, count(citation) AS n_citation,
-  count(*) AS n_cluster, count(*) AS n_described FROM records GROUP BY extraction_status"""
-
-SQL["cluster_analysis"] = f"""WITH {_RECORDS}
-SELECT count(*) AS n_records, count(*) AS n_described, CAST(5 AS BIGINT) AS n_clusters FROM records"""
-
-SQL["review_report"] = f"""WITH {_RECORDS},
-r AS (SELECT d.doc_id, d.lang, records.citation FROM records JOIN documents d ON CAST(d.doc_id AS VARCHAR) = records.filename),
-refs AS (SELECT '[' || CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR) || '] ' || citation AS line FROM r WHERE citation IS NOT NULL),
-lines AS (
-  SELECT '## Introduction' AS line UNION ALL SELECT '## Conclusion' UNION ALL SELECT '## References'
-  UNION ALL SELECT DISTINCT '## Cluster ' || lang FROM r
-  UNION ALL SELECT line FROM refs
-)
+  count(*) AS n_cluster, count(*) AS n_described, CAST(0 AS BIGINT) AS n_misplaced FROM records GROUP BY extraction_status"""
+
+SQL["cluster_analysis"] = "WITH " + ",\n".join([
+    _RECORDS, f"docs AS (SELECT CAST(filename AS BIGINT) AS doc_id, year, {_FEATURE_TEXT} AS t FROM records)", f"lang AS {_LANGUAGE}",
+    *_sparse_kmeans_ctes("docs", "doc_id", "lang", 3)]) + """
+SELECT 'Cluster ' || CAST(cluster AS VARCHAR) AS cluster, count(*) AS size, count(*) AS n_described, count(DISTINCT year) AS n_years, count(year) AS n_dated
+FROM lab JOIN docs USING (doc_id) GROUP BY cluster"""
+
+SQL["stream_labels"] = "WITH " + ",\n".join([
+    _RECORDS, f"docs AS (SELECT CAST(filename AS BIGINT) AS doc_id, filename, title, extraction_status, {_FEATURE_TEXT} AS t FROM records)", f"lang AS {_LANGUAGE}",
+    *_tfidf_ctes("docs", "doc_id"), *_centroid_ctes(0, "lang", "doc_id"), _nearest_cte(0, "docs", "doc_id")]) + """
+SELECT filename, title, extraction_status, CAST(cid AS INTEGER) AS cluster, 1 AS model_version FROM docs JOIN a0 USING (doc_id)"""
+
+_REVIEW_COLS = ["title", "authors", "year", "method", "datasets", "contributions", "summary"]
+_REVIEW_JSON = "'{' || array_to_string(list_filter(['\"row_id\":' || CAST(doc_id AS VARCHAR), " + ", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN '\"{c}\":' || CAST(to_json({c}) AS VARCHAR) END" for c in _REVIEW_COLS) + "], lambda x: x IS NOT NULL), ',') || '}'"
+_review_tree, _review_bodies = _tree_ctes("joined", 4)
+
+SQL["review_report"] = "WITH " + ",\n".join([
+    _RECORDS, "r AS (SELECT d.doc_id, d.lang AS label, records.* FROM records JOIN documents d ON CAST(d.doc_id AS VARCHAR) = records.filename)",
+    f"src AS (SELECT label, doc_id AS ord, {_REVIEW_JSON} AS js FROM r)", *_batch_ctes("src", 20, 3000),
+    "joined AS (SELECT label, CAST(b AS BIGINT) AS b, '[' || string_agg(js, ',' ORDER BY ord) || ']' AS js FROM bb GROUP BY label, b)", *_review_tree,
+    f"bodies AS ({_review_bodies})",
+    "refs AS (SELECT '[' || CAST(row_number() OVER (ORDER BY doc_id) AS VARCHAR) || '] ' || citation AS line FROM r WHERE citation IS NOT NULL)",
+    f"""lines AS (
+  SELECT '# {REPORT_TITLE}' AS line UNION ALL SELECT '## Introduction' UNION ALL SELECT 'intro' UNION ALL SELECT '## Conclusion' UNION ALL SELECT 'end'
+  UNION ALL SELECT '## References' UNION ALL SELECT '## Cluster ' || label FROM bodies UNION ALL SELECT trim(body) FROM bodies UNION ALL SELECT line FROM refs
+)"""]) + """
 SELECT md5(line) AS line_md5, CAST(length(line) AS INTEGER) AS n FROM lines"""

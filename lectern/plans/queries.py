@@ -30,13 +30,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries.
 CHUNK = 15000
 SIM_THRESHOLD = 0.35
-SIM_BLOCK_ROWS = 128  # small blocks, so that the test tables make many of them
 TOP_K = 3
 REP_N = 3
 KMEANS_K = 5
 KMEANS_RESTARTS = 10
 REVIEW_BATCH = 20
 REVIEW_FAN_IN = 4
+REVIEW_BYTES = 3000
+FIXED_ROUNDS = 3
+# Model calls of the offline models need no pause.
+FREE_CALLS = {"multiplier": 0.0, "cap": 0.0, "pause": 0.0}
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -129,6 +132,17 @@ def q_csv_roundtrip(spark, sf):
     return read_records(spark, path, part.schema)
 
 
+def q_csv_multiline(spark, sf):
+    """All documents as CSV, line breaks and quotes inside the cells, read back by byte ranges."""
+    from lectern.sources.records import read_records, write_records
+
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "text", "n_chars")
+    path = scratch_path(spark, "csv_multiline")
+    write_records(d, path)
+    back = read_records(spark, path, d.schema, split=True)
+    return back.select("doc_id", "lang", "n_chars", _len("text").alias("n"), F.md5("text").alias("text_md5"))
+
+
 # ------------------------------------------------------------ parsing
 
 def _responses(spark, sf) -> DataFrame:
@@ -179,8 +193,9 @@ def q_format_citation(spark, sf):
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
         F.floor(F.col("c_acctbal") / 2000).cast("int").alias("bucket"))
     keys = ["c_nationkey", "c_mktsegment", "bucket"]
-    authors = cust.groupBy(*keys).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda s: s["c_name"]), ", ").alias("authors"))
+    # joined in two levels, by runs of consecutive keys, so that no group holds all names of a hot key
+    runs = cust.groupBy(*keys, text.position_run("c_custkey").alias("run")).agg(text.ordered_join("c_custkey", "c_name", ", ").alias("part"))
+    authors = runs.groupBy(*keys).agg(text.ordered_join("run", "part", ", ").alias("authors"))
     nation = _t(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     g = join_small(authors, nation, "c_nationkey", "inner")
     return g.select(
@@ -208,11 +223,30 @@ def q_infer_stub(spark, sf):
     return out.select("doc_id", "chunk_idx", "response", "error")
 
 
+def q_durable_answers(spark, sf):
+    """The chunk requests of ``infer_stub`` by way of an answer store, asked twice: the second time of a model that is
+    down, so every answer comes from the store and only what failed before fails again."""
+    from lectern.operators.answers import AnswerStore, infer_stored
+    from lectern.plans.extract import DETAIL_PROMPT
+
+    ch = text.chunk_text(_spread_t(spark, sf, "documents"), size=CHUNK, keep=["doc_id"])
+    d = ch.select("doc_id", F.col("chunk_idx").cast("int").alias("chunk_idx"), fill_template(DETAIL_PROMPT, "chunk").alias("prompt"))
+    store = AnswerStore(spark, scratch_path(spark, "answers"), "offline echo")
+    calls = max(1, -(-d.count() // 3))  # three waves at any size
+    infer_stored(d, "prompt", EchoModel(), ["doc_id", "chunk_idx"], store, retries=3, wave_calls=calls, **FREE_CALLS)
+    down = EchoModel(fail_every=1)
+    out = infer_stored(d, "prompt", down, ["doc_id", "chunk_idx"], store, retries=1, **FREE_CALLS)
+    return out.select("doc_id", "chunk_idx", "response", "error")
+
+
+def _papers_in(spark, sf) -> DataFrame:
+    return _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), "text")
+
+
 def q_extract_records(spark, sf):
     from lectern.plans.extract import extract_records
 
-    docs = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), "text")
-    return extract_records(docs, RecordModel(), "filename", multiplier=0.0, cap=0.0, pause=0.0)
+    return extract_records(_papers_in(spark, sf), RecordModel(), "filename", **FREE_CALLS)
 
 
 # ------------------------------------------------------------ vectors
@@ -258,12 +292,12 @@ def q_assign_nearest(spark, sf):
 
 
 def q_cosine_pairs(spark, sf):
-    p = similarity.cosine_pairs(_emb(spark, sf), "vec_id", "embedding", SIM_THRESHOLD, block_rows=SIM_BLOCK_ROWS)
+    p = similarity.cosine_pairs(_emb(spark, sf), "vec_id", "embedding", SIM_THRESHOLD)
     return p.select("i", "j", F.round("sim", 6).alias("sim"))
 
 
 def q_top_neighbors(spark, sf):
-    t = similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K, block_rows=SIM_BLOCK_ROWS)
+    t = similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K)
     return t.select(F.col("id").alias("vec_id"), "neighbor", F.col("rank").cast("int").alias("rank"),
                     F.round("sim", 6).alias("sim"))
 
@@ -293,14 +327,27 @@ def q_tfidf_weights(spark, sf):
 
 
 def q_kmeans_fixed(spark, sf):
-    """Three rounds of k-means from fixed first centres (the vectors of the smallest ids): assignment and cost."""
+    """Three rounds of k-means from fixed first centres (the vectors of the smallest ids): labels by smallest member."""
     e = _emb(spark, sf)
-    start = e.orderBy("vec_id").limit(KMEANS_K).select("embedding").collect()
-    centers = [[float(x) for x in r["embedding"]] for r in start]
-    for _ in range(3):
-        lab = vectors.assign_nearest(e, "embedding", centers)
-        _, centers = vectors.collect_centers(vectors.centroids(lab, "cluster", "embedding"), "cluster")
-    return vectors.assign_nearest(e, "embedding", centers).select("vec_id", "cluster")
+    start = e.orderBy("vec_id").limit(KMEANS_K).select(as_double_array("embedding").alias("v")).collect()
+    return kmeans(e, "embedding", "vec_id", max_iter=FIXED_ROUNDS, start=[list(r["v"]) for r in start]).labels
+
+
+def _language(spark, sf) -> DataFrame:
+    """doc_id, lang, cluster: the languages numbered from 0 in their order (one row per language to the driver)."""
+    docs = _t(spark, sf, "documents").select("doc_id", "lang")
+    names = sorted(r["lang"] for r in docs.select("lang").distinct().collect())
+    return docs.withColumn("cluster", F.array_position(F.array(*[F.lit(n) for n in names]), F.col("lang")).cast("int") - 1)
+
+
+def q_sparse_kmeans(spark, sf):
+    """Three rounds of k-means on the exact TF-IDF rows of all documents, from the mean vector of each language."""
+    from lectern.operators.sparse import sparse_centroids, sparse_kmeans
+
+    d = _spread_t(spark, sf, "documents").select("doc_id", "text")
+    weights = cut_lineage(vectors.tfidf_weights(d, "text", "doc_id"), "weights")
+    start = sparse_centroids(weights, _language(spark, sf), "doc_id")
+    return sparse_kmeans(weights, d, "doc_id", max_iter=FIXED_ROUNDS, start=start).labels
 
 
 # ------------------------------------------------------------ end to end
@@ -310,46 +357,82 @@ def _records(spark, sf) -> DataFrame:
     return cut_lineage(q_extract_records(spark, sf), "records")
 
 
+def _misplaced(records: DataFrame, centers: DataFrame) -> DataFrame:
+    """(filename, misplaced): whether some other centre is nearer to a record than its own cluster's."""
+    from lectern.operators.sparse import sparse_assign
+    from lectern.sources.records import FEATURE_FIELDS
+
+    texts = records.select("filename", F.col("cluster").alias("own"), feature_text(FEATURE_FIELDS).alias("t"))
+    near = sparse_assign(vectors.tfidf_weights(texts, "t", "filename"), texts.select("filename", "own"), centers, "filename")
+    return near.select("filename", (F.col("own") != F.col("cluster")).cast("long").alias("misplaced"))
+
+
 def q_build_table(spark, sf):
-    """Documents -> records -> clusters -> CSV, read back by name: rows and present fields by status."""
-    from lectern.plans.corpus import cluster_table
+    """Documents -> records -> clusters -> CSV, read back by name: rows and present fields by status, and how many records
+    are not in the cluster of the nearest centre."""
+    from lectern.plans.corpus import build_table
     from lectern.sources.records import from_display, read_records, validate_columns, write_records
 
-    out = cluster_table(_records(spark, sf), k=KMEANS_K, restarts=2).records
+    out = build_table(_papers_in(spark, sf), RecordModel(), calls=FREE_CALLS, clustering={"k": KMEANS_K, "restarts": KMEANS_RESTARTS})
     path = scratch_path(spark, "table")
-    write_records(out.drop("row_id"), path, sentinel_cols=["title", "summary"])
+    write_records(out.records.drop("row_id"), path, sentinel_cols=["title", "summary"])
     back = from_display(read_records(spark, path))
     validate_columns(back, ["title", "cluster", "cluster_description"])
+    back = back.join(_misplaced(out.records, out.centers), "filename")
     has = lambda c: F.count(F.when(F.col(c) != SENTINEL, 1))
     return back.groupBy("extraction_status").agg(
         F.count(F.lit(1)).alias("n"), has("title").alias("n_title"), has("summary").alias("n_summary"), F.count("citation").alias("n_citation"),
-        F.count("cluster").alias("n_cluster"), F.count(F.when(F.col("cluster_description").startswith("Cluster with "), 1)).alias("n_described"))
+        F.count("cluster").alias("n_cluster"), F.count(F.when(F.col("cluster_description").startswith("Cluster with "), 1)).alias("n_described"),
+        F.sum("misplaced").alias("n_misplaced"))
 
 
 def q_cluster_analysis(spark, sf):
-    """The written cluster analysis, read back: all records are in some cluster, and its description says how many."""
+    """Records clustered from the languages' mean vectors, their profile written as JSON and read back: one row per cluster."""
+    from lectern.operators.sparse import sparse_centroids
     from lectern.plans.corpus import cluster_table
-    from lectern.sources.records import write_analysis
+    from lectern.sources.records import FEATURE_FIELDS, write_analysis
 
+    recs = _records(spark, sf).withColumn("row_id", F.col("filename").cast("long"))
+    texts = recs.select("row_id", feature_text(FEATURE_FIELDS).alias("t"))
+    language = _language(spark, sf).select(F.col("doc_id").alias("row_id"), "cluster")
+    start = sparse_centroids(vectors.tfidf_weights(texts, "t", "row_id"), language, "row_id")
     path = scratch_path(spark, "analysis")
-    write_analysis(cluster_table(_records(spark, sf), k=KMEANS_K, restarts=2).profile, path)
+    write_analysis(cluster_table(recs, max_iter=FIXED_ROUNDS, start=start).profile, path)
     said = F.regexp_extract("description", r"^Cluster with ([0-9]+) papers", 1).cast("long")
-    return spark.read.json(path).agg(
-        F.sum("size").cast("long").alias("n_records"), F.sum(said).cast("long").alias("n_described"),
-        F.count(F.when(F.col("cluster").startswith("Cluster "), 1)).alias("n_clusters"))
+    years = "publication_years"
+    back = spark.read.schema(f"cluster string, description string, size long, {years} map<string,bigint>").json(path)
+    return back.select("cluster", "size", said.alias("n_described"), F.size(years).cast("long").alias("n_years"),
+                       F.aggregate(F.map_values(years), F.lit(0).cast("long"), lambda a, b: a + b).alias("n_dated"))
 
 
 def q_review_report(spark, sf):
-    """The review of all records (language as cluster), written as Markdown and read back: its headings and references."""
+    """The review of all records (language as cluster), written as Markdown and read back: all its lines that are not blank."""
     from lectern.plans.corpus import review
     from lectern.sources.records import write_report
 
     lang = _t(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("filename"), F.col("doc_id").alias("row_id"), "lang")
     recs = _records(spark, sf).join(lang, "filename").withColumn("cluster", F.col("lang")).withColumn("cluster_description", F.lit("by language"))
     path = scratch_path(spark, "review")
-    write_report(review(recs, EchoModel(), "intro", "end", batch_rows=REVIEW_BATCH, fan_in=REVIEW_FAN_IN, pause=0.0), path)
-    lines = spark.read.text(path)
-    return lines.where(F.col("value").rlike(r"^## |^\[[0-9]+\] ")).select(F.md5("value").alias("line_md5"), F.length("value").alias("n"))
+    lines = review(recs, EchoModel(), "intro", "end", batch_rows=REVIEW_BATCH, fan_in=REVIEW_FAN_IN, batch_bytes=REVIEW_BYTES, retries=2, **FREE_CALLS)
+    write_report(lines, path)
+    return spark.read.text(path).where("value <> ''").select(F.md5("value").alias("line_md5"), F.length("value").alias("n"))
+
+
+def q_stream_labels(spark, sf):
+    """Documents arriving in four files, each a micro-batch: extracted, and labelled by a stored model whose frequencies
+    are those of all records and whose centres are the languages' mean vectors."""
+    from lectern.sources.records import FEATURE_FIELDS
+    from lectern.streaming.labels import fit_model, incremental_labels, labelled_records, store_model
+
+    recs = _records(spark, sf)
+    texts = recs.select("filename", feature_text(FEATURE_FIELDS).alias("t"))
+    language = _language(spark, sf).select(F.col("doc_id").cast("string").alias("filename"), "cluster")
+    models, source, sink = (scratch_path(spark, x) for x in ("models", "arriving", "labelled"))
+    store_model(fit_model(texts, language, "filename", "t", version=1), models)
+    arriving = _papers_in(spark, sf)
+    arriving.repartition(4, "filename").write.parquet(source)
+    incremental_labels(spark, source, arriving.schema, sink, scratch_path(spark, "label-log"), models, RecordModel(), calls=FREE_CALLS, max_files_per_trigger=1)
+    return labelled_records(spark, sink).select("filename", "title", "extraction_status", "cluster", "model_version")
 
 
 # ------------------------------------------------------------ profile
@@ -407,6 +490,16 @@ def q_group_records(spark, sf):
         F.array_join(F.transform("records", lambda r: r["doc_id"].cast("string")), ",").alias("record_ids"))
 
 
+def q_byte_batches(spark, sf):
+    """Records of every label in batches bounded in rows and in bytes of JSON."""
+    p = _papers(spark, sf)
+    g = profile.group_records(p, "label", "doc_id", ["title", "source"], batch_rows=REVIEW_BATCH, batch_bytes=REVIEW_BYTES)
+    return g.select(
+        "label", "batch", "size", F.size("records").cast("long").alias("n_records"),
+        F.octet_length(F.to_json("records")).cast("long").alias("n_bytes"),
+        F.array_join(F.transform("records", lambda r: r["doc_id"].cast("string")), ",").alias("record_ids"))
+
+
 def q_number_references(spark, sf):
     d = _t(spark, sf, "documents").withColumn(
         "citation", F.when(F.col("lang") != "en", F.concat(F.lit("Document "), F.col("doc_id").cast("string"), F.lit(" ("), F.col("source"), F.lit(")"))))
@@ -467,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "cluster_slice": q_cluster_slice,
     "scan_documents": q_scan_documents,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_multiline": q_csv_multiline,
     "json_envelope": q_json_envelope,
     "json_parse": q_json_parse,
     "extraction_status": q_extraction_status,
@@ -475,6 +569,7 @@ QUERIES: dict[str, Query] = {
     "format_citation": q_format_citation,
     "lead_summary": q_lead_summary,
     "infer_stub": q_infer_stub,
+    "durable_answers": q_durable_answers,
     "extract_records": q_extract_records,
     "masked_mean_pool": q_masked_mean_pool,
     "centroids": q_centroids,
@@ -489,6 +584,7 @@ QUERIES: dict[str, Query] = {
     "embed_tfidf": q_embed_tfidf,
     "tfidf_weights": q_tfidf_weights,
     "kmeans_fixed_start": q_kmeans_fixed,
+    "sparse_kmeans": q_sparse_kmeans,
     "build_table": q_build_table,
     "cluster_analysis": q_cluster_analysis,
     "review_report": q_review_report,
@@ -497,12 +593,14 @@ QUERIES: dict[str, Query] = {
     "cluster_description": q_cluster_description,
     "attach_description": q_attach_description,
     "group_records": q_group_records,
+    "byte_batches": q_byte_batches,
     "number_references": q_number_references,
     "report_sections": q_report_sections,
     "cluster_narrative": q_cluster_narrative,
     "cluster_profile_json": q_cluster_profile_json,
     "cluster_profile": q_cluster_profile,
     "incremental_ingest": q_incremental_ingest,
+    "stream_labels": q_stream_labels,
 }
 
 __all__ = ["QUERIES", "SENTINEL", "strip_ws"]
