@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from lectern.functions.vectors import as_double_array, cosine, dot, l2_normalize, norm, sq_dist, vectors_literal
 from lectern.operators.joins import join_small
+from lectern.session import cut_lineage
 
 
 def masked_mean_pool(
@@ -128,18 +129,17 @@ def embed_tfidf(
 ) -> DataFrame:
     """Offline embedding: tokens -> hashed term counts -> IDF -> unit L2 rows.
 
-    All stages are Spark ML (JVM).  Term counts are computed once and kept
-    (sparse vectors, MEMORY_AND_DISK) for the IDF pass and the weighting pass,
-    so the text is tokenised only once.  ``terms_out`` optionally adds each
+    All stages are Spark ML (JVM).  Term counts are computed once and written
+    (sparse vectors) for the IDF pass and the weighting pass, so the text is
+    tokenised only once.  ``terms_out`` optionally adds each
     row's number of tokens (the sum of its term counts).
     """
-    from pyspark import StorageLevel
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 
     src = df.select(*id_cols, F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", toLowercase=True)
     tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)
-    counts = tf.transform(tok.transform(src)).select(*id_cols, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = cut_lineage(tf.transform(tok.transform(src)).select(*id_cols, "_tf"), "counts")
     idf = IDF(inputCol="_tf", outputCol="_idf", minDocFreq=min_doc_freq).fit(counts)
     unit = Normalizer(inputCol="_idf", outputCol="_vec", p=2.0).transform(idf.transform(counts))
     extra = []
@@ -166,8 +166,6 @@ def weigh_terms(tf: DataFrame, frequencies: DataFrame, n: int, id_col: str) -> D
     The weight is tf * ln((n + 1) / (df + 1)), divided by the document's norm; a term that is not in ``frequencies`` has df 0.
     A document whose weights are all zero keeps zeros.
     """
-    from lectern.session import cut_lineage
-
     idf = frequencies.select("term", F.log(F.lit(n + 1.0) / (F.col("df") + 1.0)).alias("_idf"))
     weight = F.col("tf") * F.coalesce("_idf", F.log(F.lit(n + 1.0)))
     raw = cut_lineage(tf.join(idf, "term", "left").withColumn("_w", weight).drop("_idf"), "tfidf")
@@ -183,8 +181,6 @@ def tfidf_weights(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     vocabulary is as large as the corpus makes it: nothing is hashed or capped.  Term counts are aggregated before they
     are shuffled; documents without terms have no rows.
     """
-    from lectern.session import cut_lineage
-
     tf = cut_lineage(term_counts(df, text_col, id_col), "tf")
     return weigh_terms(tf, document_frequencies(tf), df.count(), id_col)
 

@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries.
 CHUNK = 15000
 SIM_THRESHOLD = 0.35
+PAIR_THRESHOLD = 0.7
 TOP_K = 3
 REP_N = 3
 KMEANS_K = 5
@@ -302,6 +303,23 @@ def q_top_neighbors(spark, sf):
                     F.round("sim", 6).alias("sim"))
 
 
+def q_indexed_neighbors(spark, sf):
+    """The neighbours of ``top_neighbors`` by way of an index of cells: a few cells first, then all that could hold a nearer one."""
+    from lectern.operators.neighbors import build_index, search
+
+    e = _emb(spark, sf)
+    t = search(e, "vec_id", "embedding", build_index(e, "vec_id", "embedding"), TOP_K, exact=True)
+    return t.select(F.col("id").alias("vec_id"), "neighbor", F.col("rank").cast("int").alias("rank"), F.round("sim", 6).alias("sim"))
+
+
+def q_sparse_pairs(spark, sf):
+    """All pairs of documents whose exact TF-IDF rows have a cosine of at least ``PAIR_THRESHOLD``."""
+    from lectern.operators.neighbors import sparse_pairs
+
+    w = vectors.tfidf_weights(_spread_t(spark, sf, "documents"), "text", "doc_id")
+    return sparse_pairs(w, "doc_id", PAIR_THRESHOLD).select("i", "j", F.round("sim", 6).alias("sim"))
+
+
 def q_kmeans_clusters(spark, sf):
     res = kmeans(_emb(spark, sf), "embedding", "vec_id", k=KMEANS_K, restarts=KMEANS_RESTARTS)
     return res.labels
@@ -579,6 +597,8 @@ QUERIES: dict[str, Query] = {
     "assign_nearest": q_assign_nearest,
     "cosine_pairs": q_cosine_pairs,
     "top_neighbors": q_top_neighbors,
+    "indexed_neighbors": q_indexed_neighbors,
+    "sparse_pairs": q_sparse_pairs,
     "kmeans_clusters": q_kmeans_clusters,
     "project_2d": q_project_2d,
     "embed_tfidf": q_embed_tfidf,
