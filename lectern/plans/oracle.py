@@ -474,6 +474,14 @@ def _kmeans_sql(k: int, rounds: int) -> str:
 
 SQL["kmeans_fixed_start"] = _kmeans_sql(5, 3)
 
+SQL["stream_profile"] = f"""WITH top AS ({SQL['top_values']}), years AS ({SQL['year_histogram']})
+SELECT o_orderstatus AS cluster, 'o_orderpriority' AS field, value, cnt FROM top
+UNION ALL SELECT o_orderstatus, 'year', CAST(year AS VARCHAR), cnt FROM years
+UNION ALL SELECT o_orderstatus, 'size', '', count(*) FROM orders GROUP BY o_orderstatus"""
+
+SQL["decode_pages"] = """SELECT count(*) AS n_pages, CAST(sum(length(coalesce(html, ''))) AS BIGINT) AS n_chars, count(DISTINCT coalesce(html, '')) AS n_distinct,
+  CAST(max(length(coalesce(html, ''))) AS INTEGER) AS longest FROM pages"""
+
 SQL["durable_answers"] = SQL["infer_stub"]
 
 SQL["csv_multiline"] = """SELECT doc_id, lang, n_chars, CAST(length(text) AS INTEGER) AS n, md5(text) AS text_md5 FROM documents"""

@@ -123,6 +123,23 @@ def q_scan_documents(spark, sf):
     return files.select("filename", F.col("length").cast("long").alias("n_bytes"))
 
 
+def q_decode_pages(spark, sf):
+    """The ``pages`` table's files scanned as documents and decoded, a page per row, by an injected decoder."""
+    from lectern.sources.records import decode_pages, scan_documents
+
+    def rows_as_pages(content: bytes) -> list[str]:
+        import io
+
+        import pyarrow.parquet as pq
+
+        return [t or "" for t in pq.read_table(io.BytesIO(content), columns=["html"])["html"].to_pylist()]
+
+    files = scan_documents(spark, f"{sf}/pages.parquet", "*.parquet")
+    pages = decode_pages(files, rows_as_pages)
+    return pages.agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("text")).cast("long").alias("n_chars"),
+                     F.countDistinct("text").alias("n_distinct"), F.max(F.length("text")).cast("int").alias("longest"))
+
+
 def q_csv_roundtrip(spark, sf):
     """Written with its columns in reverse order, read back by name."""
     from lectern.sources.records import read_records, write_records
@@ -567,6 +584,22 @@ def q_incremental_ingest(spark, sf):
     return incremental_assemble(spark, sf).select("conv_id", _len("text").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 
+def q_stream_profile(spark, sf):
+    """Orders arriving in five files, each a micro-batch, counted into a stored profile: the values that ``top_values`` and
+    ``year_histogram`` find in the whole table."""
+    from lectern.streaming.profiles import ProfileStore, incremental_profile
+
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").cast("int").alias("year"))
+    source = scratch_path(spark, "orders")
+    o.repartition(5, "o_orderkey").write.parquet(source)
+    store = ProfileStore(spark, scratch_path(spark, "profile"), ["o_orderpriority", "year"], merge_after=2)
+    incremental_profile(spark, source, o.schema, store, scratch_path(spark, "profile-log"), "o_orderstatus", max_files_per_trigger=1)
+    top = store.top_values(3).where("field = 'o_orderpriority'").select("cluster", "field", "value", "cnt")
+    years = store.histogram("year").select("cluster", F.lit("year").alias("field"), "value", "cnt")
+    sizes = store.sizes().select("cluster", F.lit("size").alias("field"), F.lit("").alias("value"), F.col("size").alias("cnt"))
+    return top.unionByName(years).unionByName(sizes)
+
+
 QUERIES: dict[str, Query] = {
     "chunk_stats": q_chunk_stats,
     "drop_empty": q_drop_empty,
@@ -577,6 +610,7 @@ QUERIES: dict[str, Query] = {
     "fill_sentinel": q_fill_sentinel,
     "cluster_slice": q_cluster_slice,
     "scan_documents": q_scan_documents,
+    "decode_pages": q_decode_pages,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_multiline": q_csv_multiline,
     "json_envelope": q_json_envelope,
@@ -621,6 +655,7 @@ QUERIES: dict[str, Query] = {
     "cluster_profile": q_cluster_profile,
     "incremental_ingest": q_incremental_ingest,
     "stream_labels": q_stream_labels,
+    "stream_profile": q_stream_profile,
 }
 
 __all__ = ["QUERIES", "SENTINEL", "strip_ws"]

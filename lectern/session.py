@@ -8,13 +8,17 @@ that is an error.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+# Scratch paths given out, by application.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -35,7 +39,32 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one written table."""
     base = scratch_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches; one that is not there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables that are written inside, at the end.
+
+    For the owner of whole queries: what they return must have been stored or collected before the scope ends, since a
+    table returned by an operator reads its scratch tables when it is used.
+    """
+    written = _WRITTEN.setdefault(spark.sparkContext.applicationId, [])
+    before = len(written)
+    try:
+        yield
+    finally:
+        for path in written[before:]:
+            delete_path(spark, path)
+        del written[before:]
 
 
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:

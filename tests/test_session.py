@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from lectern.operators.joins import join_small
@@ -127,3 +129,43 @@ def test_failed_documents_stop_there(spark):
     assert (a.title, a.limitations, a.summary, a.citation, a.extraction_status, a.error_message) == (None, None, None, None, "error", "RuntimeError: down")
     assert (b.title, b.limitations, b.summary, b.citation, b.extraction_status) == ("T", "bad summary", None, None, "error")
     assert (c.summary, c.extraction_status, c.error_message) == ("S", "success", None) and c.citation.startswith('A, B, "T", ')
+
+
+def test_scratch_tables_of_a_scope_are_deleted_with_it(spark):
+    from lectern.session import scratch_scope
+
+    outside = cut_lineage(spark.range(3), "outside")
+    with scratch_scope(spark):
+        inside = cut_lineage(spark.range(4), "inside")
+        kept = inside.count()
+        files = inside.inputFiles()
+    assert kept == 4 and files and not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in files)
+    assert outside.count() == 3
+
+
+def test_pages_of_many_batches_are_merged(spark, tmp_dir):
+    from lectern.streaming.ingest import incremental_documents, latest_documents, merge_pages, page_generation
+
+    source, sink, log = (os.path.join(tmp_dir, x) for x in ("in", "sink", "log"))
+    schema = spark.createDataFrame([], "d long, p long, t string").schema
+    want = {}
+    for b in range(9):
+        rows = [(d, b * 10 + k, f"{d}.{b}.{k} ") for d in (b % 3, 7) for k in range(2)]
+        for d, _, t in rows:
+            want[d] = want.get(d, "") + t
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        if b % 2 == 0 or b == 8:
+            incremental_documents(spark, source, schema, sink, log, "d", "p", "t", buckets=4, max_files_per_trigger=1, merge_after=3)
+            got = {r["d"]: r["text"] for r in latest_documents(spark, sink, "d").collect()}
+            assert got == {d: t.strip() for d, t in want.items()}
+    assert page_generation(spark, sink) >= 3
+    folders = os.listdir(os.path.join(sink, "pages"))
+    assert len([f for f in folders if f.startswith("batch_id=")]) <= 4
+    assert len([f for f in os.listdir(sink) if f.startswith("pages-upto-")]) == 1
+    # merged once more by hand, the same again
+    merge_pages(spark, sink, 9)
+    merge_pages(spark, sink, 9)
+    assert page_generation(spark, sink) == 8
+    spark.createDataFrame([(7, 1000, "end")], schema).coalesce(1).write.mode("append").parquet(source)
+    incremental_documents(spark, source, schema, sink, log, "d", "p", "t", buckets=4, merge_after=3)
+    assert {r["d"]: r["text"] for r in latest_documents(spark, sink, "d").collect()}[7] == want[7] + "end"
