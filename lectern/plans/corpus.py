@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import feature_text
 from lectern.operators import profile, vectors
-from lectern.operators.clustering import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_RESTARTS, DEFAULT_SEED, kmeans
+from lectern.operators.clustering import DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_RESTARTS, DEFAULT_SEED, TOLERANCE, kmeans
 from lectern.operators.sparse import sparse_kmeans, sparse_representatives
 from lectern.operators.inference import CALL_PAUSE, REVIEW_RETRIES, TABLE_BACKOFF
 from lectern.operators.references import global_ordinal, number_references, references_or_message
@@ -65,6 +65,7 @@ def cluster_table(
     on_error: str = "raise",
     max_iter: int = DEFAULT_MAX_ITER,
     start: DataFrame | list[list[float]] | None = None,
+    tolerance: float = TOLERANCE,
 ) -> Clustered:
     """Feature text -> vectors -> k-means -> descriptions -> profile.
 
@@ -82,11 +83,11 @@ def cluster_table(
         feats = recs.select(id_col, feature_text(FEATURE_FIELDS).alias("feature_text"))
         if embedder is None:
             weights = cut_lineage(vectors.tfidf_weights(feats, "feature_text", id_col), "weights")
-            res = sparse_kmeans(weights, feats, id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start)
+            res = sparse_kmeans(weights, feats, id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start, tolerance=tolerance)
             reps = sparse_representatives(weights, res.labels, id_col, "cluster", 3)
         else:
             vecs = cut_lineage(embedder(feats, "feature_text", [id_col]), "vectors")
-            res = kmeans(vecs, "embedding", id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start)
+            res = kmeans(vecs, "embedding", id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start, tolerance=tolerance)
             reps = vectors.representatives(vecs.join(res.labels, id_col), "cluster", "embedding", id_col, 3)
         reps = reps.join(recs.select(id_col, "title"), id_col)
         base = recs.join(res.labels, id_col)

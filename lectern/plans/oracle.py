@@ -533,7 +533,7 @@ SQL["indexed_neighbors"] = SQL["top_neighbors"]
 
 SQL["sparse_pairs"] = "WITH " + ",\n".join(["docs AS (SELECT doc_id, text AS t FROM documents)", *_tfidf_ctes("docs", "doc_id")]) + """
 SELECT a.doc_id AS i, b.doc_id AS j, round(sum(a.x * b.x), 6) AS sim FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id
-GROUP BY a.doc_id, b.doc_id HAVING sum(a.x * b.x) >= 0.7"""
+GROUP BY a.doc_id, b.doc_id HAVING sum(a.x * b.x) >= 0.9"""
 
 _LANGUAGE = "(SELECT doc_id, dense_rank() OVER (ORDER BY lang) - 1 AS cid FROM documents)"
 

@@ -30,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries.
 CHUNK = 15000
 SIM_THRESHOLD = 0.35
-PAIR_THRESHOLD = 0.7
+PAIR_THRESHOLD = 0.9
 TOP_K = 3
 REP_N = 3
 KMEANS_K = 5
@@ -365,7 +365,7 @@ def q_kmeans_fixed(spark, sf):
     """Three rounds of k-means from fixed first centres (the vectors of the smallest ids): labels by smallest member."""
     e = _emb(spark, sf)
     start = e.orderBy("vec_id").limit(KMEANS_K).select(as_double_array("embedding").alias("v")).collect()
-    return kmeans(e, "embedding", "vec_id", max_iter=FIXED_ROUNDS, start=[list(r["v"]) for r in start]).labels
+    return kmeans(e, "embedding", "vec_id", max_iter=FIXED_ROUNDS, tolerance=0.0, start=[list(r["v"]) for r in start]).labels
 
 
 def _language(spark, sf) -> DataFrame:
@@ -382,7 +382,7 @@ def q_sparse_kmeans(spark, sf):
     d = _spread_t(spark, sf, "documents").select("doc_id", "text")
     weights = cut_lineage(vectors.tfidf_weights(d, "text", "doc_id"), "weights")
     start = sparse_centroids(weights, _language(spark, sf), "doc_id")
-    return sparse_kmeans(weights, d, "doc_id", max_iter=FIXED_ROUNDS, start=start).labels
+    return sparse_kmeans(weights, d, "doc_id", max_iter=FIXED_ROUNDS, tolerance=0.0, start=start).labels
 
 
 # ------------------------------------------------------------ end to end
@@ -432,7 +432,7 @@ def q_cluster_analysis(spark, sf):
     language = _language(spark, sf).select(F.col("doc_id").alias("row_id"), "cluster")
     start = sparse_centroids(vectors.tfidf_weights(texts, "t", "row_id"), language, "row_id")
     path = scratch_path(spark, "analysis")
-    write_analysis(cluster_table(recs, max_iter=FIXED_ROUNDS, start=start).profile, path)
+    write_analysis(cluster_table(recs, max_iter=FIXED_ROUNDS, tolerance=0.0, start=start).profile, path)
     said = F.regexp_extract("description", r"^Cluster with ([0-9]+) papers", 1).cast("long")
     years = "publication_years"
     back = spark.read.schema(f"cluster string, description string, size long, {years} map<string,bigint>").json(path)
