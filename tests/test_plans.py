@@ -103,9 +103,9 @@ def test_scans_prune_columns(spark):
 
 
 # Queries whose work is a user function (model, similarity kernel) and may run Python stages.
-PYTHON_STAGES = {"infer_stub", "extract_records", "cosine_pairs", "top_neighbors", "cluster_narrative"}
-# Queries with a single-partition step: ordering k + 2 report sections, totals over one row per cluster.
-SINGLE_PARTITION = {"report_sections", "cluster_analysis"}
+PYTHON_STAGES = {"infer_stub", "extract_records", "durable_answers", "decode_pages", "cosine_pairs", "top_neighbors", "indexed_neighbors", "cluster_narrative"}
+# Queries with a single-partition step: ordering k + 2 report sections, totals of partial sums.
+SINGLE_PARTITION = {"report_sections", "cluster_analysis", "decode_pages"}
 
 
 def test_every_registered_plan(spark):
