@@ -531,6 +531,10 @@ def _sparse_kmeans_ctes(docs: str, key: str, first: str, rounds: int) -> list[st
 
 SQL["indexed_neighbors"] = SQL["top_neighbors"]
 
+SQL["neighbor_layout"] = f"""WITH near AS ({SQL['top_neighbors']}),
+edges AS (SELECT vec_id AS i, neighbor AS j FROM near UNION SELECT neighbor, vec_id FROM near)
+SELECT i AS vec_id, count(*) AS degree, true AS settled FROM edges GROUP BY i"""
+
 SQL["sparse_pairs"] = "WITH " + ",\n".join(["docs AS (SELECT doc_id, text AS t FROM documents)", *_tfidf_ctes("docs", "doc_id")]) + """
 SELECT a.doc_id AS i, b.doc_id AS j, round(sum(a.x * b.x), 6) AS sim FROM w a JOIN w b ON a.term = b.term AND a.doc_id < b.doc_id
 GROUP BY a.doc_id, b.doc_id HAVING sum(a.x * b.x) >= 0.9"""

@@ -347,6 +347,23 @@ def q_project_2d(spark, sf):
     return vectors.project_2d(e, "embedding", ["vec_id", "label"])
 
 
+def q_neighbor_layout(spark, sf):
+    """The layout of the graph of nearest neighbours: each vector's degree, and whether its coordinates are, within the layout's
+    bound, the mean of its neighbours' ones times the eigenvalue's inverse."""
+    from lectern.operators.layout import TOLERANCE, neighbor_graph, spectral_layout
+
+    edges = neighbor_graph(similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K))
+    edges = cut_lineage(edges, "edges")
+    out = spectral_layout(edges)
+    p = out.points
+    total = p.agg(F.sum("degree")).first()[0] or 0
+    means = edges.join(p.select(F.col("id").alias("j"), "x", "y"), "j").groupBy(F.col("i").alias("id")).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
+    off = lambda c, v: F.abs(F.col("m" + c) - F.lit(v) * F.col(c)) * F.sqrt(F.col("degree").cast("double"))
+    bound = F.lit(TOLERANCE * total**0.5 + 1e-9)
+    settled = (off("x", out.values[0]) <= bound) & (off("y", out.values[1]) <= bound)
+    return p.join(means, "id").select(F.col("id").alias("vec_id"), "degree", settled.alias("settled"))
+
+
 def q_embed_tfidf(spark, sf):
     d = _spread_t(spark, sf, "documents")
     v = vectors.embed_tfidf(d, "text", ["doc_id"], terms_out="n_terms")
@@ -635,6 +652,7 @@ QUERIES: dict[str, Query] = {
     "sparse_pairs": q_sparse_pairs,
     "kmeans_clusters": q_kmeans_clusters,
     "project_2d": q_project_2d,
+    "neighbor_layout": q_neighbor_layout,
     "embed_tfidf": q_embed_tfidf,
     "tfidf_weights": q_tfidf_weights,
     "kmeans_fixed_start": q_kmeans_fixed,
