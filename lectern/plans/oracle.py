@@ -531,7 +531,7 @@ def _sparse_kmeans_ctes(docs: str, key: str, first: str, rounds: int) -> list[st
 
 SQL["indexed_neighbors"] = SQL["top_neighbors"]
 
-SQL["neighbor_layout"] = f"""WITH near AS ({SQL['top_neighbors']}),
+SQL["neighbor_layout"] = f"""WITH near AS ({SQL['top_neighbors'].replace('rk <= 3', 'rk <= 10')}),
 edges AS (SELECT vec_id AS i, neighbor AS j FROM near UNION SELECT neighbor, vec_id FROM near)
 SELECT i AS vec_id, count(*) AS degree, true AS settled FROM edges GROUP BY i"""
 

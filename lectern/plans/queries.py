@@ -32,6 +32,7 @@ CHUNK = 15000
 SIM_THRESHOLD = 0.35
 PAIR_THRESHOLD = 0.9
 TOP_K = 3
+LAYOUT_K = 10
 REP_N = 3
 KMEANS_K = 5
 KMEANS_RESTARTS = 10
@@ -352,7 +353,7 @@ def q_neighbor_layout(spark, sf):
     bound, the mean of its neighbours' ones times the eigenvalue's inverse."""
     from lectern.operators.layout import TOLERANCE, neighbor_graph, spectral_layout
 
-    edges = neighbor_graph(similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", TOP_K))
+    edges = neighbor_graph(similarity.top_neighbors(_emb(spark, sf), "vec_id", "embedding", LAYOUT_K))
     edges = cut_lineage(edges, "edges")
     out = spectral_layout(edges)
     p = out.points
