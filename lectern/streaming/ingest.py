@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lectern.operators.text import assemble_pages
-from lectern.session import delete_path, scratch_path
+from lectern.session import delete_path, is_folder, scratch_path
 
 
 def incremental_ingest(
@@ -168,12 +168,14 @@ def latest_documents(spark: SparkSession, sink: str, key: str) -> DataFrame:
 
 
 def incremental_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations streamed from the table's file and assembled per
+    """Conversations streamed from the table's file or folder of files and assembled per
     conversation (turn = page), kept current across micro-batches, then the
     newest version of each read back from the sink."""
-    conv_schema = spark.read.parquet(os.path.join(sf_dir, "conversations.parquet")).schema
+    table = os.path.join(sf_dir, "conversations.parquet")
+    conv_schema = spark.read.parquet(table).schema
     sink = scratch_path(spark, "ingest-sink")
     ckpt = scratch_path(spark, "ingest-ckpt")
-    incremental_documents(spark, sf_dir, conv_schema, sink, ckpt, "conv_id", "turn", "text",
-                          glob="conversations.parquet")
+    # a stream reads a folder: the table's own, or the one that its single file is in
+    source, glob = (table, None) if is_folder(spark, table) else (sf_dir, "conversations.parquet")
+    incremental_documents(spark, source, conv_schema, sink, ckpt, "conv_id", "turn", "text", glob=glob)
     return latest_documents(spark, sink, "conv_id")
