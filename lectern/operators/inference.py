@@ -1,8 +1,9 @@
 """Batched model inference over a prompt column (the library's UDF surface).
 
 The model is an injected, picklable callable ``fn(prompt: str) -> str``.
-It runs inside ``mapInPandas``: Arrow batches in, one response row out per
-prompt, with retry, exponential back-off and a pause after each call.  The
+It runs inside ``mapInArrow``: Arrow batches in, one response row out per
+prompt, with retry, exponential back-off and a pause after each call.  Id columns
+pass as they are and a few prompts at a time are Python strings.  The
 number of partitions sets the total concurrency (``repartition(n)``), so a
 global rate limit is ``n / min_interval`` calls per second.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,6 +29,8 @@ TABLE_BACKOFF = 5.0
 TABLE_BACKOFF_CAP = 40.0
 REVIEW_RETRIES = 3
 CALL_PAUSE = 1.0
+# Rows of an Arrow batch that are answered before their answers leave the task.
+SLICE_ROWS = 256
 
 
 def backoff_wait(attempt: int, multiplier: float, cap: float | None) -> float:
@@ -97,20 +100,19 @@ def infer(
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            res = [
-                call_with_retry(fn, p, retries, multiplier, cap, pause)
-                if p is not None else (None, "no prompt", 0)
-                for p in pdf[prompt_col].tolist()
-            ]
-            out = pdf[ids].copy()
-            out["response"] = [r[0] for r in res]
-            out["error"] = [r[1] for r in res]
-            out["attempts"] = pd.Series([r[2] for r in res], dtype="int32")
-            yield out
-
-    return src.mapInPandas(run, out_schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(lo, SLICE_ROWS)
+                res = [
+                    call_with_retry(fn, p.as_py(), retries, multiplier, cap, pause)
+                    if p.is_valid else (None, "no prompt", 0)
+                    for p in batch.column(len(ids))
+                ]
+                answers = [pa.array([r[i] for r in res], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(ids)], *answers], names=out_schema.names)
+
+    return src.mapInArrow(run, out_schema)
 
 
 class EchoModel:
