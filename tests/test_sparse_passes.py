@@ -1,0 +1,48 @@
+"""Passes over sparse rows: a vector's rows lie together, weights are found without a table in between."""
+
+from pyspark.sql import functions as F
+
+import lectern.operators.sparse as sparse
+import lectern.operators.vectors as vectors
+
+ROWS = [(i, f"t{(i * 7 + j) % 13}", 1.0 + (i * j) % 5) for i in range(80) for j in range(6)]
+
+
+def test_a_vectors_rows_are_written_together(spark, monkeypatch):
+    files = []
+
+    def noted(df, name="cut", write=sparse.cut_lineage):
+        out = write(df, name)
+        if name == "weights":
+            files.append(out.select("id", F.input_file_name().alias("f")).groupBy("id").agg(F.countDistinct("f").alias("n")).agg(F.max("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(sparse, "cut_lineage", noted)
+    weights = spark.createDataFrame(ROWS, "id long, term string, weight double").repartition(8, "term")
+    found = sparse.sparse_kmeans(weights, spark.range(80), "id", k=3, restarts=2, max_iter=4)
+    assert files == [1]
+    assert found.labels.count() == 80
+
+
+def test_plain_sums_and_ml_vectors_give_the_same_products(spark, monkeypatch):
+    weights = spark.createDataFrame(ROWS, "id long, term string, weight double")
+    wide = spark.createDataFrame([(f"t{i}", [float(i), 2.0, -i / 3]) for i in range(9)], "term string, c array<double>")
+    got = {}
+    for limit in (64, 0):
+        monkeypatch.setattr(sparse, "PLAIN_SUMS", limit)
+        got[limit] = {r["id"]: [round(x, 9) for x in r["dots"]] for r in sparse._dots(weights, spark.range(90), wide, "id", 3).collect()}
+    assert got[64] == got[0] and len(got[0]) == 90
+
+
+def test_weights_need_no_table_in_between(spark, monkeypatch):
+    def none(*_):
+        raise AssertionError("written")
+
+    tf = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 1), (None, "a", 1)], "id long, term string, tf long")
+    df = spark.createDataFrame([("a", 3), ("b", 1)], "term string, df long")
+    monkeypatch.setattr(vectors, "cut_lineage", none)
+    got = {(r["id"], r["term"]): r["weight"] for r in vectors.weigh_terms(tf, df, 5, "id").collect()}
+    a, b = 2 * __import__("math").log(6 / 4), __import__("math").log(6 / 2)
+    n = (a * a + b * b) ** 0.5
+    assert got.keys() == {(1, "a"), (1, "b"), (2, "a")}
+    assert abs(got[1, "a"] - a / n) < 1e-12 and abs(got[1, "b"] - b / n) < 1e-12 and abs(got[2, "a"] - 1) < 1e-12
