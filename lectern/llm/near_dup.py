@@ -31,6 +31,8 @@ THRESHOLD = 0.75
 # 40 bands of 4 registers: a pair at 0.75 shares no band with a chance below 3e-7.
 BANDS, ROWS = 40, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_534
+# Words of 64 bits that hold the parities of a set's shared shingles.
+PARITY = 4
 # A candidate goes when its registers are e**-25 times as likely at the best similarity below the threshold as at any above.
 SURE = 25.0
 
@@ -151,20 +153,32 @@ def _apart(rows: DataFrame, bucket: str) -> DataFrame:
 
 
 def _prefix_pairs(sets: DataFrame) -> DataFrame:
-    """(a, b): pairs of different parts that the order of their shingles lets reach the threshold; sets: id, part, grams."""
+    """(a, b): pairs of different parts that their shingles' order and parities let reach the threshold; sets: id, part, grams.
+
+    Each set has bits that tell whether an odd number of its shared shingles falls there: where the bits of two sets differ,
+    at least one shingle is in one of them only, and those of one set alone are never shared.  At the threshold a seventh of
+    both sizes may differ, so that of a large group's many pairs those a little below it are dropped inside the join.
+    """
     sized = sets.select(F.col("id").alias("cid"), "part", F.size("grams").cast("long").alias("n"), "grams")
     tokens = sized.select("cid", "part", "n", F.explode("grams").alias("g"))
     often = cut_lineage(tokens.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "often")
-    ranked = tokens.join(often, "g").groupBy("cid", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("r"))
+    seat = F.xxhash64("g")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(seat, 8), F.lit(64)).cast("int"))
+    parity = [f"p{w}" for w in range(PARITY)]
+    ranked = tokens.join(often, "g").groupBy("cid", "part", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "g"))).alias("r"),
+        *[F.bit_xor(F.when(F.pmod(seat, F.lit(PARITY)) == w, bit).otherwise(F.lit(0).cast("long"))).alias(c) for w, c in enumerate(parity)])
     # shingles of one set only come first and meet nothing; of the others, those of the first quarter can be shared
     alone = F.col("n") - F.size("r")
     most = F.greatest(F.col("n") - F.ceil(F.lit(THRESHOLD) * F.col("n")) + 1 - alone, F.lit(0)).cast("int")
-    prefix = ranked.select("cid", "part", "n", alone.alias("alone"), F.posexplode(F.slice("r", F.lit(1), most)).alias("i", "t")).select(
-        F.col("t.g").alias("g"), "cid", "part", (F.col("n") - F.col("alone") - F.col("i")).alias("left"), "n")
+    prefix = ranked.select("cid", "part", "n", alone.alias("alone"), *parity, F.posexplode(F.slice("r", F.lit(1), most)).alias("i", "t")).select(
+        F.col("t.g").alias("g"), "cid", "part", (F.col("n") - F.col("alone") - F.col("i")).alias("left"), "n", "alone", *parity)
     prefix = _apart(cut_lineage(prefix, "prefix"), "g")
-    minor = prefix.where("part <> major").select("g", *[F.col(c).alias(f"x_{c}") for c in ("cid", "part", "left", "n")])
+    minor = prefix.where("part <> major").select("g", *[F.col(c).alias(f"x_{c}") for c in ("cid", "part", "left", "n", "alone", *parity)])
+    differ = "x_alone + alone + " + " + ".join(f"bit_count(x_{c} ^ {c})" for c in parity)
     pairs = minor.join(prefix, "g").where(
-        "x_part <> part and (part = major or x_cid < cid) and 7 * least(x_left, left) >= 3 * (x_n + n) and 4 * least(x_n, n) >= 3 * greatest(x_n, n)")
+        "x_part <> part and (part = major or x_cid < cid) and 7 * least(x_left, left) >= 3 * (x_n + n) and 4 * least(x_n, n) >= 3 * greatest(x_n, n)"
+        f" and 7 * ({differ}) <= x_n + n")
     return pairs.select(F.least("x_cid", "cid").alias("a"), F.greatest("x_cid", "cid").alias("b")).distinct()
 
 

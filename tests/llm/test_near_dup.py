@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from lectern.llm.graph import components
-from lectern.llm.near_dup import near_duplicates, registers, similarity
+from lectern.llm.near_dup import _prefix_pairs, near_duplicates, registers, similarity
 from lectern.llm.words import mix, shingles as hashed, text_blocks
 
 from .helpers import LONG, SF, awkward, frames, prose, same_rows, shingles, words
@@ -114,3 +114,21 @@ def test_documents_that_repeat_a_number_with_other_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert same_rows(brute(rows), result(near_duplicates(docs)))
     assert {r[0]: r[2] for r in result(near_duplicates(docs)) if r[0] > 6} == {7: 3, 8: 5, 9: 5}
+
+
+def test_prefix_pairs_of_a_large_group_a_little_below_the_threshold(spark):
+    """Copies with two words of 100 replaced each: 10 shingles differ on either side of a pair, and shared ones come early."""
+    base = prose(104, 77).split()
+    rows = []
+    for k in range(150):
+        w = list(base)
+        w[5 + k % 45], w[55 + (k * 7) % 45] = f"one{k}", f"two{k}"
+        rows.append((k, " ".join(w)))
+    rows += [(k, f"{t} and more") for k, t in zip((150, 151), (rows[0][1], rows[1][1]))]
+    sets = {k: shingles(t) for k, t in rows}
+    number = {g: i for i, g in enumerate(sorted(set().union(*sets.values())))}
+    df = spark.createDataFrame([(k, k, [number[g] for g in s]) for k, s in sets.items()], "id long, part long, grams array<long>")
+    true = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    found = {tuple(r) for r in _prefix_pairs(df).collect()}
+    assert {(0, 150), (1, 151)} <= true <= found
+    assert len(found) <= 2 * len(true) + 300  # of 11,476 pairs
