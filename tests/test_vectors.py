@@ -266,3 +266,28 @@ def test_similarity_of_string_ids(spark):
         assert a and a == {(r.i, r.j) for r in cosine_pairs(named, "name", "embedding", 0.3, block_rows=rows).collect()}
         b = {(f"file-{r.id:06d}", f"file-{r.neighbor:06d}", r["rank"]) for r in top_neighbors(e, "vec_id", "embedding", 2, block_rows=rows).collect()}
         assert b == {(r.id, r.neighbor, r["rank"]) for r in top_neighbors(named, "name", "embedding", 2, block_rows=rows).collect()}
+
+
+def test_blocks_and_what_is_shuffled_grow_with_the_input():
+    assert [similarity.block_count(n, 2048) for n in (0, 1, 2048, 2049, 65_536)] == [1, 1, 1, 2, 32]
+    for n in (100_000, 600_000, 2_000_000):  # copies of a row
+        assert similarity.block_count(n, 2048) == similarity.MOST_BLOCKS
+    assert similarity.block_count(10_000_000, 2048) == -(-10_000_000 // similarity.MOST_ROWS)  # a task's blocks stay bounded
+
+
+def test_topk_rows_of_strips_takes_equal_ones_by_id(monkeypatch):
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    v = rng.integers(-1, 2, size=(90, 3)).astype(float)  # many equal products
+    a = pd.DataFrame({"id": rng.permutation(90), "v": list(v)})
+    b = a.iloc[10:].reset_index(drop=True)
+    want = []
+    for i, x in zip(a["id"], a["v"], strict=True):
+        near = sorted((-float(x @ y), j) for j, y in zip(b["id"], b["v"], strict=True) if i != j)
+        want.append([(i, j, -s) for s, j in near])
+    monkeypatch.setattr(similarity, "STRIP", 7)
+    for k in (1, 4, 32, 50, 200):
+        got = similarity.topk_rows(a, b, k)
+        assert [tuple(r) for r in got.itertuples(index=False)] == [r for near in want for r in near[:k]]
+    assert similarity.topk_rows(a, b.iloc[:0], 3) is None
