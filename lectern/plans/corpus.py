@@ -89,11 +89,15 @@ def cluster_table(
             vecs = cut_lineage(embedder(feats, "feature_text", [id_col]), "vectors")
             res = kmeans(vecs, "embedding", id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start, tolerance=tolerance)
             reps = vectors.representatives(vecs.join(res.labels, id_col), "cluster", "embedding", id_col, 3)
-        reps = reps.join(recs.select(id_col, "title"), id_col)
-        base = recs.join(res.labels, id_col)
-        desc = profile.describe_clusters(base, "cluster", "method", reps)
-        # written here, so that a failure of any stage is met here
-        out = cut_lineage(profile.attach_description(base, desc, "cluster"), "clustered")
+        # Written here, so that a failure of any stage is met here.  A description names every method of its cluster, so it grows
+        # with the cluster: it is stored once, not once for every record, and looked up where records are read.  The lookup
+        # is run over all records here as well.
+        reps = cut_lineage(reps.join(recs.select(id_col, "title"), id_col), "representatives")
+        base = cut_lineage(recs.join(res.labels, id_col), "clustered")
+        desc = cut_lineage(profile.describe_clusters(base, "cluster", "method", reps), "descriptions")
+        out = profile.attach_description(base, desc, "cluster")
+        if out.agg(F.count_if(F.col("cluster_description").isNull())).first()[0]:
+            raise ValueError("records without a description")
         prof = cut_lineage(profile.cluster_profile(base, "cluster", desc, reps, "method", "datasets", "year"), "profile")
         return Clustered(out, prof, res.k, res.centers)
     except Exception as exc:

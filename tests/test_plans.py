@@ -59,6 +59,32 @@ def test_cluster_table_and_review(spark, tmp_dir):
     assert text.index("Intro text") < text.index("## Cluster") < text.index("Closing text") < text.index("## References")
 
 
+def test_descriptions_are_stored_once_for_a_cluster(spark, monkeypatch):
+    from lectern.plans import corpus
+
+    written = {}
+    cut = corpus.cut_lineage
+    monkeypatch.setattr(corpus, "cut_lineage", lambda df, name="cut": written.setdefault(name, cut(df, name)))
+    rows = [(i, f"title{i} {'red' if i % 3 else 'blue'}", f"method{i}" + "x" * 200) for i in range(300)]
+    recs = spark.createDataFrame(rows, "row_id long, title string, method string")
+    for c in REQUIRED_FIELDS:
+        if c not in recs.columns:
+            recs = recs.withColumn(c, F.lit(None).cast("string"))
+    out = cluster_table(recs, k=2, restarts=1)
+    # a description has every method of its cluster: with each record it would grow with the square of the records
+    assert not {"description", "cluster_description"} & set(written["clustered"].columns)
+    assert written["clustered"].count() == len(rows)
+    assert written["descriptions"].count() == out.profile.count() == 2
+    # the records have their clusters' descriptions all the same
+    said = {r["cluster"]: (r["size"], r["description"]) for r in out.profile.collect()}
+    got = out.records.collect()
+    assert sorted(r["row_id"] for r in got) == list(range(300))
+    assert all(r["cluster_description"] == said[r["cluster"]][1] for r in got)
+    for c, (size, text) in said.items():
+        mine = sorted(r["method"] for r in got if r["cluster"] == c)
+        assert len(mine) == size and text.startswith(f"Cluster with {size} papers focusing on {', '.join(mine)}. Key papers: ")
+
+
 def test_cluster_table_fallback_label(spark):
     recs = _records(spark)
     for c in REQUIRED_FIELDS:
