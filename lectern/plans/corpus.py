@@ -82,8 +82,8 @@ def cluster_table(
     try:
         feats = recs.select(id_col, feature_text(FEATURE_FIELDS).alias("feature_text"))
         if embedder is None:
-            weights = cut_lineage(vectors.tfidf_weights(feats, "feature_text", id_col), "weights")
-            res = sparse_kmeans(weights, feats, id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start, tolerance=tolerance)
+            weights = vectors.tfidf_table(feats, "feature_text", id_col)
+            res = sparse_kmeans(weights, feats, id_col, k=k, seed=seed, restarts=restarts, max_iter=max_iter, start=start, tolerance=tolerance, together=True)
             reps = sparse_representatives(weights, res.labels, id_col, "cluster", 3)
         else:
             vecs = cut_lineage(embedder(feats, "feature_text", [id_col]), "vectors")

@@ -58,3 +58,17 @@ def test_units_hold_parts_of_a_leaders_vectors(spark, monkeypatch):
     want = {(i, j): sum(w * vecs[j].get(t, 0.0) for t, w in vecs[i].items()) / (square[i] * square[j]) ** 0.5 for i in range(90) for j in range(i + 1, 90)}
     want = {p: s for p, s in want.items() if s >= 0.95}
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_sparse_kmeans_keeps_the_tables_of_one_iteration(spark):
+    from lectern.operators.sparse import sparse_kmeans
+    from lectern.operators.vectors import tfidf_table
+
+    texts = spark.createDataFrame([(i, f"a{i % 3} b{i % 3} c{i % 5} d{i}") for i in range(60)], "id long, t string")
+    before = os.listdir(scratch_dir(spark).removeprefix("file:"))
+    weights = tfidf_table(texts, "t", "id")
+    for start, restarts in ((None, 3), (weights.join(spark.createDataFrame([(0, 0), (1, 1)], "id long, cluster int"), "id").select("cluster", "term", "weight"), 1)):
+        found = sparse_kmeans(weights, texts, "id", k=3, restarts=restarts, max_iter=5, start=start, together=True)
+        assert found.labels.count() == 60 and found.centers.count() > 0
+    left = [f.rsplit("-", 1)[0] for f in os.listdir(scratch_dir(spark).removeprefix("file:")) if f not in before]
+    assert sorted(left) == ["final", "final", "found", "found", "weights"]
