@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.similarity import top_neighbors
-from lectern.session import cut_lineage
+from lectern.session import cut_lineage, discard
 
 # Vectors multiplied in one pass, most vectors of the space, and how many of its best ones the next space is begun with.
 WIDTH, SPACE, KEPT = 8, 73, 16
@@ -113,7 +113,7 @@ def spectral_layout(edges: DataFrame, seed: int = 42, tolerance: float = TOLERAN
     rows = degrees.select("i", root.alias("root"), F.array(root / F.lit(total**0.5)).alias("q"), drawn.alias("w"))
     # q has m vectors, the last ``width`` of them not multiplied yet; h = Q' S Q, of which those columns are missing
     m, width, passes, h = 1, WIDTH, 0, np.ones((1, 1))
-    values, vectors, residuals, done = np.zeros(0), np.zeros((0, 0)), [], True
+    values, vectors, residuals, done, held = np.zeros(0), np.zeros((0, 0)), [], True, None
     while True:
         # W = Q g + W2 outside, W2 of orthogonal unit vectors; two steps, since the first leaves rounding
         g, square = _products(rows, m, width, lambda q, w: w, width)
@@ -150,10 +150,13 @@ def spectral_layout(edges: DataFrame, seed: int = 42, tolerance: float = TOLERAN
         grown[:-new, :-new], grown[-new:, 1:-new] = h, below
         h = grown
         passes += 1
-        block = F.slice("q", m - width + 1, width)
-        sent = scaled.join(rows.select(F.col("i").alias("j"), block.alias("v")), "j").select("i", F.transform("v", lambda x: x * F.col("s")).alias("v"))
-        product = sent.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("w"))
+        block = rows.select(F.col("i").alias("j"), *[F.get("q", F.lit(m - width + c)).alias(f"_v{c}") for c in range(width)])
+        # plain sums are aggregated in compiled code
+        product = scaled.join(block, "j").groupBy("i").agg(F.array(*[F.sum(F.col("s") * F.col(f"_v{c}")) for c in range(width)]).alias("w"))
         rows = cut_lineage(rows.join(product, "i"), "pass")
+        if held is not None:
+            discard(held)
+        held = rows
 
     keep = vectors[:, :2]
     axes = keep.shape[1]
